@@ -7,11 +7,12 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import normalize_definition
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _ratcliff(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio; NULL pairs cost nothing, they were decided before."""
     return pd.Series(
