@@ -125,3 +125,102 @@ def named_keys(mode: str = "auto") -> list[tuple[str, str, str]]:
     return {
         "code": [code], "name": [name], "normalized": [nname, ncode],
     }.get(mode, [code, name, nname, ncode, cross])
+
+
+# --- SQL spellings of type expressions ------------------------------------------------
+
+from veritwin.functions import types as _ty  # noqa: E402
+
+
+def q(values) -> str:
+    return ", ".join("'" + v + "'" for v in values)
+
+
+def t_base(x: str) -> str:
+    raw = trim(x)
+    return (
+        f"(CASE WHEN regexp_matches({raw}, '{_ty.PARENTHESES}') THEN lower(trim(regexp_extract({raw}, '{_ty.PARENTHESES}', 1))) "
+        f"WHEN regexp_matches({raw}, '{_ty.GLUED}') THEN lower(trim(regexp_extract({raw}, '{_ty.GLUED}', 1))) ELSE lower({raw}) END)"
+    )
+
+
+def t_dim(x: str, i: int) -> str:
+    raw = trim(x)
+    dims = (
+        f"(CASE WHEN regexp_matches({raw}, '{_ty.PARENTHESES}') THEN regexp_extract({raw}, '{_ty.PARENTHESES}', 2) "
+        f"WHEN regexp_matches({raw}, '{_ty.GLUED}') THEN regexp_extract({raw}, '{_ty.GLUED}', 2) ELSE '' END)"
+    )
+    parts = f"list_filter(list_transform(string_split({dims}, ','), lambda d: trim(d)), lambda d: d <> '')"
+    return f"coalesce({parts}[{i}], '')"
+
+
+def t_canon_of_base(b: str) -> str:
+    known = case_map(b, _ty.CANONICAL)
+    return f"(CASE WHEN {b} IN ({q(_ty.NO_TYPE)}) THEN '' ELSE coalesce({known}, replace(upper({b}), ' ', '_')) END)"
+
+
+def t_family_of_canon(c: str) -> str:
+    return f"(CASE WHEN {c} = '' THEN '' ELSE coalesce({case_map(c, _ty.FAMILY)}, 'OTHER') END)"
+
+
+def typed(source: str, *cols: str) -> str:
+    """Subquery with <col>_base, _len, _prec, _canon, _family, _mkey for each column."""
+    first = ", ".join(f"{t_base(c)} AS {c}_base, {t_dim(c, 1)} AS {c}_len, {t_dim(c, 2)} AS {c}_prec" for c in cols)
+    second = ", ".join(
+        f"{t_canon_of_base(c + '_base')} AS {c}_canon, {case_map(c + '_base', _ty.MATRIX_KEY)} AS {c}_mkey" for c in cols)
+    third = ", ".join(f"{t_family_of_canon(c + '_canon')} AS {c}_family" for c in cols)
+    return (
+        f"(SELECT *, {third} FROM (SELECT *, {second} FROM (SELECT *, {first} FROM ({source}) z0) z1) z2)")
+
+
+def t_match(s: str, t: str, mode: str = "family", matrix: bool = True) -> str:
+    """Over a ``typed`` subquery."""
+    accepted = q(f"{k}>{v}" for k, vs in _ty.APPROVED.items() for v in vs)
+    by = {
+        "exact": f"lower({trim(s)}) = lower({trim(t)})",
+        "canonical": f"{s}_canon = {t}_canon",
+        "family": f"{s}_family = {t}_family",
+    }[mode]
+    arm = (
+        f"WHEN {s}_mkey IN ({q(_ty.APPROVED)}) THEN concat({s}_mkey, '>', coalesce({t}_mkey, '')) IN ({accepted}) "
+        if matrix else "")
+    none = q(_ty.NO_TYPE)
+    return (
+        f"(CASE WHEN lower({trim(s)}) IN ({none}) OR lower({trim(t)}) IN ({none}) THEN TRUE {arm}ELSE {by} END)")
+
+
+def t_dims_match(s: str, t: str) -> str:
+    return (
+        f"(NOT (({s}_len <> '' AND {t}_len <> '' AND {s}_len <> {t}_len) OR "
+        f"({s}_prec <> '' AND {t}_prec <> '' AND {s}_prec <> {t}_prec)))")
+
+
+def t_describe(c: str) -> str:
+    dims = (
+        f"CASE WHEN {c}_len <> '' AND {c}_prec <> '' THEN concat('(', {c}_len, ',', {c}_prec, ')') "
+        f"WHEN {c}_len <> '' THEN concat('(', {c}_len, ')') ELSE '' END")
+    shown = f"concat({c}_canon, {dims}, ' / ', {c}_family)"
+    return (
+        f"(CASE WHEN {txt(c)} = '' THEN '(none)' WHEN {trim(c)} <> '' AND {c}_base <> '' AND {c}_canon <> upper({c}_base) "
+        f"THEN concat({trim(c)}, ' → ', {shown}) ELSE {shown} END)")
+
+
+def t_physical(x: str) -> str:
+    raw, form = trim(x), _ty.PHYSICAL_FORM
+    base = f"(CASE WHEN regexp_matches({raw}, '{form}') THEN lower(trim(regexp_extract({raw}, '{form}', 1))) ELSE lower({raw}) END)"
+    dims = f"(CASE WHEN regexp_matches({raw}, '{form}') THEN trim(regexp_extract({raw}, '{form}', 2)) ELSE '' END)"
+    canon = f"coalesce({case_map(base, _ty.PHYSICAL)}, upper({base}))"
+    return (
+        f"(CASE WHEN {txt(x)} = '' THEN '' WHEN {dims} <> '' THEN concat({canon}, '(', {dims}, ')') ELSE {canon} END)")
+
+
+def t_physical_base(n: str) -> str:
+    """From a normalised physical type."""
+    return f"(CASE WHEN regexp_matches({n}, '\\(.*\\)$') THEN trim(split_part({n}, '(', 1)) ELSE {n} END)"
+
+
+def similarity(a: str, b: str) -> str:
+    """Over two normalised text columns; texts are ASCII."""
+    return (
+        f"(CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN {a} = '' OR {b} = '' THEN 0.0::DOUBLE "
+        f"ELSE 1.0::DOUBLE - levenshtein({a}, {b})::DOUBLE / greatest(length({a}), length({b}))::DOUBLE END)")

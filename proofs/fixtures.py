@@ -152,3 +152,46 @@ SELECT event_id, user_id, event_type AS udp,
   CASE WHEN event_id % 13 = 0 THEN ' ' ELSE props END AS value,
   CASE WHEN user_id % 37 = 0 THEN '' ELSE concat('User ', user_id) END AS owner
 FROM {events}"""
+
+# NAMES: spellings with plurals, blanks, camel case.
+NAMES = """
+SELECT p_partkey AS id, p_brand AS pair_id,
+  CASE p_partkey % 6 WHEN 0 THEN concat(p_name, 's') WHEN 1 THEN concat(lower(p_type), '_categories')
+    WHEN 2 THEN concat('  tax ', p_name, ' boxes ') WHEN 3 THEN concat(p_name, ' glass')
+    WHEN 4 THEN concat('camelCase', p_type, 'Size') ELSE p_brand END AS name,
+  CASE p_partkey % 4 WHEN 0 THEN upper(replace(p_name, ' ', '_')) WHEN 1 THEN concat(p_name, ' (C', p_partkey % 50, ' )')
+    WHEN 2 THEN p_type ELSE '' END AS other,
+  concat('C', p_partkey % 50) AS code
+FROM {part}"""
+
+_SPELLINGS = [
+    "VARCHAR(20)", "VA20", "DC18,2", "Number", "double precision", "NVARCHAR2( 30 )", "txt", "TIMESTAMP",
+    "weird type(3,4)", "<none>", "", "BIT", "long raw", "VBIN64000", "BINARY(64000)", "Enum", "decimal(10, 2)",
+    "DECIMAL(12,4)", "int", "BIGINT", "json", "uniqueidentifier", "character varying(5)", "float8", "CHAR(20)",
+    "VARCHAR2(20)", "LONG_TEXT", " varchar ( 20 ) ", "D", "bool",
+]
+
+
+def _spelling(k: str) -> str:
+    arms = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_SPELLINGS))
+    return f"CASE {k} % {len(_SPELLINGS)} {arms} END"
+
+
+# TYPES: every spelling against every other, and NULLs.
+TYPES = f"""
+SELECT p_partkey AS id, p_brand AS pair_id,
+  CASE WHEN p_partkey % 101 = 0 THEN NULL ELSE {_spelling('p_partkey')} END AS s_type,
+  {_spelling('(p_partkey * 7 + p_size)')} AS t_type
+FROM {{part}}"""
+
+_CARDS = [
+    "0,n", "Zero, One or More", "-3", "(1,n)", "z", "exactly 1", "exactly 12", "One or More (P)", "1..*", "0 , 1",
+    "0-n", "Zero,One or More", "many", "at most one", "", "?", "3,m", "[1,1]", "mandatory", "*", "-1", "1..1", "one", "x,y",
+]
+# CARDS: cardinality spellings with the two flags, each sometimes unknown.
+CARDS = (
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE (l_partkey + l_linenumber) % "
+    + str(len(_CARDS)) + " " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CARDS))
+    + " END AS raw, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE (l_suppkey % 3 = 1) END AS mandatory,"
+    + " CASE WHEN l_suppkey % 4 = 0 THEN NULL ELSE (l_suppkey % 4 < 3) END AS many FROM {lineitem}"
+)
