@@ -197,10 +197,11 @@ FROM {card_sql(card_sql(f"(SELECT raw, CASE WHEN l_suppkey % 2 = 0 THEN '0,n' EL
 def _cardinality_flags(T):
     other = F.when(F.col("l_suppkey") % 2 == 0, "0,n").otherwise("exactly one")
     counted = T.sql(fx.CARDS).groupBy("raw", other.alias("other")).agg(F.count("*").alias("rows"))
-    return counted.select(
-        "raw", "other", "rows", card.is_mandatory("raw").alias("mandatory"), card.is_many("raw").alias("many"),
-        card.degree("raw", "other").alias("degree"), card.invert_degree(card.degree("raw", "other")).alias("inverted"),
-        card.describe_cardinality("raw").alias("shown"))
+    folded = counted.withColumn("c", card.normalize_cardinality("raw")).withColumn("d", card.normalize_cardinality("other"))
+    return folded.select(
+        "raw", "other", "rows", card.is_mandatory("c").alias("mandatory"), card.is_many("c").alias("many"),
+        card.degree("c", "d").alias("degree"), card.invert_degree(card.degree("c", "d")).alias("inverted"),
+        card.describe_cardinality("c").alias("shown"))
 
 
 # --- labels, signatures, names --------------------------------------------------------

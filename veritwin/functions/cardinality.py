@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import compare_key, normalize_name, text, trim_ws
@@ -82,13 +82,13 @@ def normalize_cardinality(raw: str | Column, mandatory: Column = None, many: Col
             stated,
             F.concat(F.when(low, "1").otherwise("0"), F.lit(","), F.when(high, "n").otherwise("1")),
         ).otherwise("")
-    return (
-        F.when(lookup(SPELLINGS, token).isNotNull(), lookup(SPELLINGS, token))
-        .when(exact != "", F.when(exact == "1", "1,1").otherwise("1,n"))
-        .when(lookup(SPELLINGS, compact).isNotNull(), lookup(SPELLINGS, compact))
-        .when(has(BOUND_WORDS), phrase)
-        .when((F.size(parts) == 2) & compact.rlike(r"[\d*]"), pair)
-        .otherwise(fallback)
+    return F.coalesce(
+        lookup(SPELLINGS, token),
+        F.when(exact != "", F.when(exact == "1", "1,1").otherwise("1,n")),
+        lookup(SPELLINGS, compact),
+        F.when(has(BOUND_WORDS), phrase),
+        F.when((F.size(parts) == 2) & compact.rlike(r"[\d*]"), pair),
+        fallback,
     )
 
 
@@ -102,16 +102,28 @@ def resolve_enum(c: str | Column, codes: dict[str, str]) -> Column:
     )
 
 
+def canonical_ends(rel: DataFrame, *ends: str) -> DataFrame:
+    """Relationship rows with canonical cardinalities, folded once per row.
+
+    All functions below read canonical values, so they stay small expressions.
+    """
+    for end in ends or ("end1", "end2"):
+        rel = rel.withColumn(
+            end, F.col(end).withField("cardinality", normalize_cardinality(F.col(f"{end}.cardinality"))))
+    return rel
+
+
 def is_mandatory(c: str | Column) -> Column:
-    return normalize_cardinality(c).startswith("1")
+    """Lower bound is 1; of a canonical cardinality."""
+    return text(c).startswith("1")
 
 
 def is_many(c: str | Column) -> Column:
-    return normalize_cardinality(c).endswith("n")
+    return text(c).endswith("n")
 
 
 def describe_cardinality(c: str | Column) -> Column:
-    return F.coalesce(lookup(DESCRIPTIONS, normalize_cardinality(c)), F.lit("(not stated)"))
+    return F.coalesce(lookup(DESCRIPTIONS, text(c)), F.lit("(not stated)"))
 
 
 def degree(card1: str | Column, card2: str | Column) -> Column:
@@ -124,7 +136,7 @@ def invert_degree(c: Column) -> Column:
 
 
 # A relationship row has name, code, kind and end1/end2 structs
-# (entity, role, cardinality, mandatory, dependent).
+# (entity, role, cardinality, mandatory, dependent), cardinality canonical.
 
 
 def _swapped(end1: Column, end2: Column) -> Column:
@@ -146,7 +158,7 @@ def full_signature(end1: Column, end2: Column) -> Column:
     """Endpoints with their cardinalities, which travel with the ends."""
 
     def show(e):
-        card = normalize_cardinality(e["cardinality"])
+        card = text(e["cardinality"])
         return F.concat(
             normalize_name(e["entity"]), F.lit("["), F.when(card == "", "?").otherwise(card), F.lit("]")
         )
@@ -187,7 +199,7 @@ def ends_aligned(s1: Column, s2: Column, t1: Column, t2: Column) -> Column:
 
 def describe_relationship(end1: Column, end2: Column) -> Column:
     def card(e):
-        c = normalize_cardinality(e["cardinality"])
+        c = text(e["cardinality"])
         return F.when(c == "", "?").otherwise(c)
 
     def role(e):

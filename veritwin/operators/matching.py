@@ -30,6 +30,19 @@ def count_when(cond: Column) -> Column:
     return F.count(F.when(cond, True))
 
 
+def _both_ways(mates: DataFrame, scope: list[str]) -> DataFrame:
+    """(_s, _t) pairs as one row per side: (scope…, _side, _id, _mate)."""
+    return mates.select(
+        *scope,
+        F.inline(
+            F.array(
+                F.struct(F.lit("S").alias("_side"), F.col("_s").alias("_id"), F.col("_t").alias("_mate")),
+                F.struct(F.lit("T").alias("_side"), F.col("_t").alias("_id"), F.col("_s").alias("_mate")),
+            )
+        ),
+    )
+
+
 def match_ladder(
     s: DataFrame, t: DataFrame, scope: Sequence[str], keys: Sequence[Key], s_id: str = "id", t_id: str = "id"
 ) -> Match:
@@ -66,16 +79,7 @@ def match_ladder(
             )
             .where("_ns = 1 and _nt = 1")
         )
-        taken = unique.select(
-            *scope,
-            F.inline(
-                F.array(
-                    F.struct(F.lit("S").alias("_side"), F.col("_s").alias("_id"), F.col("_t").alias("_mate")),
-                    F.struct(F.lit("T").alias("_side"), F.col("_t").alias("_id"), F.col("_s").alias("_mate")),
-                )
-            ),
-        )
-        state = cut(rows.join(taken, [*scope, "_side", "_id"], "left"))
+        state = cut(rows.join(_both_ways(unique, scope), [*scope, "_side", "_id"], "left"))
         found.append(
             state.where(F.col("_mate").isNotNull() & from_s).select(
                 *scope, F.col("_id").alias("s_id"), F.col("_mate").alias("t_id"), F.lit(basis).alias("basis")
@@ -326,27 +330,27 @@ def claim_first(s: DataFrame, t: DataFrame, scope: Sequence[str], hot_rows: int
     whenever the rows of a bucket are claimed in the same round.
     """
     scope = list(scope)
+    from_s = F.col("_side") == "S"
 
-    def side(df, prefix):
+    def side(df, label):
         return df.select(
-            *scope, F.col("id").alias(f"{prefix}_id"), F.col("ord").alias("ord"),
-            normalize_name("name").alias("_name"), normalize_name("code").alias("_code"),
-        )
+            *scope, F.lit(label).alias("_side"), F.col("id").alias("_id"), "ord",
+            normalize_name("name").alias("_name"), normalize_name("code").alias("_code"))
 
-    left, right = side(s, "s"), side(t, "t")
+    rows = side(s, "S").unionByName(side(t, "T"))
     found = None
     for s_key, t_key in (("_name", "_name"), ("_name", "_code"), ("_code", "_name"), ("_code", "_code")):
-        a = left.where(F.col(s_key) != "").select(*scope, F.col(s_key).alias("_key"), "s_id", "ord")
-        b = right.where(F.col(t_key) != "").select(*scope, F.col(t_key).alias("_key"), "t_id", "ord")
-        # Only buckets both sides fill are numbered.
-        a2 = a.join(b.select(*scope, "_key").distinct(), [*scope, "_key"], "left_semi")
-        b2 = b.join(a.select(*scope, "_key").distinct(), [*scope, "_key"], "left_semi")
-        na = number_within(a2, [*scope, "_key"], ["ord", "s_id"], "rn", hot_rows).drop("ord")
-        nb = number_within(b2, [*scope, "_key"], ["ord", "t_id"], "rn", hot_rows).drop("ord")
-        step = cut(na.join(nb, [*scope, "_key", "rn"]).select(*scope, "s_id", "t_id"))
+        key = F.when(from_s, F.col(s_key)).otherwise(F.col(t_key))
+        asked = rows.select(*scope, "_side", "_id", "ord", key.alias("_key")).where("_key <> ''")
+        numbered = number_within(asked, [*scope, "_key", "_side"], ["ord", "_id"], "rn", hot_rows)
+        mates = numbered.groupBy(*scope, "_key", "rn").agg(
+            F.min(F.when(from_s, F.col("_id"))).alias("_s"), F.min(F.when(~from_s, F.col("_id"))).alias("_t")
+        ).where("_s is not null and _t is not null")
+        state = cut(rows.join(_both_ways(mates, scope), [*scope, "_side", "_id"], "left"))
+        step = state.where(F.col("_mate").isNotNull() & from_s).select(
+            *scope, F.col("_id").alias("s_id"), F.col("_mate").alias("t_id"))
         found = step if found is None else found.unionByName(step)
-        left = left.join(step, [*scope, "s_id"], "left_anti")
-        right = right.join(step, [*scope, "t_id"], "left_anti")
+        rows = state.where(F.col("_mate").isNull()).drop("_mate")
     return found
 
 
