@@ -77,12 +77,16 @@ def _type_family(T):
     return T.sql(fx.TYPES).groupBy(ty.type_family("s_type").alias("family")).agg(F.count("*").alias("objects"))
 
 
+def typed_pairs(T):
+    return ty.with_type_parts(ty.with_type_parts(T.sql(fx.TYPES), "s_type", "_s_"), "t_type", "_t_")
+
+
 def _types_match(mode, matrix):
     name = f"types_match_{mode}" + ("_approved" if matrix else "")
 
     @query(name, f"SELECT id, {t_match('s_type', 't_type', mode, matrix)} AS same FROM {typed(_TYPES, 's_type', 't_type')}")
     def _run(T):
-        return T.sql(fx.TYPES).select("id", ty.types_match("s_type", "t_type", mode, matrix).alias("same"))
+        return typed_pairs(T).select("id", ty.types_match("_s_", "_t_", mode, matrix).alias("same"))
 
 
 for _mode, _matrix in (("exact", False), ("canonical", False), ("family", False), ("family", True)):
@@ -91,14 +95,12 @@ for _mode, _matrix in (("exact", False), ("canonical", False), ("family", False)
 
 @query("dimensions_match", f"SELECT id, {t_dims_match('s_type', 't_type')} AS same FROM {typed(_TYPES, 's_type', 't_type')}")
 def _dimensions_match(T):
-    none = F.lit("")
-    s, t = ty.effective_dims("s_type", none, none), ty.effective_dims("t_type", none, none)
-    return T.sql(fx.TYPES).select("id", ty.dimensions_match(s, t).alias("same"))
+    return typed_pairs(T).select("id", ty.dimensions_match("_s_", "_t_").alias("same"))
 
 
 @query("describe_type", f"SELECT id, {t_describe('s_type')} AS shown FROM {typed(_TYPES, 's_type')}")
 def _describe_type(T):
-    return T.sql(fx.TYPES).select("id", ty.describe_type("s_type").alias("shown"))
+    return typed_pairs(T).select("id", ty.describe_type("_s_").alias("shown"))
 
 
 @query("physical_type", f"SELECT id, {t_physical('s_type')} AS s, {t_physical('t_type')} AS t, {t_physical('s_type')} = {t_physical('t_type')} AS same FROM ({_TYPES}) x")

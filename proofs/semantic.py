@@ -238,7 +238,7 @@ def _label_sql(p: str = "") -> str:
   FROM lp JOIN s0 s ON s.id = lp.s_id JOIN t0 t ON t.id = lp.t_id) a)
 SELECT pair_id, 'FALLBACK_MATCH' AS category, {_label_sql('s_')} AS object_name, '' AS member, concat(s_name, ' / ', s_code) AS s_value, concat(t_name, ' / ', t_code) AS t_value FROM pr WHERE basis <> 'code'
 UNION ALL SELECT pair_id, 'BUSINESS_NAME', {_label_sql('s_')}, '', s_name, t_name FROM pr WHERE {norm('s_name')} <> {norm('t_name')}
-UNION ALL SELECT pair_id, 'SUBJECT_AREA', {_label_sql('s_')}, '', CASE WHEN s_area = '' THEN '(none)' ELSE s_area END, CASE WHEN t_area = '' THEN '(none)' ELSE t_area END FROM pr
+UNION ALL SELECT pair_id, 'SUBJECT_AREA', {_label_sql('s_')}, '', CASE WHEN trim(s_area) = '' THEN '(none)' ELSE trim(s_area) END, CASE WHEN trim(t_area) = '' THEN '(none)' ELSE trim(t_area) END FROM pr
   WHERE (s_area <> '' OR t_area <> '') AND {norm('s_area')} <> {norm('t_area')}
 UNION ALL {definition_arms('pair_id', _label_sql('s_'), "''")}
 UNION ALL SELECT pair_id, 'ENTITY_MISSING', {_label_sql()}, '', concat(n_attributes, ' attributes, ', n_identifiers, ' identifiers'), '—' FROM ls

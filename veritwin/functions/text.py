@@ -54,14 +54,9 @@ def normalize_name(c: str | Column, plurals: bool = True) -> Column:
     token = F.upper(F.regexp_replace(text(c), "[^0-9a-zA-Z]+", ""))
     if not plurals:
         return token
-    size = F.length(token)
-    return (
-        F.when(size <= 3, token)
-        .when(token.endswith("IES"), F.concat(F.left(token, size - 3), F.lit("Y")))
-        .when(token.rlike("[SXZ]ES$"), F.left(token, size - 2))
-        .when(token.endswith("S") & ~token.endswith("SS"), F.left(token, size - 1))
-        .otherwise(token)
-    )
+    # Only tokens longer than three characters; at most one of the rules applies.
+    token = F.regexp_replace(token, "^(.+)IES$", "$1Y")
+    return F.regexp_replace(token, "^(.+[SXZ])ES$|^(.{2,}[^S])S$", "$1$2")
 
 
 def names_equivalent(a: str | Column, b: str | Column, plurals: bool = True) -> Column:

@@ -116,12 +116,9 @@ def compare_attributes(pairs: DataFrame, tier: Tier, keep: Sequence[str] = ("pai
     """Findings of matched attribute pairs (s_*, t_*, basis)."""
     label = _given("s_code", "s_name")
     at = dict(object_type=object_type, object_name=F.lit("") if object_name is None else object_name, member=label)
-    df = pairs.withColumn("_sd", ty.effective_dims("s_data_type", "s_length", "s_precision")).withColumn(
-        "_td", ty.effective_dims("t_data_type", "t_length", "t_precision")
-    )
-    df = df.withColumn(
-        "_type_ok", ty.types_match("s_data_type", "t_data_type", tier.type_mode, tier.approved_matrix)
-    )
+    df = ty.with_type_parts(pairs, "s_data_type", "_s_", "s_length", "s_precision")
+    df = ty.with_type_parts(df, "t_data_type", "_t_", "t_length", "t_precision")
+    df = df.withColumn("_type_ok", ty.types_match("_s_", "_t_", tier.type_mode, tier.approved_matrix))
     checks = []
     if tier.report_fallback:
         checks.append(
@@ -136,19 +133,17 @@ def compare_attributes(pairs: DataFrame, tier: Tier, keep: Sequence[str] = ("pai
     if tier.data_types:
         checks.append(
             check(~F.col("_type_ok"), "DATA_TYPE", "data type differs",
-                  ty.describe_type("s_data_type", "s_length", "s_precision"),
-                  ty.describe_type("t_data_type", "t_length", "t_precision"), **at))
+                  ty.describe_type("_s_"), ty.describe_type("_t_"), **at))
     if tier.length_precision:
-        wrong = ~ty.dimensions_match(F.col("_sd"), F.col("_td"))
+        wrong = ~ty.dimensions_match("_s_", "_t_")
         if tier.length_only_if_type_agrees:
             wrong = wrong & F.col("_type_ok")
 
-        def dims(d):
+        def dims(p):
             return F.concat(
-                F.lit("len="), or_none(F.col(d)["length"], "-"), F.lit(", prec="),
-                or_none(F.col(d)["precision"], "-"))
+                F.lit("len="), or_none(F.col(f"{p}length"), "-"), F.lit(", prec="), or_none(F.col(f"{p}precision"), "-"))
 
-        checks.append(check(wrong, "LENGTH_PRECISION", "length or precision differs", dims("_sd"), dims("_td"), **at))
+        checks.append(check(wrong, "LENGTH_PRECISION", "length or precision differs", dims("_s_"), dims("_t_"), **at))
     if tier.mandatory:
 
         def flag(c):
@@ -180,7 +175,8 @@ def attribute_presence(s_only: DataFrame, t_only: DataFrame, tier: Tier, keep: S
     """
     name = F.lit("") if object_name is None else object_name
     at = dict(object_type="ATTRIBUTE", object_name=name, member=_given("code", "name"))
-    typed = ty.describe_type("data_type", "length", "precision")
+    s_only, t_only = (ty.with_type_parts(d, "data_type", "_p_", "length", "precision") for d in (s_only, t_only))
+    typed = ty.describe_type("_p_")
     missing = emit(
         s_only, list(keep), [check(F.lit(True), "ATTRIBUTE_MISSING", "attribute only in source", typed, ABSENT, **at)]
     )
@@ -569,9 +565,10 @@ def compare_hierarchies(census: DataFrame, s_only: DataFrame, t_only: DataFrame,
 def compare_domains(pairs: DataFrame, s_only: DataFrame, t_only: DataFrame, tier: Tier) -> DataFrame:
     name = _given("s_name", "s_code")
     at = dict(object_type="DOMAIN", object_name=name)
-    s_type = ty.describe_type("s_data_type", "s_length", "s_precision")
-    t_type = ty.describe_type("t_data_type", "t_length", "t_precision")
-    df = pairs.withColumn("_ok", ty.types_match("s_data_type", "t_data_type", tier.type_mode, tier.approved_matrix))
+    s_type, t_type = ty.describe_type("_s_"), ty.describe_type("_t_")
+    df = ty.with_type_parts(pairs, "s_data_type", "_s_", "s_length", "s_precision")
+    df = ty.with_type_parts(df, "t_data_type", "_t_", "t_length", "t_precision")
+    df = df.withColumn("_ok", ty.types_match("_s_", "_t_", tier.type_mode, tier.approved_matrix))
     checks = [
         check(F.col("_ok"), "DOMAIN_VERIFIED", F.concat(F.lit("domain intact, by "), F.col("basis")), s_type, t_type, **at),
         check(~F.col("_ok"), "DOMAIN", "domain type differs", s_type, t_type, **at),
@@ -580,7 +577,8 @@ def compare_domains(pairs: DataFrame, s_only: DataFrame, t_only: DataFrame, tier
         df = with_similarity(df, "s_definition", "t_definition", tier)
         checks += definition_checks(tier, "DOMAIN", name, F.lit(""))
     own = dict(object_type="DOMAIN", object_name=_given("name", "code"))
-    typed = ty.describe_type("data_type", "length", "precision")
+    s_only, t_only = (ty.with_type_parts(d, "data_type", "_p_", "length", "precision") for d in (s_only, t_only))
+    typed = ty.describe_type("_p_")
     return (
         emit(df, PAIR, checks)
         .unionByName(emit(s_only, PAIR, [check(F.lit(True), "DOMAIN", "domain only in source", typed, ABSENT, **own)]))
@@ -685,9 +683,11 @@ def usage_census(items: DataFrame, attributes: DataFrame, t_attributes: DataFram
         F.first("item").alias("item"), F.first("item_type").alias("item_type"), F.first("data_type").alias("own_type"),
         F.min("_t").alias("_t"))
     declared = F.when(text("item_type") != "", text("item_type")).otherwise(text("own_type"))
-    ok = ty.types_match(declared, F.col("_t.t_type"), tier.type_mode, tier.approved_matrix)
+    typed = per_use.withColumn("_declared", declared).withColumn("_arrived", F.col("_t.t_type"))
+    typed = ty.with_type_parts(ty.with_type_parts(typed, "_declared", "_s_"), "_arrived", "_t_")
+    ok = ty.types_match("_s_", "_t_", tier.type_mode, tier.approved_matrix)
     outcome = F.when(F.col("_t").isNull(), "NOT_FOUND").when(~ok, "TYPE_DIFFERS").otherwise("ARRIVED")
-    return per_use.select("pair_id", "id", F.upper(trim_ws("item")).alias("item"), outcome.alias("outcome"))
+    return typed.select("pair_id", "id", F.upper(trim_ws("item")).alias("item"), outcome.alias("outcome"))
 
 
 def compare_items(items: DataFrame, census: DataFrame) -> DataFrame:
