@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import expressions, matching, semantic  # noqa: F401
+from . import expressions, matching, physical, semantic  # noqa: F401
