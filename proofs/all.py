@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import expressions, matching, physical, semantic  # noqa: F401
+from . import cells, documentation, expressions, matching, physical, reports, semantic  # noqa: F401

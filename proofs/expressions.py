@@ -81,6 +81,10 @@ def typed_pairs(T):
     return ty.with_type_parts(ty.with_type_parts(T.sql(fx.TYPES), "s_type", "_s_"), "t_type", "_t_")
 
 
+def physical_pairs(T):
+    return ty.with_physical_type(ty.with_physical_type(T.sql(fx.TYPES), "s_type", "_s_"), "t_type", "_t_")
+
+
 def _types_match(mode, matrix):
     name = f"types_match_{mode}" + ("_approved" if matrix else "")
 
@@ -105,15 +109,15 @@ def _describe_type(T):
 
 @query("physical_type", f"SELECT id, {t_physical('s_type')} AS s, {t_physical('t_type')} AS t, {t_physical('s_type')} = {t_physical('t_type')} AS same FROM ({_TYPES}) x")
 def _physical_type(T):
-    s, t = ty.physical_type("s_type"), ty.physical_type("t_type")
-    return T.sql(fx.TYPES).select("id", s.alias("s"), t.alias("t"), (s == t).alias("same"))
+    rows = physical_pairs(T)
+    return rows.select("id", F.col("_s_type").alias("s"), F.col("_t_type").alias("t"), (F.col("_s_type") == F.col("_t_type")).alias("same"))
 
 
 @query("type_change_class", f"""SELECT id, CASE WHEN {txt('s_type')} = '' OR {txt('t_type')} = '' OR s = t THEN NULL
   WHEN upper({t_physical_base('s')}) = 'ENUM' THEN 'ABSTRACT' WHEN {t_physical_base('s')} = {t_physical_base('t')} THEN 'LENGTH' ELSE 'TYPE' END AS change
 FROM (SELECT *, {t_physical('s_type')} AS s, {t_physical('t_type')} AS t FROM ({_TYPES}) y) x""")
 def _type_change_class(T):
-    return T.sql(fx.TYPES).select("id", ty.type_change_class("s_type", "t_type").alias("change"))
+    return physical_pairs(T).select("id", ty.type_change_class("_s_", "_t_").alias("change"))
 
 
 @query("normalize_definition", f"SELECT lower({squeeze('text')}) AS definition, count(*) AS copies FROM documents GROUP BY ALL HAVING count(*) > 1")

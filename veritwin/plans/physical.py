@@ -61,18 +61,22 @@ def column_records(s: DataFrame, t: DataFrame) -> DataFrame:
     return m.reconcile_keyed(left, right, key)
 
 
+def _with_types(df: DataFrame, tier: Tier) -> DataFrame:
+    df = ty.with_physical_type(ty.with_physical_type(df, "s_data_type", "_s_"), "t_data_type", "_t_")
+    return df.withColumn("_change", ty.type_change_class("_s_", "_t_", tier.abstract_types))
+
+
 def column_checks(tier: Tier) -> list[Column]:
-    """Differences of a matched column; a row without any is verified."""
+    """Differences of a matched column whose types were read by ``_with_types``."""
     at = dict(object_type="COLUMN", object_name=F.col("table"), member=F.col("column"))
     checks = []
     if tier.data_types:
-        change = ty.type_change_class("s_data_type", "t_data_type", tier.abstract_types)
+        change = F.col("_change")
         category = F.when(change == "ABSTRACT", "DATA_TYPE_ABSTRACT").when(
             change == "LENGTH", "DATA_TYPE_LENGTH").otherwise("DATA_TYPE")
 
         def shown(side):
-            raw = F.col(f"{side}_data_type")
-            return F.concat(raw, F.lit(" → "), ty.physical_type(raw))
+            return F.concat(F.col(f"{side}_data_type"), F.lit(" → "), F.col(f"_{side}_type"))
 
         checks.append(check(change.isNotNull(), category, "data type differs", shown("s"), shown("t"), **at))
     if tier.nullability:
@@ -94,7 +98,7 @@ def compare_columns(records: DataFrame, tier: Tier) -> DataFrame:
     """Findings of column records whose table exists on both sides."""
     status = F.col("status")
     at = dict(object_type="COLUMN", object_name=F.col("table"), member=F.col("column"))
-    matched = records.where("status = 'MATCHED'")
+    matched = _with_types(records.where("status = 'MATCHED'"), tier)
     # VERIFIED means: no difference that the severity policy keeps.
     kept = F.filter(
         F.array(*column_checks(tier)),
