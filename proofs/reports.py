@@ -18,7 +18,8 @@ def _fleet_dashboard(T):
     return rp.fleet_dashboard(part_results(T)[0])
 
 
-@query("worst_pairs", f"WITH {results_sql()} SELECT pair_id, fidelity_score, critical, status FROM res ORDER BY fidelity_score, critical DESC, pair_id LIMIT 15")
+@query("worst_pairs", f"""WITH {results_sql().replace('res AS (', 'res AS MATERIALIZED (')}, r AS (SELECT *, row_number() OVER (ORDER BY fidelity_score, critical DESC, pair_id) AS rn FROM res)
+SELECT pair_id, fidelity_score, critical, status FROM r WHERE rn <= 15""")
 def _worst_pairs(T):
     return rp.worst_pairs(part_results(T)[0]).select("pair_id", "fidelity_score", "critical", "status")
 

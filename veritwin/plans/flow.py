@@ -212,7 +212,8 @@ def artifact_facts(artifacts: DataFrame) -> DataFrame:
     artifacts (model, suffix, artifact, modified, bytes), e.g. from a file listing.
     """
     when = [
-        F.max(F.when(F.col("artifact") == a, F.col("modified"))).alias(f"{a}_when") for a in ARTIFACTS
+        F.max(F.when(F.col("artifact") == a, F.col("modified").cast("timestamp"))).alias(f"{a}_when")
+        for a in ARTIFACTS
     ]
     facts = artifacts.groupBy("model", "suffix").agg(*when)
     hours = (F.unix_micros("source_when") - F.unix_micros("export_when")) / F.lit(3600000000.0)
