@@ -68,7 +68,7 @@ def edges(T: Tables, text: str):
 
     rows = T.sql(text).select(
         "pair_id", "id", "ord", "name", "code", "definition", "kind", end("e1").alias("end1"), end("e2").alias("end2"))
-    return card.canonical_ends(rows)
+    return card.with_signatures(card.canonical_ends(rows))
 
 
 def edge_sql(text: str) -> str:
@@ -102,12 +102,9 @@ def edge_ladder() -> str:
 
 @query("relationship_signatures", f"SELECT id, es AS endpoints, fs AS full_signature, ns AS name_key, nes AS name_endpoints FROM {edge_sql(fx.EDGE_S)} x")
 def _relationship_signatures(T):
-    from veritwin.functions import cardinality as card
-
-    one, two, name, code = (F.col(c) for c in ("end1", "end2", "name", "code"))
     return edges(T, fx.EDGE_S).select(
-        "id", card.endpoint_signature(one, two).alias("endpoints"), card.full_signature(one, two).alias("full_signature"),
-        card.name_signature(name, code).alias("name_key"), card.name_endpoint_signature(name, code, one, two).alias("name_endpoints"))
+        "id", F.col("ends_key").alias("endpoints"), F.col("full_key").alias("full_signature"), F.col("name_key"),
+        F.col("name_ends_key").alias("name_endpoints"))
 
 
 @query("match_relationships", f"WITH {edge_ladder()} {_ladder_rows(['pair_id'])}")

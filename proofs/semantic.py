@@ -426,11 +426,7 @@ UNION ALL SELECT pair_id, 'ROLE_NAME', label, concat(position, ' (', entity, ')'
 
 @query("compare_relationship_ends", f"WITH {edge_pairs()}, {ends_sql()} SELECT * FROM ef")
 def _compare_relationship_ends(T):
-    from veritwin.functions import cardinality as card
-
-    pairs = edge_match(T)[0]
-    same = card.endpoint_signature(F.col("s_end1"), F.col("s_end2")) == card.endpoint_signature(F.col("t_end1"), F.col("t_end2"))
-    return sem.compare_relationship_ends(pairs.where(same), LOGICAL).select("pair_id", "category", "object_name", "member", "s_value", "t_value")
+    return sem.compare_relationship_ends(edge_match(T)[0], LOGICAL).select("pair_id", "category", "object_name", "member", "s_value", "t_value")
 
 
 def _rel_text(p):

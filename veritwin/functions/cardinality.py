@@ -143,37 +143,28 @@ def _swapped(end1: Column, end2: Column) -> Column:
     return compare_key(end1["entity"]) > compare_key(end2["entity"])
 
 
-def _oriented(end1: Column, end2: Column, show) -> Column:
-    return F.when(
-        _swapped(end1, end2), F.concat(show(end2), F.lit("::"), show(end1))
-    ).otherwise(F.concat(show(end1), F.lit("::"), show(end2)))
-
-
-def endpoint_signature(end1: Column, end2: Column) -> Column:
-    """Which two entities, whatever the order they are listed in."""
-    return _oriented(end1, end2, lambda e: normalize_name(e["entity"]))
-
-
-def full_signature(end1: Column, end2: Column) -> Column:
-    """Endpoints with their cardinalities, which travel with the ends."""
-
-    def show(e):
-        card = text(e["cardinality"])
-        return F.concat(
-            normalize_name(e["entity"]), F.lit("["), F.when(card == "", "?").otherwise(card), F.lit("]")
-        )
-
-    return _oriented(end1, end2, show)
-
-
 def name_signature(name: Column, code: Column) -> Column:
     """Normalised code or name, without the /1, /2 suffix of a repeated name."""
     label = F.when(text(code) != "", text(code)).otherwise(text(name))
     return normalize_name(F.regexp_replace(trim_ws(label), r"/\d+$", ""))
 
 
-def name_endpoint_signature(name: Column, code: Column, end1: Column, end2: Column) -> Column:
-    return F.concat(name_signature(name, code), F.lit("##"), endpoint_signature(end1, end2))
+def with_signatures(rel: DataFrame) -> DataFrame:
+    """Adds name_key, name_ends_key, full_key, ends_key; each entity is normalised once."""
+    one, two = F.col("end1"), F.col("end2")
+    df = rel.withColumns({
+        "_k1": normalize_name(one["entity"]), "_k2": normalize_name(two["entity"]), "_swap": _swapped(one, two),
+        "name_key": name_signature(F.col("name"), F.col("code"))})
+
+    def stated(e):
+        return F.when(text(e["cardinality"]) == "", "?").otherwise(e["cardinality"])
+
+    def joined(a, b):
+        return F.when(F.col("_swap"), F.concat(b, F.lit("::"), a)).otherwise(F.concat(a, F.lit("::"), b))
+
+    full = [F.concat(F.col(k), F.lit("["), stated(e), F.lit("]")) for k, e in (("_k1", one), ("_k2", two))]
+    df = df.withColumns({"ends_key": joined(F.col("_k1"), F.col("_k2")), "full_key": joined(*full)})
+    return df.withColumn("name_ends_key", F.concat("name_key", F.lit("##"), "ends_key")).drop("_k1", "_k2", "_swap")
 
 
 def ends_aligned(s1: Column, s2: Column, t1: Column, t2: Column) -> Column:

@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cardinality as card
 from ..functions.text import compare_key, normalize_name, text, trim_ws
 from ..session import cut
 from .ordered import HOT_ROWS, fill_forward, keep_one, number_within
@@ -113,15 +112,14 @@ def name_code_keys(mode: str = "auto", plurals: bool = True, case_insensitive: b
 
 
 def relationship_keys() -> list[Key]:
-    """Name, name with endpoints, endpoints with cardinality, endpoints."""
-    name, code, one, two = (F.col(c) for c in ("name", "code", "end1", "end2"))
-    exprs = [
-        ("name", card.name_signature(name, code)),
-        ("name+endpoints", card.name_endpoint_signature(name, code, one, two)),
-        ("endpoints+cardinality", card.full_signature(one, two)),
-        ("endpoints", card.endpoint_signature(one, two)),
+    """Name, name with endpoints, endpoints with cardinality, endpoints.
+
+    Both sides carry the columns of ``cardinality.with_signatures``.
+    """
+    columns = [
+        ("name", "name_key"), ("name+endpoints", "name_ends_key"), ("endpoints+cardinality", "full_key"), ("endpoints", "ends_key"),
     ]
-    return [(basis, e, e) for basis, e in exprs]
+    return [(basis, F.col(c), F.col(c)) for basis, c in columns]
 
 
 def _name_or_code() -> Column:

@@ -74,9 +74,12 @@ def check(
 
 
 def emit(df: DataFrame, keep: Sequence[str], checks: Sequence[Column]) -> DataFrame:
-    """Rows (keep…, finding fields) for every check that fired."""
-    fired = F.filter(F.array(*checks), lambda c: c.isNotNull())
-    return df.select(*keep, F.explode(fired).alias("f")).select(*keep, "f.*")
+    """Rows (keep…, finding fields) for every check that fired.
+
+    The checks are exploded first and filtered after: a filter over the array
+    would be a lambda, and lambdas leave generated code.
+    """
+    return df.select(*keep, F.explode(F.array(*checks)).alias("f")).where("f is not null").select(*keep, "f.*")
 
 
 def or_none(value: Column, label: str = "(none)") -> Column:

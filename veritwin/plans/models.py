@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Tier
+from ..functions import cardinality as card
 from ..operators import matching as m
 from ..session import cut
 from . import scoring
@@ -63,8 +64,8 @@ def compare_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier)
             sem.attribute_presence(a_s, a_t, tier, object_name=F.col("entity").cast("string"))]
         records.append(_records(inner, "attributes"))
     if tier.relationships and "relationships" in s:
-        s_rel = m.rewrite_endpoints(usable(s["relationships"]), SCOPE, alias)
-        t_rel = usable(t["relationships"])
+        s_rel = card.with_signatures(m.rewrite_endpoints(usable(s["relationships"]), SCOPE, alias))
+        t_rel = card.with_signatures(usable(t["relationships"]))
         rels = m.match_ladder(s_rel, t_rel, SCOPE, m.relationship_keys())
         findings.append(sem.compare_relationships(m.attach(rels, s_rel, t_rel, SCOPE), *_rest(rels, s_rel, t_rel, SCOPE), tier))
         records.append(_records(rels, "relationships"))

@@ -95,25 +95,28 @@ def column_checks(tier: Tier) -> list[Column]:
 
 
 def compare_columns(records: DataFrame, tier: Tier) -> DataFrame:
-    """Findings of column records whose table exists on both sides."""
+    """Findings of column records whose table exists on both sides, in one scan.
+
+    VERIFIED means: no difference that the severity policy keeps.
+    """
     status = F.col("status")
     at = dict(object_type="COLUMN", object_name=F.col("table"), member=F.col("column"))
-    matched = _with_types(records.where("status = 'MATCHED'"), tier)
-    # VERIFIED means: no difference that the severity policy keeps.
-    kept = F.filter(
-        F.array(*column_checks(tier)),
-        lambda c: c.isNotNull() & ~c["category"].isin(*[k for k, v in tier.overrides.items() if v == "IGNORE"] or [""]),
-    )
-    intact = check(F.lit(True), "COLUMN_VERIFIED", "column intact", or_none(F.col("s_data_type"), "(untyped)"),
+    matched = status == "MATCHED"
+    ignored = [k for k, v in tier.overrides.items() if v == "IGNORE"]
+    df = _with_types(records, tier)
+    names, clean = [], F.lit(True)
+    for i, found in enumerate(column_checks(tier)):
+        fired = F.when(matched & ~found["category"].isin(*ignored), found) if ignored else F.when(matched, found)
+        names.append(f"_f{i}")
+        df = df.withColumn(names[-1], fired)
+        clean = clean & F.col(names[-1]).isNull()
+    intact = check(matched & clean, "COLUMN_VERIFIED", "column intact", or_none(F.col("s_data_type"), "(untyped)"),
                    or_none(F.col("t_data_type"), "(untyped)"), **at)
-    differences = matched.withColumn("_f", kept).withColumn(
-        "_f", F.when(F.size("_f") == 0, F.array(intact)).otherwise(F.col("_f")))
-    found = differences.select(*PAIR, F.explode("_f").alias("f")).select(*PAIR, "f.*")
-    return found.unionByName(
-        emit(records, PAIR, [
-            check(status == "MISSING", "COLUMN_MISSING", "column only in source", F.col("column"), ABSENT, **at),
-            check(status == "EXTRA", "COLUMN_EXTRA", "column only in target", ABSENT, F.col("column"), **at),
-        ]))
+    return emit(df, PAIR, [
+        *[F.col(n) for n in names], intact,
+        check(status == "MISSING", "COLUMN_MISSING", "column only in source", F.col("column"), ABSENT, **at),
+        check(status == "EXTRA", "COLUMN_EXTRA", "column only in target", ABSENT, F.col("column"), **at),
+    ])
 
 
 def compare_duplicate_columns(s: DataFrame, t: DataFrame) -> DataFrame:

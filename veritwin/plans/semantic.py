@@ -359,20 +359,21 @@ def list_inversion_entries(t_identifiers: DataFrame, keep: Sequence[str] = ("pai
 # --- relationships --------------------------------------------------------------------
 
 
+def with_ends_compared(pairs: DataFrame) -> DataFrame:
+    """Matched relationships with their label, alignment and degrees, worked out once."""
+    s1, s2, t1, t2 = (F.col(c) for c in ("s_end1", "s_end2", "t_end1", "t_end2"))
+    df = pairs.withColumns({
+        "label": card.relationship_label(F.col("s_name"), F.col("s_code"), s1, s2),
+        "aligned": card.ends_aligned(s1, s2, t1, t2),
+        "same_ends": F.col("s_ends_key") == F.col("t_ends_key"),
+        "s_degree": card.degree(s1["cardinality"], s2["cardinality"]),
+        "_t_degree": card.degree(t1["cardinality"], t2["cardinality"])})
+    t_degree = F.when(F.col("aligned"), F.col("_t_degree")).otherwise(card.invert_degree(F.col("_t_degree")))
+    return df.withColumn("t_degree", t_degree).drop("_t_degree")
+
+
 def relationship_census(pairs: DataFrame, s_only: DataFrame, t_only: DataFrame) -> DataFrame:
     """One row per relationship: label, degrees, basis and status."""
-    s1, s2, t1, t2 = (F.col(c) for c in ("s_end1", "s_end2", "t_end1", "t_end2"))
-    aligned = card.ends_aligned(s1, s2, t1, t2)
-    t_degree = card.degree(t1["cardinality"], t2["cardinality"])
-    matched = pairs.withColumns(
-        {
-            "aligned": aligned,
-            "label": card.relationship_label(F.col("s_name"), F.col("s_code"), s1, s2),
-            "s_degree": card.degree(s1["cardinality"], s2["cardinality"]),
-            "t_degree": F.when(aligned, t_degree).otherwise(card.invert_degree(t_degree)),
-            "same_ends": card.endpoint_signature(s1, s2) == card.endpoint_signature(t1, t2),
-        }
-    )
     status = (
         F.when(~F.col("same_ends"), "ENDPOINTS_CHANGED")
         .when(F.col("s_degree") != F.col("t_degree"), "CARDINALITY_CHANGED")
@@ -391,27 +392,24 @@ def relationship_census(pairs: DataFrame, s_only: DataFrame, t_only: DataFrame)
         ).select(*columns)
 
     return (
-        matched.withColumn("status", status).select(*columns)
+        with_ends_compared(pairs).withColumn("status", status).select(*columns)
         .unionByName(single(s_only, "s", "t", "MISSING"))
         .unionByName(single(t_only, "t", "s", "EXTRA"))
     )
 
 
 def compare_relationships(pairs: DataFrame, s_only: DataFrame, t_only: DataFrame, tier: Tier) -> DataFrame:
-    s1, s2, t1, t2 = (F.col(c) for c in ("s_end1", "s_end2", "t_end1", "t_end2"))
-    label = card.relationship_label(F.col("s_name"), F.col("s_code"), s1, s2)
-    at = dict(object_type="RELATIONSHIP", object_name=label)
-    t_raw = card.degree(t1["cardinality"], t2["cardinality"])
-    df = pairs.withColumn("_aligned", card.ends_aligned(s1, s2, t1, t2)).withColumn(
-        "_same", card.endpoint_signature(s1, s2) == card.endpoint_signature(t1, t2))
-    df = df.withColumn("_sdeg", card.degree(s1["cardinality"], s2["cardinality"])).withColumn(
-        "_tdeg", F.when(F.col("_aligned"), t_raw).otherwise(card.invert_degree(t_raw)))
-    same, s_text, t_text = F.col("_same"), card.describe_relationship(s1, s2), card.describe_relationship(t1, t2)
+    """Findings of matched relationships, their ends, and of those without a partner."""
+    at = dict(object_type="RELATIONSHIP", object_name=F.col("label"))
+    df = with_ends_compared(pairs).withColumns({
+        "_s_text": card.describe_relationship(F.col("s_end1"), F.col("s_end2")),
+        "_t_text": card.describe_relationship(F.col("t_end1"), F.col("t_end2"))})
+    same, s_text, t_text = F.col("same_ends"), F.col("_s_text"), F.col("_t_text")
     checks = [check(~same, "RELATIONSHIP_MISSING", "connects different entities", s_text, t_text, **at)]
     if tier.cardinality:
         checks.append(
-            check(same & (F.col("_sdeg") != F.col("_tdeg")), "CARDINALITY",
-                  F.concat(F.lit("cardinality changed from "), F.col("_sdeg"), F.lit(" to "), F.col("_tdeg")),
+            check(same & (F.col("s_degree") != F.col("t_degree")), "CARDINALITY",
+                  F.concat(F.lit("cardinality changed from "), F.col("s_degree"), F.lit(" to "), F.col("t_degree")),
                   s_text, t_text, **at))
     if tier.associations:
         checks.append(
@@ -419,39 +417,42 @@ def compare_relationships(pairs: DataFrame, s_only: DataFrame, t_only: DataFrame
                   F.col("s_kind"), F.col("t_kind"), **at))
     if tier.definitions:
         df = with_similarity(df, "s_definition", "t_definition", tier)
-        checks += definition_checks(tier, "RELATIONSHIP", label, F.lit(""))
-    found = emit(df, PAIR, checks).unionByName(
-        compare_relationship_ends(df.where("_same"), tier, label))
+        checks += definition_checks(tier, "RELATIONSHIP", F.col("label"), F.lit(""))
+    found = emit(df, PAIR, checks).unionByName(_compare_ends(df.where("same_ends"), tier))
     if not tier.relationships:
         return found
-    one, two = F.col("end1"), F.col("end2")
-    own = dict(object_type="RELATIONSHIP", object_name=card.relationship_label(F.col("name"), F.col("code"), one, two))
-    shown = card.describe_relationship(one, two)
+
+    def single(side, category, message, source):
+        one, two = F.col("end1"), F.col("end2")
+        own = side.withColumns({
+            "_label": card.relationship_label(F.col("name"), F.col("code"), one, two), "_text": card.describe_relationship(one, two)})
+        values = (F.col("_text"), ABSENT) if source else (ABSENT, F.col("_text"))
+        return emit(own, PAIR, [check(F.lit(True), category, message, *values, object_type="RELATIONSHIP", object_name=F.col("_label"))])
+
     return found.unionByName(
-        emit(s_only, PAIR, [check(F.lit(True), "RELATIONSHIP_MISSING", "relationship only in source", shown, ABSENT, **own)])
-    ).unionByName(
-        emit(t_only, PAIR, [check(F.lit(True), "RELATIONSHIP_EXTRA", "relationship only in target", ABSENT, shown, **own)])
-    )
+        single(s_only, "RELATIONSHIP_MISSING", "relationship only in source", True)
+    ).unionByName(single(t_only, "RELATIONSHIP_EXTRA", "relationship only in target", False))
+
+
+def compare_relationship_ends(pairs: DataFrame, tier: Tier) -> DataFrame:
+    """End checks of matched relationships that connect the same entities."""
+    return _compare_ends(with_ends_compared(pairs).where("same_ends"), tier)
 
 
-def compare_relationship_ends(pairs: DataFrame, tier: Tier, label: Column | None = None) -> DataFrame:
-    """End checks of matched relationships, after the ends are lined up."""
+def _compare_ends(pairs: DataFrame, tier: Tier) -> DataFrame:
     s1, s2, t1, t2 = (F.col(c) for c in ("s_end1", "s_end2", "t_end1", "t_end2"))
-    name = card.relationship_label(F.col("s_name"), F.col("s_code"), s1, s2) if label is None else label
-    aligned = card.ends_aligned(s1, s2, t1, t2)
-    first, second = F.when(aligned, t1).otherwise(t2), F.when(aligned, t2).otherwise(t1)
+    aligned = F.col("aligned")
     ends = F.array(
-        F.struct(F.lit("end 1").alias("position"), s1.alias("s"), first.alias("t")),
-        F.struct(F.lit("end 2").alias("position"), s2.alias("s"), second.alias("t")),
+        F.struct(F.lit("end 1").alias("position"), s1.alias("s"), F.when(aligned, t1).otherwise(t2).alias("t")),
+        F.struct(F.lit("end 2").alias("position"), s2.alias("s"), F.when(aligned, t2).otherwise(t1).alias("t")),
     )
     df = pairs.select(
-        "pair_id", name.alias("_label"),
-        ((F.col("s_kind") == "ASSOCIATION") | (F.col("t_kind") == "ASSOCIATION")).alias("_assoc"),
+        "pair_id", "label", ((F.col("s_kind") == "ASSOCIATION") | (F.col("t_kind") == "ASSOCIATION")).alias("_assoc"),
         F.explode(ends).alias("e"),
     )
     s, t, assoc = F.col("e")["s"], F.col("e")["t"], F.col("_assoc")
     at = dict(
-        object_type="RELATIONSHIP", object_name=F.col("_label"),
+        object_type="RELATIONSHIP", object_name=F.col("label"),
         member=F.concat(F.col("e")["position"], F.lit(" ("), s["entity"], F.lit(")")))
     sm, tm = card.is_mandatory(s["cardinality"]), card.is_mandatory(t["cardinality"])
     sd, td = F.coalesce(s["dependent"], F.lit(False)), F.coalesce(t["dependent"], F.lit(False))
