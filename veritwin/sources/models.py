@@ -15,7 +15,7 @@ from ..functions import cardinality as card
 from ..functions import types as ty
 from ..functions.text import first_nonblank, text, trim_ws
 from ..functions.records import join_notes
-from ..operators.shaping import is_migrated_key
+from ..operators.shaping import drop_hidden_duplicates, is_migrated_key, resolve_refs
 
 # Element names of the source document.
 _REF = "struct<`_Ref`: string>"
@@ -280,6 +280,27 @@ def resolve_members(df: DataFrame, attributes: DataFrame, scope: list[str]) -> D
     return joined.withColumn("members", F.coalesce("members", F.array().cast("array<string>"))).drop("member_refs")
 
 
+def resolve_endpoints(relationships: DataFrame, entities: DataFrame) -> DataFrame:
+    """Ends that name entities by id -> by code."""
+    dim = entities.select("pair_id", F.col("id").alias("oid"), "code")
+    for end in ("end1", "end2"):
+        named = relationships.withColumn("_at", F.col(f"{end}.entity"))
+        named = resolve_refs(named, ["pair_id"], "_at", dim, "_to")
+        relationships = named.withColumn(end, F.col(end).withField("entity", F.col("_to"))).drop("_at", "_to")
+    return relationships
+
+
+def comparable(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Shredded relations with their references resolved, ready for the comparison."""
+    dim = side["domains"].select("pair_id", F.col("id").alias("oid"), F.col("name").alias("code"))
+    attributes = resolve_refs(side["attributes"], ["pair_id"], "domain_ref", dim, "domain", "")
+    if "hidden" in attributes.columns:
+        attributes = drop_hidden_duplicates(attributes)
+    return {
+        **side, "attributes": attributes, "relationships": resolve_endpoints(side["relationships"], side["entities"]),
+        "identifiers": resolve_members(side["identifiers"], side["attributes"], ["pair_id", "entity"])}
+
+
 def ingest(relations: dict[str, DataFrame], path: str) -> None:
     """Write the relations once; every comparison reads the Parquet copy."""
     for name, df in relations.items():
