@@ -18,7 +18,7 @@ from .matching import (
     DOMAIN_S, DOMAIN_T, EDGE_KEYS, MEMB_DIFF, RULE_S, RULE_T, TREE_KEYS, domain_ladder, edge_ladder, edges, members, part_sides,
     rule_ladder, tree_sql, trees,
 )
-from .expressions import DOC_SPARK, DOC_SQL
+from .expressions import DOC_SPARK, DOC_SQL, card_sql
 
 _S, _T = plain(fx.PART_S), plain(fx.PART_T)
 _AUTO = ladder(_S, _T, ["pair_id"], named_keys())
@@ -462,7 +462,8 @@ def _collapsed_variance(T):
     return sem.collapsed_variance(rows)
 
 
-@query("cardinality_census", None)
+@query("cardinality_census", f"""WITH r AS (SELECT pair_id, e1_card AS raw FROM ({plain(fx.EDGE_S)}) a UNION ALL SELECT pair_id, e2_card FROM ({plain(fx.EDGE_S)}) a)
+SELECT pair_id, raw, canonical, count(*) AS ends FROM {card_sql('r', 'raw')} x GROUP BY ALL""")
 def _cardinality_census(T):
     rows = T.sql(fx.EDGE_S).select("pair_id", F.struct(F.col("e1_card").alias("cardinality")).alias("end1"), F.struct(F.col("e2_card").alias("cardinality")).alias("end2"))
     return sem.cardinality_census(rows)
