@@ -12,8 +12,8 @@ from veritwin.session import shared_dir
 from veritwin.sources import files
 
 from . import fixtures as fx
-from .base import plain, query
-from .semantic import ENT, part_findings, findings_sql
+from .base import ladder, named_keys, norm, plain, query, similarity, squeeze, typed
+from .semantic import ENT, attribute_sql, definition_arms, findings_sql, part_findings, policy_sql
 
 
 def scratch(T) -> str:
@@ -122,10 +122,43 @@ def fleet(T):
     return models.compare_models(s, t, LOGICAL)
 
 
-@query("compare_models")
+def _fleet_sql() -> str:
+    """Counts, findings by severity and score of the same comparison, level by level."""
+    ent_s, ent_t = plain(ENT.format(base=fx.PART_S)), plain(ENT.format(base=fx.PART_T))
+    ents = ladder(ent_s, ent_t, ["pair_id"], named_keys())
+    att_s = f"SELECT a.* EXCLUDE (l_orderkey) FROM ({plain(ATT_S)}) a JOIN ep ON ep.pair_id = a.pair_id AND ep.s_id = a.entity"
+    att_t = f"SELECT a.* EXCLUDE (entity), ep.s_id AS entity FROM ({plain(ATT_T)}) a JOIN ep ON ep.pair_id = a.pair_id AND ep.t_id = a.entity"
+    atts = ladder(att_s, att_t, ["pair_id", "entity"], named_keys())
+    cols = ["code", "name", "data_type", "length", "precision", "mandatory", "domain", "definition"]
+    sel = ", ".join(f"s.{c} AS s_{c}, t.{c} AS t_{c}" for c in cols)
+    joined = f"SELECT lp.pair_id, lp.basis, {sel} FROM lp JOIN s0 s ON s.id = lp.s_id JOIN t0 t ON t.id = lp.t_id"
+    pr = f"pr AS (SELECT *, 1.0 AS sim FROM {typed(joined, 's_data_type', 't_data_type')} a)"
+    ent_pr = (
+        f"pr AS (SELECT *, {similarity('sd', 'td')} AS sim FROM (SELECT lp.pair_id, lp.basis, s.name AS s_name, t.name AS t_name, s.definition AS s_definition, "
+        f"t.definition AS t_definition, lower({squeeze('s.definition')}) AS sd, lower({squeeze('t.definition')}) AS td FROM lp JOIN s0 s ON s.id = lp.s_id JOIN t0 t ON t.id = lp.t_id) a)")
+
+    def counts(kind):
+        return (
+            "SELECT pair_id, count(*) FILTER (k <> 'E') AS s, count(*) FILTER (k <> 'M') AS t, count(*) FILTER (k = 'P') AS p FROM (SELECT pair_id, 'P' AS k FROM lp "
+            "UNION ALL SELECT pair_id, 'M' FROM ls UNION ALL SELECT pair_id, 'E' FROM lt) u GROUP BY pair_id")
+
+    return f"""WITH ep AS MATERIALIZED (WITH {ents} SELECT * FROM lp), ec AS (WITH {ents} {counts('e')}), ac AS MATERIALIZED (WITH {atts} {counts('a')}),
+ef AS (WITH {ents}, {ent_pr} SELECT pair_id, 'FALLBACK_MATCH' AS category FROM pr WHERE basis <> 'code' UNION ALL SELECT pair_id, 'BUSINESS_NAME' FROM pr WHERE {norm('s_name')} <> {norm('t_name')}
+  UNION ALL SELECT pair_id, category FROM ({definition_arms('pair_id', "''", "''")}) d UNION ALL SELECT pair_id, 'ENTITY_MISSING' FROM ls UNION ALL SELECT pair_id, 'ENTITY_EXTRA' FROM lt),
+af AS MATERIALIZED (WITH {atts}, {pr} SELECT pair_id, category FROM ({attribute_sql(LOGICAL)}) x UNION ALL SELECT pair_id, 'ATTRIBUTE_MISSING' FROM ls UNION ALL SELECT pair_id, 'ATTRIBUTE_EXTRA' FROM lt),
+sv AS (SELECT pair_id, {policy_sql(LOGICAL)} AS severity FROM (SELECT * FROM ef UNION ALL SELECT * FROM af) f),
+n AS (SELECT pair_id, count(*) FILTER (severity = 'CRITICAL') AS critical, count(*) FILTER (severity = 'WARNING') AS warning, count(*) FILTER (severity = 'INFO') AS info FROM sv GROUP BY pair_id),
+r AS (SELECT ec.pair_id, ec.s AS entities_s, ec.t AS entities_t, ec.p AS entities_matched, ac.s AS attributes_s, ac.t AS attributes_t, ac.p AS attributes_matched, critical, warning, info,
+  least(critical + 0.35 * warning + 0.05 * info, ec.s + ac.s)::DOUBLE AS pen, (ec.s + ac.s)::DOUBLE AS objects FROM ec JOIN ac USING (pair_id) JOIN n USING (pair_id))
+SELECT * EXCLUDE (pen, objects), round(100.0::DOUBLE - 100.0::DOUBLE * pen / objects, 2) AS fidelity_score, CASE WHEN critical > 0 THEN 'FAIL' WHEN warning > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM r"""
+
+
+@query("compare_models", _fleet_sql())
 def _compare_models(T):
     """25 models: entities by ladder, attributes by ladder inside matched entities, findings, scores, gate."""
-    return fleet(T)["results"].drop("broken", "blockers", "fidelity_score_raw")
+    return fleet(T)["results"].select(
+        "pair_id", "entities_s", "entities_t", "entities_matched", "attributes_s", "attributes_t", "attributes_matched", "critical", "warning", "info",
+        "fidelity_score", "status")
 
 
 # --- incremental ----------------------------------------------------------------------

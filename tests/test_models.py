@@ -32,7 +32,7 @@ SOURCE = """<?xml version="1.0"?>
 </o:Model></c:Children></o:RootObject></Model>"""
 
 TARGET = """<?xml version="1.0"?>
-<erwin><Model id="m1" name="Shop"><Entity_Groups>
+<Export><Model id="m1" name="Shop"><Entity_Groups>
 <Entity id="{{E1}}" name="Customer"><EntityProps><Physical_Name>CUSTOMER</Physical_Name><Definition>Who buys</Definition>
  <Note_List_Array><Note_List>1\\#x1F\\#x1F\\#x1F\\#x1F\\#x1F\\#x1Fline one\\#x0Aline two\\#x1F0\\#x1F\\#x1F\\#x1F\\#x1F</Note_List></Note_List_Array></EntityProps>
  <Attribute_Groups>
@@ -47,7 +47,7 @@ TARGET = """<?xml version="1.0"?>
 <Relationship_Groups><Relationship id="{{R1}}" name="places"><RelationshipProps><Parent_Entity_Ref>{{E1}}</Parent_Entity_Ref><Child_Entity_Ref>{{E2}}</Child_Entity_Ref>
  <Type>{reltype}</Type><Cardinality>-3</Cardinality><Null_Option_Type>101</Null_Option_Type><Parent_To_Child_Verb_Phrase>places</Parent_To_Child_Verb_Phrase></RelationshipProps></Relationship></Relationship_Groups>
 <Domain_Groups><Domain id="{{D1}}" name="Label"><DomainProps><Physical_Name>LABEL</Physical_Name><Logical_Data_Type>VARCHAR(20)</Logical_Data_Type><Built_In_Id>0</Built_In_Id></DomainProps></Domain>
-<Domain id="{{D0}}" name="Blob"><DomainProps><Built_In_Id>7</Built_In_Id></DomainProps></Domain></Domain_Groups></Model></erwin>"""
+<Domain id="{{D0}}" name="Blob"><DomainProps><Built_In_Id>7</Built_In_Id></DomainProps></Domain></Domain_Groups></Model></Export>"""
 ORDER = """<Entity id="{E2}" name="Order"><EntityProps><Physical_Name>ORDER</Physical_Name></EntityProps><Attribute_Groups>
 <Attribute id="{A3}" name="Order Id"><AttributeProps><Physical_Name>ORDER_ID</Physical_Name><Logical_Data_Type>INTEGER</Logical_Data_Type></AttributeProps></Attribute></Attribute_Groups></Entity>"""
 CLEAN = dict(type1="INTEGER", null1="1", extra="", order=ORDER, reltype="2")
@@ -78,7 +78,7 @@ def fleet(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("fleet")
     for name, (changes, _) in CASES.items():
         (folder / f"{name}.ldm").write_text(SOURCE)
-        body = '<erwin><Model id="m1" name="Shop"></Model></erwin>' if changes is None else TARGET.format(**{**CLEAN, **changes})
+        body = '<Export><Model id="m1" name="Shop"></Model></Export>' if changes is None else TARGET.format(**{**CLEAN, **changes})
         (folder / f"{name}.xml").write_text(body.replace("{{", "{").replace("}}", "}"))
     s = models.comparable(models.shred_semantic(spark, f"{folder}/*.ldm"))
     t = models.comparable(models.shred_target(spark, f"{folder}/*.xml"))

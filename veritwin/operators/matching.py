@@ -78,7 +78,12 @@ def match_ladder(
             )
             .where("_ns = 1 and _nt = 1")
         )
-        state = cut(rows.join(_both_ways(unique, scope), [*scope, "_side", "_id"], "left"))
+        # Only what later passes read is written: no used key, and no keys of matched rows.
+        open_row = F.col("_mate").isNull()
+        later = [F.when(open_row, F.col(n)).alias(n) for n in names[names.index(name) + 1:]]
+        state = cut(
+            rows.join(_both_ways(unique, scope), [*scope, "_side", "_id"], "left").select(
+                *scope, "_side", "_id", "_mate", *later))
         found.append(
             state.where(F.col("_mate").isNotNull() & from_s).select(
                 *scope, F.col("_id").alias("s_id"), F.col("_mate").alias("t_id"), F.lit(basis).alias("basis")
