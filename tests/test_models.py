@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from veritwin.config import CONCEPTUAL, LOGICAL, PHYSICAL
 from veritwin.plans import flow, scoring
 from veritwin.plans.findings import apply_severity
-from veritwin.plans.models import compare_models
+from veritwin.plans.models import compare_models, compare_physical_models
 from veritwin.plans.semantic import drop_ignored_migrated
 from veritwin.sources import files, models
 
@@ -134,13 +134,37 @@ PHYSICAL_DOC = """<Model xmlns:a="attribute" xmlns:c="collection" xmlns:o="objec
 <c:Joins><o:ReferenceJoin Id="j1"><c:Object1><o:Column Ref="c1"/></c:Object1><c:Object2><o:Column Ref="c2"/></c:Object2></o:ReferenceJoin></c:Joins></o:Reference></c:References></o:Model></Model>"""
 
 
-def test_shred_physical(spark, tmp_path):
-    (tmp_path / "p.pdm").write_text(PHYSICAL_DOC)
-    rel = models.shred_physical(spark, str(tmp_path / "p.pdm"))
-    assert {k: v.count() for k, v in rel.items()} == {"tables": 1, "columns": 2, "keys": 1, "indexes": 1, "references": 1}
-    assert [(c.code, c.not_null) for c in rel["columns"].orderBy("ord").collect()] == [("ID", True), ("NOTE", False)]
-    assert rel["keys"].first().is_pk and rel["indexes"].first().mirror
-    assert [tuple(j) for j in rel["references"].first().joins] == [("c1", "c2")]
+PHYSICAL_TARGET = """<Export><Model id="m"><Entity id="T1" name="Orders"><EntityProps><Physical_Name>ORDERS</Physical_Name></EntityProps><Attribute_Groups>
+<Attribute id="C1" name="Id"><AttributeProps><Physical_Name>ID</Physical_Name><Physical_Data_Type>INTEGER</Physical_Data_Type><Null_Option_Type>1</Null_Option_Type></AttributeProps></Attribute>
+{note}</Attribute_Groups><Key_Group_Groups><Key_Group id="K1" name="XPK"><Key_GroupProps><Key_Group_Type>PK</Key_Group_Type></Key_GroupProps><Key_Group_Member_Groups>
+<Key_Group_Member id="M1"><Key_Group_MemberProps><Attribute_Ref>C1</Attribute_Ref><Key_Group_Member_Order>1</Key_Group_Member_Order></Key_Group_MemberProps></Key_Group_Member>
+<Key_Group_Member id="M0"><Key_Group_MemberProps><Attribute_Ref>C1</Attribute_Ref><Key_Group_Member_Order>2</Key_Group_Member_Order></Key_Group_MemberProps></Key_Group_Member></Key_Group_Member_Groups></Key_Group></Key_Group_Groups></Entity>
+<Relationship id="F1" name="FK"><RelationshipProps><Parent_Entity_Ref>T1</Parent_Entity_Ref><Child_Entity_Ref>T1</Child_Entity_Ref></RelationshipProps></Relationship></Model></Export>"""
+NOTE = """<Attribute id="C2" name="Note"><AttributeProps><Physical_Name>NOTE</Physical_Name><Physical_Data_Type>VARCHAR(5)</Physical_Data_Type><Null_Option_Type>0</Null_Option_Type>
+<Parent_Relationship_Ref>F1</Parent_Relationship_Ref><Parent_Attribute_Ref>C1</Parent_Attribute_Ref></AttributeProps></Attribute>
+<Attribute id="C9" name="Pad"><AttributeProps><Physical_Name>ID</Physical_Name><Physical_Data_Type>INTEGER</Physical_Data_Type><Null_Option_Type>1</Null_Option_Type></AttributeProps></Attribute>"""
+
+
+def test_physical_pairs(spark, tmp_path):
+    note = NOTE[: NOTE.index('<Attribute id="C9"')]
+    for name, body in {"CLEAN": note, "LOST": "", "TWICE": NOTE}.items():
+        (tmp_path / f"{name}.pdm").write_text(PHYSICAL_DOC)
+        (tmp_path / f"{name}.xml").write_text(PHYSICAL_TARGET.format(note=body))
+    raw = models.shred_physical(spark, f"{tmp_path}/CLEAN.pdm")
+    assert {k: v.count() for k, v in raw.items()} == {"tables": 1, "columns": 2, "keys": 1, "indexes": 1, "references": 1, "joins": 1}
+    assert [(c.code, c.data_type, c.not_null) for c in raw["columns"].orderBy("ord").collect()] == [("ID", "int", True), ("NOTE", "varchar2(5)", False)]
+    s = models.comparable_physical(models.shred_physical(spark, f"{tmp_path}/*.pdm"))
+    t = models.comparable_physical(models.shred_target_physical(spark, f"{tmp_path}/*.xml"))
+    out = compare_physical_models(s, t, PHYSICAL)
+    got = {}
+    for r in out["findings"].where("severity <> 'VERIFIED'").collect():
+        got.setdefault(r.pair_id, []).append(r.category)
+    assert sorted(got["LOST"]) == ["COLUMN_MISSING", "FOREIGN_KEY_EXTRA", "FOREIGN_KEY_MISSING"]
+    assert got["TWICE"] == ["COLUMN_DUPLICATE"] and "CLEAN" not in got
+    rows = {r.pair_id: r for r in out["results"].collect()}
+    assert (rows["CLEAN"].status, rows["CLEAN"].fidelity_score_raw, rows["CLEAN"].promote) == ("PASS", 100.0, True)
+    assert rows["LOST"].blockers == ["CRITICAL_FINDINGS", "WARNINGS_UNSIGNED", "BELOW_TARGET"] and rows["TWICE"].columns_duplicate_t == 1
+    assert all(r.broken == [] for r in rows.values())
 
 
 def test_severity_policy(spark):

@@ -9,6 +9,7 @@ from ..config import Tier
 from ..functions import cardinality as card
 from ..operators import matching as m
 from ..session import cut
+from . import physical as ph
 from . import scoring
 from . import semantic as sem
 from .findings import apply_severity, with_remedy
@@ -99,3 +100,48 @@ def _records(found: m.Match, kind: str) -> DataFrame:
         .unionByName(found.s_only.select("pair_id", F.lit("MISSING").alias("status")))
         .unionByName(found.t_only.select("pair_id", F.lit("EXTRA").alias("status"))))
     return scoring.count_by_status(rows, kind)
+
+
+def compare_physical_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier) -> dict[str, DataFrame]:
+    """Findings and results of all physical pairs: tables, columns, keys, references, indexes.
+
+    Columns, keys and indexes are compared inside tables both sides hold; the
+    columns of a missing table count as missing without a finding each.
+    """
+    table = ["pair_id", "table"]
+    tables, findings = ph.compare_tables(s["tables"], t["tables"], tier)
+    tables = cut(tables)
+    common = tables.where("status = 'MATCHED'").select(*table)
+    columns = cut(ph.column_records(s["columns"], t["columns"]))
+
+    def shared(df):
+        return df.join(common, table, "left_semi")
+
+    parts = [findings]
+    if tier.columns:
+        parts.append(ph.compare_columns(shared(columns), tier))
+        parts.append(ph.compare_duplicate_columns(shared(s["columns"]), shared(t["columns"])))
+    if tier.primary_keys:
+
+        def primary(side, name):
+            first = side["keys"].where("is_pk").groupBy(*table).agg(F.min_by("members", "ord").alias(name))
+            return first
+
+        keys = common.join(primary(s, "s_members"), table, "left").join(primary(t, "t_members"), table, "left")
+        parts.append(ph.compare_physical_pk(keys))
+    if tier.indexes:
+        own, other = (shared(x["indexes"].unionByName(x["keys"])) for x in (s, t))
+        parts.append(ph.compare_indexes(own, other, tier))
+    s_refs, t_refs = (ph.with_fk_signature(x["references"]) for x in (s, t))
+    references, fk_findings = ph.compare_foreign_keys(s_refs, t_refs)
+    if tier.foreign_keys:
+        parts.append(fk_findings)
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    rows = cut(with_remedy(apply_severity(rows, tier)))
+    counters = ph.physical_counters(tables, columns, s["tables"], t["tables"], s["columns"], t["columns"], references)
+    counters = counters.join(scoring.severity_counts(rows), SCOPE, "left").fillna(0)
+    objects = F.col("tables_s") + F.col("columns_s") + F.col("fks_s")
+    scored = scoring.count_identities(scoring.fidelity_score(counters, tier, objects), ["tables", "columns", "fks"])
+    return {"findings": rows, "results": scoring.gate(scored, tier.promotion_target)}

@@ -57,7 +57,8 @@ SOURCE = {
 # attribute, a child, or a child of the Props element.
 _ATTR_PROPS = (
     "Name", "Physical_Name", "Definition", "Comment", "Logical_Data_Type", "Physical_Data_Type", "Null_Option_Type",
-    "Parent_Attribute_Ref", "Parent_Relationship_Ref", "Parent_Domain_Ref", "Hide_In_Logical", "Logical_Lead_Attribute_Ref", "Type")
+    "Parent_Attribute_Ref", "Parent_Relationship_Ref", "Parent_Domain_Ref", "Hide_In_Logical", "Logical_Lead_Attribute_Ref", "Type",
+    "Default_Value")
 
 
 def _props(names) -> str:
@@ -67,7 +68,7 @@ def _props(names) -> str:
 _T_ATTRIBUTE = f"struct<`_id`: string, `_name`: string, `AttributeProps`: {_props(_ATTR_PROPS)}, `Name`: string, `Physical_Name`: string>"
 _T_MEMBER = f"struct<`_id`: string, `Key_Group_MemberProps`: {_props(('Attribute_Ref', 'Key_Group_Member_Order'))}>"
 _T_KEY = (
-    f"struct<`_id`: string, `_name`: string, `Key_GroupProps`: {_props(('Name', 'Key_Group_Type', 'Physical_Name'))}, "
+    f"struct<`_id`: string, `_name`: string, `Key_GroupProps`: {_props(('Name', 'Key_Group_Type', 'Physical_Name', 'Is_Unique', 'Relationship_Ref'))}, "
     f"`Key_Group_Member_Groups`: struct<`Key_Group_Member`: array<{_T_MEMBER}>>>")
 TARGET = {
     "entity": (
@@ -251,8 +252,7 @@ def shred_physical(spark: SparkSession, paths, pair_id: Column | None = None) ->
     cols = tab.select(*head, F.posexplode(_c("c:Columns|o:Column")).alias("ord", "a")).where(F.col("a._Id").isNotNull())
     length, precision = text(_c("a|a:Length")), text(_c("a|a:Precision"))
     columns = cols.select(
-        "pair_id", "table_id", "ord", F.col("a._Id").alias("id"), *_doc("a|"), text(_c("a|a:DataType")).alias("data_type"), length.alias("length"),
-        precision.alias("precision"), _flag(F.coalesce(_c("a|a:Column.Mandatory"), _c("a|a:Mandatory"))).alias("not_null"), text(_c("a|a:DefaultValue")).alias("default_value"))
+        "pair_id", "table_id", "ord", F.col("a._Id").alias("id"), *_doc("a|"), _sized(text(_c("a|a:DataType")), length, precision).alias("data_type"), _flag(F.coalesce(_c("a|a:Column.Mandatory"), _c("a|a:Mandatory"))).alias("not_null"), text(_c("a|a:DefaultValue")).alias("default_value"))
     keys = tab.select(*head, _c("c:PrimaryKey|o:Key|_Ref").alias("primary_oid"), F.posexplode(_c("c:Keys|o:Key")).alias("ord", "k")).where(
         F.col("k._Id").isNotNull()).select(
         "pair_id", "table_id", "ord", F.col("k._Id").alias("id"), *_doc("k|"), F.coalesce(F.col("k._Id") == F.col("primary_oid"), F.lit(False)).alias("is_pk"),
@@ -263,10 +263,93 @@ def shred_physical(spark: SparkSession, paths, pair_id: Column | None = None) ->
         F.transform(_c("x|c:IndexColumns|o:IndexColumn"), lambda i: i["c:Column"]["o:Column"]["_Ref"]).alias("member_refs"))
     ref = read_definitions(spark, paths, *SOURCE["reference"]).select(pair, "*")
     references = ref.select(
-        "pair_id", F.col("_Id").alias("id"), "ord", *_doc(), _c("c:ParentTable|o:Table|_Ref").alias("parent_ref"), _c("c:ChildTable|o:Table|_Ref").alias("child_ref"),
-        F.transform(_c("c:Joins|o:ReferenceJoin"), lambda j: F.struct(
-            j["c:Object1"]["o:Column"]["_Ref"].alias("parent_col"), j["c:Object2"]["o:Column"]["_Ref"].alias("child_col"))).alias("joins"))
-    return {"tables": tables, "columns": columns, "keys": keys, "indexes": indexes, "references": references}
+        "pair_id", F.col("_Id").alias("id"), "ord", *_doc(), _c("c:ParentTable|o:Table|_Ref").alias("parent_ref"), _c("c:ChildTable|o:Table|_Ref").alias("child_ref"))
+    joins = ref.select("pair_id", F.col("_Id").alias("id"), F.posexplode(_c("c:Joins|o:ReferenceJoin")).alias("n", "j")).select(
+        "pair_id", "id", "n", F.col("j.`c:Object1`.`o:Column`._Ref").alias("parent_col"), F.col("j.`c:Object2`.`o:Column`._Ref").alias("child_col"))
+    return {"tables": tables, "columns": columns, "keys": keys, "indexes": indexes, "references": references, "joins": joins}
+
+
+def _sized(dtype: Column, length: Column, precision: Column) -> Column:
+    """A type with its separate length and precision written into it."""
+    dims = F.when(precision != "", F.concat(length, F.lit(","), precision)).otherwise(length)
+    glue = (dtype != "") & (length != "") & ~F.contains(dtype, F.lit("("))
+    return F.when(glue, F.concat(dtype, F.lit("("), dims, F.lit(")"))).otherwise(dtype)
+
+
+def shred_target_physical(spark: SparkSession, paths, pair_id: Column | None = None) -> dict[str, DataFrame]:
+    """Tables, columns, keys, indexes, references and join columns of target documents.
+
+    Join columns are the child's migrated attributes that point back at the
+    relationship. Indexes the tool made for a relationship are left out.
+    """
+    from .files import base_name
+
+    pair = (base_name("source_file") if pair_id is None else pair_id).alias("pair_id")
+    ent = read_definitions(spark, paths, *TARGET["entity"], id_col="_id").select(pair, "*")
+    name = first_nonblank("_name", "Name", "EntityProps.Name")
+    head = ["pair_id", F.col("_id").alias("table_id")]
+    tables = ent.select(
+        *head, "ord", text(name).alias("name"), text(first_nonblank("Physical_Name", "EntityProps.Physical_Name", name)).alias("code"),
+        F.greatest(F.size(_c("Attribute_Groups|Attribute")), F.lit(0)).alias("n_columns"))
+    own = ent.select(*head, F.posexplode(_c("Attribute_Groups|Attribute")).alias("ord", "a")).where(F.col("a._id").isNotNull())
+    props = "a.AttributeProps"
+    code = first_nonblank("a.Physical_Name", f"{props}.Physical_Name", "a._name", "a.Name", f"{props}.Name")
+    columns = own.select(
+        "pair_id", "table_id", "ord", F.col("a._id").alias("id"), text(code).alias("code"),
+        text(first_nonblank(f"{props}.Physical_Data_Type", f"{props}.Logical_Data_Type")).alias("data_type"),
+        F.coalesce(ty.lookup(card.PHYSICAL_NOT_NULL, trim_ws(f"{props}.Null_Option_Type")) == "true", F.lit(False)).alias("not_null"),
+        text(f"{props}.Default_Value").alias("default_value"), trim_ws(f"{props}.Parent_Relationship_Ref").alias("rel_ref"),
+        trim_ws(f"{props}.Parent_Attribute_Ref").alias("parent_col"))
+    groups = ent.select(*head, F.posexplode(_c("Key_Group_Groups|Key_Group")).alias("ord", "k")).where(F.col("k._id").isNotNull())
+    kind = F.upper(trim_ws("k.Key_GroupProps.Key_Group_Type"))
+    primary, alternate = kind.isin("PK", "PRIMARY KEY", "PRIMARY"), kind.isin("AK", "ALTERNATE KEY", "ALTERNATE")
+    members = F.transform(
+        F.array_sort(F.transform("k.Key_Group_Member_Groups.Key_Group_Member", lambda x: F.struct(
+            x["Key_Group_MemberProps"]["Key_Group_Member_Order"].cast("int").alias("n"), x["Key_Group_MemberProps"]["Attribute_Ref"].alias("ref")))),
+        lambda x: x["ref"])
+    every = groups.select(
+        "pair_id", "table_id", "ord", F.col("k._id").alias("id"), text(first_nonblank("k._name", "k.Key_GroupProps.Name")).alias("name"),
+        primary.alias("is_pk"), (primary | alternate | F.lower(trim_ws("k.Key_GroupProps.Is_Unique")).isin("1", "true", "yes", "y")).alias("is_unique"),
+        (primary | alternate).alias("_key"), (trim_ws("k.Key_GroupProps.Relationship_Ref") != "").alias("_made"), F.lit(False).alias("mirror"), members.alias("member_refs"))
+    rel = read_definitions(spark, paths, *TARGET["relationship"], id_col="_id").select(pair, "*")
+    r = "RelationshipProps"
+    references = rel.select(
+        "pair_id", F.col("_id").alias("id"), "ord", text(first_nonblank("_name", f"{r}.Name")).alias("name"), F.lit("").alias("code"),
+        text(f"{r}.Parent_Entity_Ref").alias("parent_ref"), text(f"{r}.Child_Entity_Ref").alias("child_ref"))
+    joins = columns.where("rel_ref <> ''").select(
+        "pair_id", F.col("rel_ref").alias("id"), F.col("ord").alias("n"), "parent_col", F.col("id").alias("child_col"))
+    return {
+        "tables": tables, "columns": columns, "keys": every.where("_key").drop("_key", "_made"),
+        "indexes": every.where("not _key and not _made").drop("_key", "_made"), "references": references, "joins": joins}
+
+
+def comparable_physical(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Shredded physical relations with ids resolved to upper-case codes."""
+    tables = side["tables"].withColumn("table", F.upper(trim_ws("code")))
+    ids = tables.select("pair_id", "table_id", "table")
+    on = ["pair_id", "table_id"]
+    columns = side["columns"].withColumn("column", F.upper(trim_ws("code")))
+
+    def grouped(kind):
+        return resolve_members(side[kind], columns, on).join(ids, on)
+
+    dim = ids.select("pair_id", F.col("table_id").alias("oid"), F.col("table").alias("code"))
+    refs = resolve_refs(side["references"], ["pair_id"], "parent_ref", dim, "parent_table")
+    refs = resolve_refs(refs, ["pair_id"], "child_ref", dim, "child_table")
+    names = columns.select("pair_id", F.col("id").alias("oid"), F.col("column").alias("code"))
+    joins = side["joins"]
+    for end in ("parent_col", "child_col"):
+        joins = resolve_refs(joins, ["pair_id"], end, names, end, "")
+    # The join columns of one reference: as many as its key has members.
+    listed = joins.groupBy("pair_id", "id").agg(F.array_sort(F.collect_list(F.struct("parent_col", "child_col"))).alias("joins"))
+    empty = F.array().cast("array<struct<parent_col:string,child_col:string>>")
+    refs = refs.join(listed, ["pair_id", "id"], "left").withColumn("joins", F.coalesce("joins", empty))
+    return {
+        "tables": tables.select("pair_id", "table", "ord", "n_columns"),
+        "columns": columns.join(ids, on).select("pair_id", "table", "column", "ord", "data_type", "not_null", "default_value"),
+        "keys": grouped("keys").select("pair_id", "table", "ord", "name", "is_pk", F.lit(True).alias("is_unique"), F.lit(False).alias("mirror"), "members"),
+        "indexes": grouped("indexes").select("pair_id", "table", "ord", "name", F.lit(False).alias("is_pk"), "is_unique", "mirror", "members"),
+        "references": refs.select("pair_id", "ord", "name", "parent_table", "child_table", "joins")}
 
 
 def resolve_members(df: DataFrame, attributes: DataFrame, scope: list[str]) -> DataFrame:
