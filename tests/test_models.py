@@ -21,7 +21,9 @@ SOURCE = """<?xml version="1.0"?>
   <c:Identifiers><o:Identifier Id="i1"><a:Name>PK</a:Name><c:Identifier.Attributes><o:EntityAttribute Ref="a1"/></c:Identifier.Attributes></o:Identifier></c:Identifiers>
   <c:PrimaryIdentifier><o:Identifier Ref="i1"/></c:PrimaryIdentifier></o:Entity>
  <o:Entity Id="e2"><a:Name>Order</a:Name><a:Code>ORDER</a:Code>
-  <c:Attributes><o:EntityAttribute Id="a3"><a:Name>Order Id</a:Name><a:Code>ORDER_ID</a:Code><a:DataType>I</a:DataType></o:EntityAttribute></c:Attributes></o:Entity>
+  <c:Attributes><o:EntityAttribute Id="a3"><a:Name>Order Id</a:Name><a:Code>ORDER_ID</a:Code><a:DataType>I</a:DataType></o:EntityAttribute></c:Attributes>
+  <c:Identifiers><o:Identifier Id="i2"><a:Name>PK</a:Name><c:Identifier.Attributes><o:EntityAttribute Ref="a3"/></c:Identifier.Attributes></o:Identifier></c:Identifiers>
+  <c:PrimaryIdentifier><o:Identifier Ref="i2"/></c:PrimaryIdentifier></o:Entity>
 </c:Entities>
 <c:Relationships><o:Relationship Id="r1"><a:Name>places</a:Name><a:Entity1ToEntity2Role>places</a:Entity1ToEntity2Role>
  <a:Entity1ToEntity2RoleCardinality>0,n</a:Entity1ToEntity2RoleCardinality><a:Entity2ToEntity1RoleCardinality>1,1</a:Entity2ToEntity1RoleCardinality>
@@ -49,7 +51,9 @@ TARGET = """<?xml version="1.0"?>
 <Domain_Groups><Domain id="{{D1}}" name="Label"><DomainProps><Physical_Name>LABEL</Physical_Name><Logical_Data_Type>VARCHAR(20)</Logical_Data_Type><Built_In_Id>0</Built_In_Id></DomainProps></Domain>
 <Domain id="{{D0}}" name="Blob"><DomainProps><Built_In_Id>7</Built_In_Id></DomainProps></Domain></Domain_Groups></Model></Export>"""
 ORDER = """<Entity id="{E2}" name="Order"><EntityProps><Physical_Name>ORDER</Physical_Name></EntityProps><Attribute_Groups>
-<Attribute id="{A3}" name="Order Id"><AttributeProps><Physical_Name>ORDER_ID</Physical_Name><Logical_Data_Type>INTEGER</Logical_Data_Type></AttributeProps></Attribute></Attribute_Groups></Entity>"""
+<Attribute id="{A3}" name="Order Id"><AttributeProps><Physical_Name>ORDER_ID</Physical_Name><Logical_Data_Type>INTEGER</Logical_Data_Type></AttributeProps></Attribute></Attribute_Groups>
+<Key_Group_Groups><Key_Group id="{K2}" name="XPK"><Key_GroupProps><Key_Group_Type>PK</Key_Group_Type></Key_GroupProps><Key_Group_Member_Groups><Key_Group_Member id="{M2}"><Key_Group_MemberProps>
+<Attribute_Ref>{A3}</Attribute_Ref><Key_Group_Member_Order>1</Key_Group_Member_Order></Key_Group_MemberProps></Key_Group_Member></Key_Group_Member_Groups></Key_Group></Key_Group_Groups></Entity>"""
 CLEAN = dict(type1="INTEGER", null1="1", extra="", order=ORDER, reltype="2")
 
 
@@ -64,6 +68,7 @@ CASES = {
     "FLAG": (dict(null1="0"), [("MANDATORY", "WARNING")]),
     "TYPE": (dict(type1="BLOB"), [("DATA_TYPE", "WARNING")]),
     "DEPENDENCY": (dict(reltype="7"), [("DEPENDENCY", "WARNING")]),
+    "KEY": (dict(order=ORDER.replace("PK</Key_Group_Type>", "AK</Key_Group_Type>")), [("ALTERNATE_IDENTIFIER", "WARNING"), ("PRIMARY_IDENTIFIER", "CRITICAL")]),
     "EXTRA": (dict(extra=PLAIN), [("ATTRIBUTE_EXTRA", "WARNING")]),
     "MIGRATED": (dict(extra=MIGRATED), []),
     "HIDDEN": (dict(extra=HIDDEN), []),
@@ -91,8 +96,8 @@ def fleet(spark, tmp_path_factory):
 
 def test_pointers_are_not_objects(fleet):
     s, t = (({k: v.where("pair_id = 'CLEAN'") for k, v in side.items()}) for side in fleet[:2])
-    assert s["entities"].count() == 2 and s["attributes"].count() == 3 and s["identifiers"].count() == 1
-    key = s["identifiers"].first()
+    assert s["entities"].count() == 2 and s["attributes"].count() == 3 and s["identifiers"].count() == 2
+    key = s["identifiers"].where("id = 'i1'").first()
     assert key.members == ["CUST_ID"] and key.is_primary
     assert t["entities"].where("code = 'CUSTOMER'").first().note == "line one\nline two"
     assert t["domains"].count() == 1

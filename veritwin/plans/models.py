@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..config import Tier
 from ..functions import cardinality as card
+from ..functions.text import normalize_name, object_label
 from ..operators import matching as m
+from ..operators.shaping import drop_tool_objects
 from ..session import cut
 from . import physical as ph
 from . import scoring
@@ -27,8 +29,9 @@ def _rest(match: m.Match, s: DataFrame, t: DataFrame, scope: list[str]) -> tuple
 def compare_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier) -> dict[str, DataFrame]:
     """Findings, object records and results of all pairs.
 
-    Each side holds entities and attributes, and optionally relationships,
-    domains and business_rules. Pairs that cannot be compared are routed away
+    Each side holds entities and attributes, and optionally identifiers (with
+    members), relationships, inheritances with children, domains, business_rules
+    and shortcuts. Pairs that cannot be compared are routed away
     first and become ERROR; the only barrier after that is the entity match,
     whose alias all other comparisons read.
     """
@@ -64,12 +67,32 @@ def compare_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier)
             sem.compare_attributes(a_pairs, tier, object_name=F.col("entity").cast("string")),
             sem.attribute_presence(a_s, a_t, tier, object_name=F.col("entity").cast("string"))]
         records.append(_records(inner, "attributes"))
+    if "identifiers" in s:
+        own_keys = usable(s["identifiers"])
+        records.append(own_keys.groupBy("pair_id").agg(F.count("*").alias("identifiers_s")))
+        findings += _compare_keys(found, pairs, own_keys, t, s.get("children"), tier)
     if tier.relationships and "relationships" in s:
         s_rel = card.with_signatures(m.rewrite_endpoints(usable(s["relationships"]), SCOPE, alias))
         t_rel = card.with_signatures(usable(t["relationships"]))
         rels = m.match_ladder(s_rel, t_rel, SCOPE, m.relationship_keys())
         findings.append(sem.compare_relationships(m.attach(rels, s_rel, t_rel, SCOPE), *_rest(rels, s_rel, t_rel, SCOPE), tier))
         records.append(_records(rels, "relationships"))
+    if tier.inheritance and "inheritances" in s:
+        s_tree = m.rewrite_column(usable(s["inheritances"]), SCOPE, F.col("parent"), alias, "parent")
+        s_kids = m.rewrite_column(usable(s["children"]), SCOPE, F.col("child"), alias, "child")
+        t_tree = usable(t["inheritances"])
+        trees = m.match_ladder(s_tree, t_tree, SCOPE, m.hierarchy_keys())
+        census = sem.hierarchy_census(m.attach(trees, s_tree, t_tree, SCOPE), s_kids, usable(t["children"]))
+        findings.append(sem.compare_hierarchies(census, *_rest(trees, s_tree, t_tree, SCOPE), tier))
+        records.append(_records(trees, "inheritances"))
+    if tier.model_quality and "relationships" in t:
+        ends = usable(t["relationships"]).select("pair_id", F.explode(F.array("end1.entity", "end2.entity")).alias("entity"))
+        if "inheritances" in t:
+            ends = ends.unionByName(usable(t["inheritances"]).select("pair_id", F.col("parent").alias("entity"))).unionByName(
+                usable(t["children"]).select("pair_id", F.col("child").alias("entity")))
+        findings.append(sem.check_quality(t_ent, ends, s_ent))
+    if tier.shortcuts and "shortcuts" in s:
+        findings.append(sem.list_external_references(usable(s["shortcuts"])))
     for name, ladder, compare in (
         ("domains", m.domain_keys(), lambda p, a, b: sem.compare_domains(p, a, b, tier)),
         ("business_rules", m.rule_keys(), sem.compare_business_rules),
@@ -86,14 +109,59 @@ def compare_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier)
     counters = scoring.join_counts(every, [*records, scoring.severity_counts(rows)])
     counters = counters.join(guarded.select("pair_id", F.col("error").isNotNull().alias("_error")), SCOPE, "left")
     objects = F.lit(0)
-    kinds = [k for k in ("entities", "attributes", "relationships") if f"{k}_s" in counters.columns]
-    for k in kinds:
-        objects = objects + F.col(f"{k}_s")
+    kinds = [k for k in ("entities", "attributes", "relationships", "inheritances") if f"{k}_s" in counters.columns]
+    for k in [*kinds, "identifiers"]:
+        if f"{k}_s" in counters.columns:
+            objects = objects + F.col(f"{k}_s")
     scored = scoring.fidelity_score(counters, tier, objects, F.col("_error")).drop("_error")
     results = scoring.gate(scoring.count_identities(scored, kinds), tier.promotion_target, strict=False)
     return {"findings": rows, "results": results, "alias": alias, "guard": guarded}
 
 
+def _compare_keys(found: m.Match, pairs: DataFrame, s_keys: DataFrame, t: dict[str, DataFrame], children: DataFrame | None, tier: Tier) -> list[DataFrame]:
+    """Primary and alternate identifiers of matched entities."""
+    link = found.pairs.select("pair_id", F.col("s_id").alias("entity"), F.col("t_id").alias("_t"))
+    t_keys = t["identifiers"].withColumnRenamed("entity", "_t").join(link, ["pair_id", "_t"]).drop("_t")
+    scope = ["pair_id", "entity"]
+
+    def primary(keys, side):
+        comment = F.col("comment") if "comment" in keys.columns else F.lit("")
+        best = keys.where("is_primary").withColumn("_c", comment).groupBy(*scope).agg(F.min_by(F.struct("name", "members", "_c"), "ord").alias("_k"))
+        return best.select(*scope, F.col("_k.name").alias(f"{side}_key_name"), F.col("_k.members").alias(f"{side}_members"), F.col("_k._c").alias(f"{side}_comment"))
+
+    moved = t["attributes"].where("is_migrated").withColumnRenamed("entity", "_t").join(link, ["pair_id", "_t"]).groupBy(*scope).agg(
+        F.collect_set("code").alias("t_migrated"), F.collect_set(F.array("code", "name")).alias("t_aliases"))
+    label = pairs.select(
+        "pair_id", F.col("s_id").alias("entity"), object_label("s_name", "s_code").alias("object_name"),
+        normalize_name(F.coalesce(F.nullif("s_code", F.lit("")), "s_name")).alias("_key"),
+        (F.col("s_is_associative") | F.col("t_is_associative")).alias("is_associative") if "s_is_associative" in pairs.columns else F.lit(False).alias("is_associative"))
+    df = label.join(primary(s_keys, "s"), scope, "left").join(primary(t_keys, "t"), scope, "left").join(moved, scope, "left")
+    if children is None:
+        df = df.withColumn("is_subtype", F.lit(False))
+    else:
+        subtypes = children.select("pair_id", normalize_name("child").alias("_key")).distinct().withColumn("_sub", F.lit(True))
+        df = df.join(subtypes, ["pair_id", "_key"], "left").withColumn("is_subtype", F.coalesce("_sub", F.lit(False)))
+    df = df.withColumn("t_migrated", F.coalesce("t_migrated", F.array().cast("array<string>"))).withColumn(
+        "t_aliases", F.coalesce("t_aliases", F.array().cast("array<array<string>>")))
+    out = []
+    if tier.primary_identifiers:
+        out.append(sem.compare_primary_key(df, tier))
+    if tier.alternate_identifiers:
+        inside = s_keys.where("not is_primary").join(link.select(*scope), scope, "left_semi")
+        other = t_keys.where("not is_primary")
+        if "key_group" in other.columns:
+            out += [sem.list_inversion_entries(_inversions(other))] if tier.inversion_entries else []
+            other = drop_tool_objects(other, key_group="key_group")
+        cols = [*scope, "ord", "name", "members"]
+        out.append(sem.compare_alternate_keys(inside.select(*cols), other.select(*cols), scope).drop("entity"))
+    return out
+
+
+def _inversions(keys: DataFrame) -> DataFrame:
+    made = ~F.coalesce(F.col("key_group"), F.lit("")).isin("PK", "AK")
+    return keys.withColumn("is_inversion_entry", made).withColumnRenamed("entity", "entity_key")
+
+
 def _records(found: m.Match, kind: str) -> DataFrame:
     rows = (
         found.pairs.select("pair_id", F.lit("MATCHED").alias("status"))

@@ -15,7 +15,7 @@ from ..functions import cardinality as card
 from ..functions import types as ty
 from ..functions.text import first_nonblank, text, trim_ws
 from ..functions.records import join_notes
-from ..operators.shaping import drop_hidden_duplicates, is_migrated_key, resolve_refs
+from ..operators.shaping import drop_hidden_duplicates, is_migrated_key, resolve_refs, subtype_trees
 
 # Element names of the source document.
 _REF = "struct<`_Ref`: string>"
@@ -379,9 +379,26 @@ def comparable(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
     attributes = resolve_refs(side["attributes"], ["pair_id"], "domain_ref", dim, "domain", "")
     if "hidden" in attributes.columns:
         attributes = drop_hidden_duplicates(attributes)
-    return {
-        **side, "attributes": attributes, "relationships": resolve_endpoints(side["relationships"], side["entities"]),
+    rel = resolve_endpoints(side["relationships"], side["entities"])
+    codes = side["entities"].select("pair_id", F.col("id").alias("oid"), "code")
+    if "inheritances" in side:
+        trees = resolve_refs(side["inheritances"], ["pair_id"], "parent_ref", codes, "parent")
+        children = resolve_refs(side["inheritance_links"], ["pair_id"], "child_ref", codes, "child")
+    else:
+        # The target writes a hierarchy as SUBTYPE relationships.
+        flat = rel.select("pair_id", "ord", "type", F.col("end1.entity").alias("parent"), F.col("end2.entity").alias("child"))
+        heads, children = subtype_trees(flat, ["pair_id"])
+        trees = heads.select(
+            "pair_id", F.col("parent").alias("id"), "parent", F.lit("").alias("name"), F.lit("").alias("code"),
+            F.lit(False).alias("complete"), F.lit(False).alias("mutually_exclusive"))
+        children = children.select("pair_id", F.col("parent").alias("id"), "child")
+        rel = rel.where("type <> 'SUBTYPE'")
+    out = {
+        **side, "attributes": attributes, "relationships": rel, "inheritances": trees, "children": children,
         "identifiers": resolve_members(side["identifiers"], side["attributes"], ["pair_id", "entity"])}
+    if "shortcuts" in side:
+        out["shortcuts"] = side["shortcuts"].withColumn("target_model", F.lit(""))
+    return out
 
 
 def ingest(relations: dict[str, DataFrame], path: str) -> None:
