@@ -135,10 +135,10 @@ def _build_manifest(T):
 
 
 _MAN = "SELECT concat('m', user_id % 4) AS pair_id, lower(concat('user ', user_id)) AS owner_key, event_type AS udp, 'p' AS source_path, CASE WHEN event_id % 21 = 0 THEN ' ' ELSE props END AS value, event_id FROM {events}"
-_OUTCOME = "CASE event_id % 8 WHEN 0 THEN 'Applied - Altered' WHEN 1 THEN 'Skipped - No Entity' WHEN 2 THEN 'Skipped - Rejected' WHEN 3 THEN 'Applied - Unverified' ELSE 'Applied - Verified' END"
+_OUTCOME = "CASE event_id % 8 WHEN 0 THEN 'Applied - Value Altered' WHEN 1 THEN 'Skipped - Entity Not Found In Target' WHEN 2 THEN 'Skipped - Property Rejected By Target' WHEN 3 THEN 'Applied - Not Verified' ELSE 'Applied - Verified' END"
 RECON_SQL = f"""mn AS (SELECT *, row_number() OVER (PARTITION BY owner_key, udp, source_path ORDER BY event_id) - 1 AS occurrence FROM ({plain(_MAN)}) a),
-rc AS (SELECT pair_id, owner_key, udp, value, event_id, CASE WHEN event_id % 10 = 7 THEN 'Not Verified' ELSE {_OUTCOME} END AS status FROM mn),
-rm AS (SELECT *, CASE status WHEN 'Applied - Verified' THEN 'Match' WHEN 'Applied - Altered' THEN 'Mismatch' WHEN 'Applied - Unverified' THEN 'Unverified' ELSE 'Not Applied' END AS match FROM rc)"""
+rc AS (SELECT pair_id, owner_key, udp, value, event_id, CASE WHEN event_id % 10 = 7 THEN 'Not Verified - No Injection Result' ELSE {_OUTCOME} END AS status FROM mn),
+rm AS (SELECT *, CASE status WHEN 'Applied - Verified' THEN 'Match' WHEN 'Applied - Value Altered' THEN 'Mismatch' WHEN 'Applied - Not Verified' THEN 'Unverified' ELSE 'Not Applied' END AS match FROM rc)"""
 
 
 def recon(T):
@@ -185,8 +185,8 @@ def _definition_rollup(T):
 
 
 EXC_SQL = f"""{RECON_SQL}, ex AS (SELECT 'High' AS severity, 'Definition failed' AS category, '' AS owner, 'purchase' AS udp
-UNION ALL SELECT 'High', CASE status WHEN 'Skipped - No Entity' THEN 'Entity not found' WHEN 'Skipped - Rejected' THEN 'Property rejected' ELSE 'Value altered' END, owner_key, udp FROM rm WHERE status IN ('Skipped - No Entity', 'Skipped - Rejected', 'Applied - Altered')
-UNION ALL SELECT 'Medium', 'Not verified', owner_key, udp FROM rm WHERE status = 'Not Verified' UNION ALL SELECT 'Low', 'Empty source value', owner_key, udp FROM rm WHERE trim(value) = ''
+UNION ALL SELECT 'High', CASE status WHEN 'Skipped - Entity Not Found In Target' THEN 'Entity not found' WHEN 'Skipped - Property Rejected By Target' THEN 'Property rejected' ELSE 'Value altered' END, owner_key, udp FROM rm WHERE status IN ('Skipped - Entity Not Found In Target', 'Skipped - Property Rejected By Target', 'Applied - Value Altered')
+UNION ALL SELECT 'Medium', 'Not verified', owner_key, udp FROM rm WHERE status = 'Not Verified - No Injection Result' UNION ALL SELECT 'Low', 'Empty source value', owner_key, udp FROM rm WHERE trim(value) = ''
 UNION ALL SELECT 'Medium', 'Unnamed entity', concat('P', p_partkey), '' FROM part WHERE p_partkey % 300 = 0 UNION ALL SELECT 'Low', 'Inferred value list', '', 'click'
 UNION ALL SELECT 'Informational', 'Not carried over', '', c FROM (SELECT DISTINCT p_brand FROM part) b, (VALUES ('Glossary bindings'), ('Templates'), ('Version history')) v(c))"""
 

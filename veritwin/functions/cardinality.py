@@ -32,6 +32,8 @@ RELATIONSHIP_TYPES = {"2": "IDENTIFYING", "7": "NON_IDENTIFYING", "4": "MANY_TO_
 # Whether nulls are allowed, as a relationship states it and as an attribute states it.
 RELATIONSHIP_NULLS = {"101": "false", "100": "true"}
 ATTRIBUTE_NULLS = {"1": "false", "0": "true"}
+# Words for a mandatory attribute.
+NOT_NULL_TOKENS = ("not null", "notnull", "nn", "mandatory", "required", "no nulls", "1", "true", "yes")
 # Whether a physical column is NOT NULL.
 PHYSICAL_NOT_NULL = {"1": "true", "0": "false", "2": "false"}
 

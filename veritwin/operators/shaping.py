@@ -119,7 +119,7 @@ def drop_tool_objects(df: DataFrame, built_in: str | None = None, key_group: str
 
 
 # Spellings of true.
-TRUE_TOKENS = ("1", "true", "yes", "y", "t")
+TRUE_TOKENS = ("1", "true", "yes", "y", "t", "on")
 
 
 def is_migrated_key(flags: Sequence[str], key_type: str | None = None, parent_ref: str | None = None) -> Column:
@@ -128,7 +128,7 @@ def is_migrated_key(flags: Sequence[str], key_type: str | None = None, parent_re
     for flag in flags:
         hit = hit | F.lower(trim_ws(flag)).isin(*TRUE_TOKENS)
     if key_type:
-        hit = hit | F.upper(trim_ws(key_type)).isin("FK", "FOREIGN KEY", "MIGRATED")
+        hit = hit | F.upper(trim_ws(key_type)).isin("FK", "FOREIGN KEY")
     if parent_ref:
         hit = hit | (trim_ws(parent_ref) != "")
     return hit

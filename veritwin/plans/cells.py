@@ -17,8 +17,9 @@ RELIABILITY_FLOOR = 0.80
 LIST_LIMIT = 12
 
 # Outcomes a property writer reports.
-VERIFIED, ALTERED, UNVERIFIED = "Applied - Verified", "Applied - Altered", "Applied - Unverified"
-NO_ENTITY, REJECTED, NOT_RUN = "Skipped - No Entity", "Skipped - Rejected", "Not Verified"
+VERIFIED, ALTERED, UNVERIFIED = "Applied - Verified", "Applied - Value Altered", "Applied - Not Verified"
+NO_ENTITY, REJECTED = "Skipped - Entity Not Found In Target", "Skipped - Property Rejected By Target"
+NOT_RUN = "Not Verified - No Injection Result"
 
 # How property values are recognised.
 GUID_FORM = r"^\{?[0-9A-Fa-f]{8}-"

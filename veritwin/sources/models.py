@@ -198,7 +198,9 @@ def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> d
         text(first_nonblank("a.Physical_Name", f"{props}.Physical_Name", a_name)).alias("code"),
         text(first_nonblank(f"{props}.Definition", f"{props}.Comment")).alias("definition"),
         text(first_nonblank(f"{props}.Logical_Data_Type", f"{props}.Physical_Data_Type")).alias("data_type"), F.lit("").alias("length"), F.lit("").alias("precision"),
-        F.coalesce(ty.lookup(card.ATTRIBUTE_NULLS, trim_ws(f"{props}.Null_Option_Type")) == "false", F.lit(False)).alias("mandatory"),
+        F.coalesce(
+            ty.lookup(card.ATTRIBUTE_NULLS, trim_ws(f"{props}.Null_Option_Type")) == "false",
+            F.lower(trim_ws(f"{props}.Null_Option_Type")).isin(*card.NOT_NULL_TOKENS)).alias("mandatory"),
         text(f"{props}.Parent_Domain_Ref").alias("domain_ref"), _flag(F.col(f"{props}.Hide_In_Logical")).alias("hidden"),
         text(f"{props}.Logical_Lead_Attribute_Ref").alias("lead_ref"),
         is_migrated_key([], f"{props}.Type", f"{props}.Parent_Attribute_Ref").alias("is_migrated"))
