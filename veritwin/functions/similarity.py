@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import difflib
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,10 @@ from pyspark.sql import types as T
 from .text import normalize_definition
 
 
+# The function travels by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(T.DoubleType())
 def _ratcliff(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio; NULL pairs cost nothing, they were decided before."""
