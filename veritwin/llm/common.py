@@ -53,5 +53,10 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
-def spans_text(spans: list[tuple[str, int, int]]) -> str:
-    return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+def span_list(spans: str) -> Column:
+    """kind:start:end of an ordered array of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
