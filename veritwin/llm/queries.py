@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, secrets
+from . import decontaminate, licenses, pii, secrets
 from .common import digest, span_list
 
 QUERIES: dict = {}
@@ -21,11 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spans_of(kind: str):
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
+def span_digests(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    counts = [spans_of(k).alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, digest(span_list("base")).alias("base_sha256"), span_list("spans").alias("spans"))
+
+
 @register
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
-    return found.select("doc_id", *counts, digest(span_list("base")).alias("base_sha256"), span_list("spans").alias("spans"))
+    return span_digests(secrets.find_secrets(table(spark, sf_dir, "documents")), ("assign", "access", "hex"))
+
+
+@register
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(pii.find_pii(table(spark, sf_dir, "documents")), pii.BASE_KINDS)
 
 
 @register
