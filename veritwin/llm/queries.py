@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, pii, secrets
+from . import decontaminate, licenses, neardup, pii, secrets
 from .common import digest, span_list
 
 QUERIES: dict = {}
@@ -48,3 +48,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
