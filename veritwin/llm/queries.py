@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, neardup, pii, secrets
-from .common import digest, span_list
+from . import decontaminate, language, licenses, neardup, pii, secrets
+from .common import digest, remainder, span_list
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,11 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    found = language.identify(docs, language.learn(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
