@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, neardup, pii, secrets
+from . import decontaminate, language, licenses, neardup, pii, secrets, tokens
 from .common import digest, remainder, span_list
 
 QUERIES: dict = {}
@@ -61,3 +61,8 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 4) == 2
     found = language.identify(docs, language.learn(docs.where(~held_out)))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.context_totals(tokens.length_histogram(tokens.encoded_lengths(table(spark, sf_dir, "documents"))))
