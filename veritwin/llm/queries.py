@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, neardup, pii, secrets, tokens
+from . import decontaminate, language, licenses, neardup, pii, secrets, suffix_tree, tokens
 from .common import digest, remainder, span_list
 
 QUERIES: dict = {}
@@ -66,3 +66,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.context_totals(tokens.length_histogram(tokens.encoded_lengths(table(spark, sf_dir, "documents"))))
+
+
+@register
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 7) == 2
+    counts, tree = suffix_tree.learn(docs.where(~held_out))
+    found = suffix_tree.scores(docs, counts, tree)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
