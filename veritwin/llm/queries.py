@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, neardup, pii, secrets, suffix_tree, tokens
+from . import decontaminate, hashing, language, licenses, neardup, pii, secrets, suffix_tree, tokens
 from .common import digest, remainder, span_list
 
 QUERIES: dict = {}
@@ -75,3 +75,8 @@ def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts, tree = suffix_tree.learn(docs.where(~held_out))
     found = suffix_tree.scores(docs, counts, tree)
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashing.near_vectors(table(spark, sf_dir, "embeddings"))
