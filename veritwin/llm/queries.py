@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hashing, language, licenses, neardup, pii, secrets, suffix_tree, tokens
+from . import decontaminate, hashing, language, licenses, neardup, pieces, pii, secrets, suffix_tree, tokens
 from .common import digest, remainder, span_list
 
 QUERIES: dict = {}
@@ -80,3 +80,8 @@ def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashing.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), pieces.load())
