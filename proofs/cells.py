@@ -204,7 +204,7 @@ def _exceptions(T):
     return ce.or_no_exceptions(exception_rows(T))
 
 
-@query("capped_exceptions", f"""WITH {EXC_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY severity, category ORDER BY owner, udp) AS rn FROM ex)
-SELECT severity, category, owner, udp, '' AS detail FROM r WHERE rn <= 100 UNION ALL SELECT severity, category, '', '', concat(count(*), ' rows in this category, the first listed: 100') FROM ex GROUP BY severity, category HAVING count(*) > 100""")
+@query("capped_exceptions", f"""WITH {EXC_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY severity, category ORDER BY owner, udp)::INTEGER AS rank, count(*) OVER (PARTITION BY severity, category) AS rows_in_category FROM ex)
+SELECT severity, category, owner, udp, rank, rows_in_category, rank <= 100 AS example FROM r""")
 def _capped_exceptions(T):
-    return rp.capped_exceptions(exception_rows(T), 100)
+    return rp.ranked_exceptions(exception_rows(T), 100)

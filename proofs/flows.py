@@ -52,9 +52,16 @@ def _discover_pairs(T):
     return files.discover_pairs(T.sql(_SF), T.sql(_TF))
 
 
-@query("discover_pairs_prefix", f"WITH {_pairs_sql('left(' + _BASE + ', 8)')} SELECT * FROM pr")
-def _discover_pairs_prefix(T):
-    return files.discover_pairs(T.sql(_SF), T.sql(_TF), "prefix", 8)
+# Two customers share a file name: the later of two paths is a duplicate.
+_TWICE = "SELECT concat('/in/', c_custkey, '/m', c_custkey DIV 2, '.x') AS path FROM {customer}"
+
+
+@query("duplicate_files", """WITH p AS (SELECT concat('/in/', c_custkey, '/m', c_custkey // 2, '.x') AS path, 'M' || (c_custkey // 2) AS pair_key FROM customer),
+f AS (SELECT *, min(path) OVER (PARTITION BY pair_key) AS first FROM p), d AS (SELECT pair_key, path FROM f WHERE path > first)
+SELECT pair_key, 'S' AS side, path, 'DUPLICATE' AS status FROM d UNION ALL SELECT pair_key, 'T', path, 'DUPLICATE' FROM d""")
+def _duplicate_files(T):
+    twice = T.sql(_TWICE)
+    return files.duplicate_files(twice, twice)
 
 
 @query("discover_pairs_mapping", f"""WITH {_pairs_sql(_BASE)}, mp AS (SELECT 'MODEL_' || c_custkey AS sk, 'MODEL_' || (c_custkey + 1) AS tk FROM customer)

@@ -237,7 +237,7 @@ def _match_multiset_hot_groups(T):
     from veritwin.operators.ordered import number_within
 
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_linestatus", "l_shipdate"]
-    rows = number_within(T.lineitem, ["l_returnflag"], order, "rn", hot_rows=1000)
+    rows = number_within(T.lineitem, ["l_returnflag"], order, "rn")
     return rows.groupBy(F.col("l_returnflag").alias("flag")).agg(
         F.count("*").alias("rows"), F.max("rn").alias("last"), F.sum(F.col("rn") * (F.col("l_orderkey") % 97)).alias("checksum"))
 
@@ -381,21 +381,27 @@ SELECT v.user_id, v.event_id AS id, a.anchor AS owner FROM (SELECT * FROM events
 ASOF LEFT JOIN a ON a.user_id = v.user_id AND v.ts >= a.ts"""
 
 
-def _asof(T, hot_rows):
+def _asof(T):
     e = T.events.withColumnRenamed("event_id", "id")
     values = e.where("event_type = 'purchase'").select("user_id", "ts", "id")
     anchors = e.where("event_type = 'signup'").select("user_id", "ts", "id", F.col("id").alias("owner"))
-    return m.asof_owner(values, anchors, ["user_id"], "ts", "owner", hot_rows).select("user_id", "id", "owner")
+    return m.asof_owner(values, anchors, ["user_id"], "ts", "owner").select("user_id", "id", "owner")
 
 
 @query("asof_owner", _ASOF)
 def _asof_owner(T):
-    return _asof(T, m.HOT_ROWS)
+    return _asof(T)
 
 
-@query("asof_owner_hot_groups", _ASOF)
+@query("asof_owner_hot_groups", """WITH e AS (SELECT event_id AS id, ts, user_id % 3 AS g, event_type FROM events), a AS (SELECT g, id AS anchor, row_number() OVER (PARTITION BY g ORDER BY ts, id) AS n, ts FROM e WHERE event_type = 'signup'),
+v AS (SELECT g, id, ts FROM e WHERE event_type = 'purchase'), j AS (SELECT v.g, v.id, max(a.n) AS n FROM v LEFT JOIN a ON a.g = v.g AND a.ts <= v.ts GROUP BY ALL)
+SELECT j.g, j.id, a.anchor AS owner FROM j LEFT JOIN a ON a.g = j.g AND a.n = j.n""")
 def _asof_owner_hot(T):
-    return _asof(T, 20)
+    """Three groups hold the whole table."""
+    e = T.events.withColumnRenamed("event_id", "id").withColumn("g", F.col("user_id") % 3)
+    values = e.where("event_type = 'purchase'").select("g", "ts", "id")
+    anchors = e.where("event_type = 'signup'").select("g", "ts", "id", F.col("id").alias("owner"))
+    return m.asof_owner(values, anchors, ["g"], "ts", "owner").select("g", "id", "owner")
 
 
 _EXTRA = "SELECT 'm' AS pair_id, concat('T', p_partkey % 10) AS owner, p_partkey AS id, concat(p_type, ' ', p_name) AS name, upper(replace(p_name, ' ', '_')) AS code FROM {part}"

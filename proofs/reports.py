@@ -37,12 +37,10 @@ def _summary_with_totals(T):
 _RANK = "CASE severity WHEN 'CRITICAL' THEN 0 WHEN 'WARNING' THEN 1 WHEN 'INFO' THEN 2 ELSE 3 END"
 
 
-@query("top_findings", f"""WITH {findings_sql()}, c AS (SELECT pair_id, count(*) FILTER (severity IN ('CRITICAL', 'WARNING')) AS must, count(*) FILTER (severity NOT IN ('CRITICAL', 'WARNING')) AS ctx FROM f GROUP BY pair_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY {_RANK}, category, object_name, member) AS rn FROM f WHERE severity NOT IN ('CRITICAL', 'WARNING'))
-SELECT pair_id, category, severity, member FROM f WHERE severity IN ('CRITICAL', 'WARNING') UNION ALL SELECT r.pair_id, category, severity, member FROM r JOIN c USING (pair_id) WHERE rn <= greatest(50 - must, 0)
-UNION ALL SELECT pair_id, 'REPORT_TRUNCATED', 'INFO', '' FROM c WHERE ctx - greatest(50 - must, 0) > 0""")
+@query("top_findings", f"""WITH {findings_sql()}, r AS (SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY {_RANK}, category, object_name, member) AS rn FROM f)
+SELECT pair_id, category, severity, member, rn::INTEGER AS rank, severity NOT IN ('CRITICAL', 'WARNING', 'ERROR') AND rn > 50 AS omitted FROM r""")
 def _top_findings(T):
-    return rp.top_findings(part_findings(T)[0], 50).select("pair_id", "category", "severity", "member")
+    return rp.top_findings(part_findings(T)[0], 50).select("pair_id", "category", "severity", "member", "rank", "omitted")
 
 
 @query("entity_matrix", f"""WITH {findings_sql()}, o AS (SELECT pair_id, s_id AS id, 'MATCHED' AS status, code FROM lp JOIN s0 USING (pair_id) WHERE s0.id = lp.s_id UNION ALL SELECT pair_id, id, 'MISSING', code FROM ls),

@@ -1,8 +1,10 @@
 import random
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veritwin.operators import matching as m
+from veritwin.operators import ordered
 from veritwin.operators.ordered import fill_forward, keep_one, number_within
 
 ROWS = "pair_id string, id int, ord int, name string, code string"
@@ -62,21 +64,23 @@ def test_ladder_does_not_depend_on_partitions(spark):
     assert results[0] == results[1]
 
 
-def test_hot_groups_number_like_a_window(spark):
+def test_blocks_number_like_a_window(spark, monkeypatch):
     rows = spark.range(5000).select((F.col("id") % 3 % 2).alias("g"), (F.col("id") * 7919 % 5003).alias("o"))
-    plain = number_within(rows, ["g"], ["o"])
-    hot = number_within(rows, ["g"], ["o"], hot_rows=500)
-    assert sorted(plain.collect()) == sorted(hot.select(*plain.columns).collect())
+    plain = rows.withColumn("rn", F.row_number().over(W.partitionBy("g").orderBy("o")))
+    for size in (ordered.BLOCK_ROWS, 300):
+        monkeypatch.setattr(ordered, "BLOCK_ROWS", size)
+        assert sorted(plain.collect()) == sorted(number_within(rows, ["g"], ["o"]).collect())
 
 
-def test_hot_groups_fill_forward_like_a_window(spark):
+def test_blocks_fill_forward_like_a_window(spark, monkeypatch):
     rows = spark.range(4000).select(
         (F.col("id") % 7 == 0).cast("int").alias("g"), (F.col("id") * 7919 % 4001).alias("o"),
         F.when(F.col("id") % 97 == 0, F.col("id")).alias("v"))
-    plain = fill_forward(rows, ["g"], ["o"], "v", "w")
-    hot = fill_forward(rows, ["g"], ["o"], "v", "w", hot_rows=300)
+    plain = rows.withColumn("w", F.last("v", ignorenulls=True).over(W.partitionBy("g").orderBy("o")))
     key = lambda r: (r.g, r.o)
-    assert sorted(plain.collect(), key=key) == sorted(hot.select(*plain.columns).collect(), key=key)
+    for size in (ordered.BLOCK_ROWS, 300):
+        monkeypatch.setattr(ordered, "BLOCK_ROWS", size)
+        assert sorted(plain.collect(), key=key) == sorted(fill_forward(rows, ["g"], ["o"], "v", "w").collect(), key=key)
 
 
 def test_keep_one_drops_rows_before_the_shuffle(spark):

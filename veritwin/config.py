@@ -67,8 +67,6 @@ class Tier:
     report_fallback: bool = True
     exclude_entities: tuple[str, ...] = ()
     exclude_attributes: tuple[str, ...] = ()
-    pairing: str = "filename"
-    prefix_length: int = 8
     # semantic switches
     entities: bool = True
     attributes: bool = True
@@ -109,11 +107,8 @@ class Tier:
     primary_keys: bool = True
     foreign_keys: bool = True
     indexes: bool = True
-    column_order: bool = False
     skip_mirror_indexes: bool = True
     abstract_types: tuple[str, ...] = ("ENUM",)
-    # reports
-    max_rows_per_pair: int = 500
 
     def with_(self, **changes) -> "Tier":
         return replace(self, **changes)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import compare_key, normalize_name, text, trim_ws
 from ..session import cut
-from .ordered import HOT_ROWS, fill_forward, keep_one, number_within
+from .ordered import fill_forward, keep_one, number_within
 
 Key = tuple[str, Column, Column]
 
@@ -206,13 +206,12 @@ def reconcile_keyed(s: DataFrame, t: DataFrame, key: Sequence[str]) -> DataFrame
 
 
 def match_multiset(
-    s: DataFrame, t: DataFrame, signature: Sequence[str], s_order: Sequence[str], t_order: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    s: DataFrame, t: DataFrame, signature: Sequence[str], s_order: Sequence[str], t_order: Sequence[str]
 ) -> DataFrame:
     """Pair equal signatures one for one: the k-th S row with the k-th T row."""
     sig = list(signature)
-    left = number_within(s, sig, list(s_order), "occurrence", hot_rows)
-    right = number_within(t, sig, list(t_order), "occurrence", hot_rows)
+    left = number_within(s, sig, list(s_order), "occurrence")
+    right = number_within(t, sig, list(t_order), "occurrence")
     return reconcile_keyed(left, right, [*sig, "occurrence"])
 
 
@@ -324,7 +323,7 @@ def match_edges_tiered(s: DataFrame, t: DataFrame, scope: Sequence[str]) -> Data
     return tier1.unionByName(tier2)
 
 
-def claim_first(s: DataFrame, t: DataFrame, scope: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def claim_first(s: DataFrame, t: DataFrame, scope: Sequence[str]) -> DataFrame:
     """Documentation pairing: same normalised name, else same normalised code.
 
     Inside one bucket the k-th S row takes the k-th T row, in ``ord``. Rounds, in
@@ -345,7 +344,7 @@ def claim_first(s: DataFrame, t: DataFrame, scope: Sequence[str], hot_rows: int
     for s_key, t_key in (("_name", "_name"), ("_name", "_code"), ("_code", "_name"), ("_code", "_code")):
         key = F.when(from_s, F.col(s_key)).otherwise(F.col(t_key))
         asked = rows.select(*scope, "_side", "_id", "ord", key.alias("_key")).where("_key <> ''")
-        numbered = number_within(asked, [*scope, "_key", "_side"], ["ord", "_id"], "rn", hot_rows)
+        numbered = number_within(asked, [*scope, "_key", "_side"], ["ord", "_id"], "rn")
         mates = numbered.groupBy(*scope, "_key", "rn").agg(
             F.min(F.when(from_s, F.col("_id"))).alias("_s"), F.min(F.when(~from_s, F.col("_id"))).alias("_t")
         ).where("_s is not null and _t is not null")
@@ -385,11 +384,11 @@ def match_by_signature(
 
 
 def pair_changed_edges(
-    missing: DataFrame, extra: DataFrame, scope: Sequence[str], hot_rows: int = HOT_ROWS
+    missing: DataFrame, extra: DataFrame, scope: Sequence[str]
 ) -> DataFrame:
     """Edges left over by signature: same (parent, child) pairs up as JOIN_CHANGED."""
     key = [*scope, "parent", "child"]
-    both = match_multiset(missing, extra, key, ["ord"], ["ord"], hot_rows)
+    both = match_multiset(missing, extra, key, ["ord"], ["ord"])
     return both.withColumn(
         "status", F.when(F.col("status") == "MATCHED", "JOIN_CHANGED").otherwise(F.col("status"))
     )
@@ -401,21 +400,19 @@ def orphans(objects: DataFrame, endpoints: DataFrame, key: Sequence[str]) -> Dat
 
 
 def occurrence_join(
-    manifest: DataFrame, outcomes: DataFrame, key: Sequence[str], order: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    manifest: DataFrame, outcomes: DataFrame, key: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Left join on key plus occurrence, so that repeated keys stay apart.
 
     ``outcomes`` carries its own 0-based ``occurrence``.
     """
-    numbered = number_within(manifest, list(key), list(order), "_n", hot_rows)
+    numbered = number_within(manifest, list(key), list(order), "_n")
     counted = numbered.withColumn("occurrence", F.col("_n") - F.lit(1)).drop("_n")
     return counted.join(outcomes, [*key, "occurrence"], "left")
 
 
 def asof_owner(
-    values: DataFrame, anchors: DataFrame, scope: Sequence[str], offset: str, owner: str,
-    hot_rows: int = HOT_ROWS,
+    values: DataFrame, anchors: DataFrame, scope: Sequence[str], offset: str, owner: str
 ) -> DataFrame:
     """Each value with the owner of the closest anchor at or before its offset.
 
@@ -428,7 +425,7 @@ def asof_owner(
         values.select(*scope, offset, "id", F.lit(1).alias("_kind"), F.lit(None).cast(
             anchors.schema[owner].dataType).alias("_owner"))
     )
-    filled = fill_forward(both, scope, [offset, "_kind", "id"], "_owner", owner, hot_rows)
+    filled = fill_forward(both, scope, [offset, "_kind", "id"], "_owner", owner)
     return filled.where("_kind = 1").select(*scope, "id", offset, owner)
 
 

@@ -1,10 +1,9 @@
 """Numbering and carrying values forward inside groups of any size.
 
-A window over a group sends the whole group to one task. That is right for
-ordinary groups and wrong for a group that holds a third of the data. Both
-operators here count the groups first (the count combines map-side), use a plain
-window for ordinary groups, and cut the large ones into range blocks: sorted
-slices of bounded size whose summaries are small enough for a window.
+A window over a group sends the whole group to one task, which is wrong for a group that holds a third of
+the data. So every group is handled the same way: rows are cut into range blocks by group and order, each block gets a
+plain window, and the summaries of the blocks (one row per group and block) are carried over. The number of blocks
+follows the number of rows, so a block keeps its size as the data grows.
 """
 
 from __future__ import annotations
@@ -15,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-HOT_ROWS = 2_000_000
+#: Rows of a block, about; the range bounds are sampled.
+BLOCK_ROWS = 1_000_000
 
 
 def _same(cols: list[str], a: str, b: str) -> Column:
@@ -25,35 +25,20 @@ def _same(cols: list[str], a: str, b: str) -> Column:
     return cond
 
 
-def split_hot(df: DataFrame, group: list[str], hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary groups, rows of large groups or None when there are none)."""
-    large = cut(df.groupBy(*group).count().where(F.col("count") > hot_rows).select(*group))
-    if large.isEmpty():
-        return df, None
-    rows, keys = df.alias("d"), large.alias("k")
-    on = _same(group, "d", "k")
-    return rows.join(keys, on, "left_anti"), rows.join(keys, on, "left_semi")
-
-
 def _blocks(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """Rows with a block number that grows with the order inside each group.
 
     The range bounds come from a sample, so the result is written once and read
     by both consumers; a second run could cut elsewhere.
     """
-    ranged = df.repartitionByRange(*group, *order)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(max(least, -(-df.count() // BLOCK_ROWS)), *group, *order)
     return cut(ranged.withColumn("_block", F.spark_partition_id()))
 
 
-def number_within(
-    df: DataFrame, group: list[str], order: list[str], out: str = "rn", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def number_within(df: DataFrame, group: list[str], order: list[str], out: str = "rn") -> DataFrame:
     """1, 2, 3 … inside each group. ``order`` must give a total order."""
-    cold, hot = split_hot(df, group, hot_rows)
-    numbered = cold.withColumn(out, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
-    if hot is None:
-        return numbered
-    blocks = _blocks(hot, group, order)
+    blocks = _blocks(df, group, order)
     sizes = blocks.groupBy(*group, "_block").count()
     before = W.partitionBy(*group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(
@@ -65,20 +50,12 @@ def number_within(
         .join(starts.alias("s"), _same([*group, "_block"], "b", "s"))
         .select("b.*", "s._start")
     )
-    rest = joined.withColumn(out, (F.col("_inside") + F.col("_start")).cast("int"))
-    return numbered.unionByName(rest.select(*numbered.columns))
+    return joined.withColumn(out, (F.col("_inside") + F.col("_start")).cast("int")).select(*df.columns, out)
 
 
-def fill_forward(
-    df: DataFrame, group: list[str], order: list[str], value: str, out: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def fill_forward(df: DataFrame, group: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """The last non-NULL ``value`` at or before each row of its group."""
-    cold, hot = split_hot(df, group, hot_rows)
-    upto = W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    filled = cold.withColumn(out, F.last(value, ignorenulls=True).over(upto))
-    if hot is None:
-        return filled
-    blocks = _blocks(hot, group, order)
+    blocks = _blocks(df, group, order)
     last = blocks.where(F.col(value).isNotNull()).groupBy(*group, "_block").agg(
         F.max_by(F.col(value), F.struct(*order)).alias("_last")
     )
@@ -96,8 +73,7 @@ def fill_forward(
         .join(carry.alias("c"), _same([*group, "_block"], "b", "c"))
         .select("b.*", "c._carry")
     )
-    rest = joined.withColumn(out, F.coalesce("_inside", "_carry"))
-    return filled.unionByName(rest.select(*filled.columns))
+    return joined.withColumn(out, F.coalesce("_inside", "_carry")).select(*df.columns, out)
 
 
 def keep_one(df: DataFrame, group: list[str], order: list[str | Column]) -> DataFrame:

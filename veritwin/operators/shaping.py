@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalize_name, text, trim_ws
 from .matching import count_when
-from .ordered import HOT_ROWS, keep_one, number_within
+from .ordered import keep_one, number_within
 
 
 def resolve_refs(df: DataFrame, scope: Sequence[str], ref: str, dim: DataFrame, out: str, fallback: str = "UNKNOWN") -> DataFrame:
@@ -134,10 +134,10 @@ def is_migrated_key(flags: Sequence[str], key_type: str | None = None, parent_re
     return hit
 
 
-def unique_object_keys(df: DataFrame, scope: Sequence[str], code: str, order: Sequence[str], out: str = "object_key", hot_rows: int = HOT_ROWS) -> DataFrame:
+def unique_object_keys(df: DataFrame, scope: Sequence[str], code: str, order: Sequence[str], out: str = "object_key") -> DataFrame:
     """CODE, CODE#2, CODE#3 …: a key per object however often its code repeats."""
     keyed = df.withColumn("_key", F.upper(trim_ws(code)))
-    numbered = number_within(keyed, [*scope, "_key"], list(order), "_n", hot_rows)
+    numbered = number_within(keyed, [*scope, "_key"], list(order), "_n")
     suffix = F.when(F.col("_n") > 1, F.concat(F.lit("#"), F.col("_n").cast("string"))).otherwise("")
     return numbered.withColumn(out, F.concat("_key", suffix)).drop("_key", "_n")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, text, trim_ws, udp_full_name, udp_name
 from ..operators.matching import count_when, occurrence_join
-from ..operators.ordered import HOT_ROWS, keep_one
+from ..operators.ordered import keep_one
 
 STATUSES = ("PASS", "MISMATCH", "MISSING", "BLANK", "EXTRA")
 RELIABILITY_FLOOR = 0.80
@@ -242,14 +242,14 @@ def build_manifest(objects: DataFrame, properties: DataFrame, schema: DataFrame)
 # --- outcome reports ------------------------------------------------------------------
 
 
-def reconcile_outcomes(manifest: DataFrame, outcomes: DataFrame, order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def reconcile_outcomes(manifest: DataFrame, outcomes: DataFrame, order: Sequence[str]) -> DataFrame:
     """Each manifest cell with the outcome recorded for the same occurrence of its key.
 
     manifest (owner_key, udp, source_path, value, …); outcomes add occurrence,
     outcome, target_value.
     """
     key = ["owner_key", "udp", "source_path"]
-    joined = occurrence_join(manifest, outcomes, key, order, hot_rows)
+    joined = occurrence_join(manifest, outcomes, key, order)
     status = F.coalesce("outcome", F.lit(NOT_RUN))
     match = (
         F.when(status == VERIFIED, "Match").when(status == ALTERED, "Mismatch")

@@ -159,11 +159,11 @@ def with_fk_signature(refs: DataFrame) -> DataFrame:
     return refs.withColumn("signature", fk_signature(F.col("parent_table"), F.col("child_table"), F.col("joins")))
 
 
-def compare_foreign_keys(s: DataFrame, t: DataFrame, hot_rows: int = m.HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+def compare_foreign_keys(s: DataFrame, t: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(reference records, findings): one object at a time, not one signature at a time."""
     key = ["pair_id", "signature"]
     cols = [*key, "ord", "name", "parent_table", "child_table"]
-    records = m.match_multiset(s.select(*cols), t.select(*cols), key, ["ord"], ["ord"], hot_rows)
+    records = m.match_multiset(s.select(*cols), t.select(*cols), key, ["ord"], ["ord"])
     status = F.col("status")
     ends = F.concat(F.coalesce("s_parent_table", "t_parent_table"), F.lit("→"), F.coalesce("s_child_table", "t_child_table"))
     at = dict(object_type="FOREIGN_KEY", object_name=ends, member=F.coalesce("s_name", "t_name"))

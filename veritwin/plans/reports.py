@@ -1,4 +1,4 @@
-"""Tables behind the reports: fleet, worst pairs, categories, matrices, caps, complexity."""
+"""Tables behind the reports: fleet, worst pairs, categories, matrices, ranks, complexity."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.matching import count_when
+from ..operators.ordered import number_within
 from .findings import severity_rank
 
 ORDER = ["category", "object_name", "member", "message", "s_value", "t_value"]
@@ -67,42 +68,24 @@ def object_matrix(objects: DataFrame, children: DataFrame, findings: DataFrame,
     return joined.fillna(0, subset=numbers)
 
 
-def top_findings(findings: DataFrame, cap: int = 500) -> DataFrame:
-    """At most ``cap`` rows per pair for a report sheet, worst first.
+def top_findings(findings: DataFrame, room: int) -> DataFrame:
+    """All findings with their ``rank`` in the pair, worst first, and ``omitted`` for a sheet with ``room`` rows.
 
-    Critical and warning rows are never cut; the room that is left goes to
-    context rows, and one REPORT_TRUNCATED row tells how many were left out.
-    The complete findings stay in the findings table.
+    Critical, warning and error rows are never omitted; context rows are once the room is used up. No
+    row is dropped: a sheet writer filters, and the number left out is a count.
     """
     kept_always = F.col("severity").isin("CRITICAL", "WARNING", "ERROR")
-    must, context = findings.where(kept_always), findings.where(~kept_always)
-    counts = findings.groupBy("pair_id").agg(
-        count_when(kept_always).alias("_must"), count_when(~kept_always).alias("_context"))
-    room = F.greatest(F.lit(cap) - F.col("_must"), F.lit(0))
-    rank = F.row_number().over(
-        W.partitionBy("pair_id").orderBy(severity_rank(), *[F.col(c) for c in ORDER]))
-    best = context.withColumn("_rank", rank).where(F.col("_rank") <= cap)
-    shown = best.join(counts, "pair_id").where(F.col("_rank") <= room).select(*findings.columns)
-    omitted = F.greatest(F.col("_context") - room, F.lit(0))
-    note = counts.where(omitted > 0).select(
-        "pair_id", F.lit("REPORT_TRUNCATED").alias("category"), F.lit("INFO").alias("severity"),
-        F.lit("MODEL").alias("object_type"), F.lit("").alias("object_name"), F.lit("").alias("member"),
-        F.concat(omitted.cast("string"), F.lit(" context rows omitted")).alias("message"),
-        (F.col("_must") + F.col("_context")).cast("string").alias("s_value"),
-        (F.col("_must") + F.least(room, F.col("_context"))).cast("string").alias("t_value"))
-    return must.unionByName(shown).unionByName(note.select(*findings.columns))
-
-
-def capped_exceptions(rows: DataFrame, cap: int = 100) -> DataFrame:
-    """The first ``cap`` rows per (severity, category) as examples, and one row per capped group."""
+    ranked = number_within(findings.withColumn("_severity", severity_rank()), ["pair_id"], ["_severity", *ORDER], "rank")
+    return ranked.drop("_severity").withColumn("omitted", ~kept_always & (F.col("rank") > room))
+
+
+def ranked_exceptions(rows: DataFrame, examples: int) -> DataFrame:
+    """All rows with their ``rank`` in (severity, category), the size of that group, and whether they are an example."""
     group = ["severity", "category"]
     others = [c for c in rows.columns if c not in group]
-    rank = F.row_number().over(W.partitionBy(*group).orderBy(*others))
-    examples = rows.withColumn("_rank", rank).where(F.col("_rank") <= cap).drop("_rank")
-    over = rows.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > cap)
-    detail = F.concat(F.col("_n").cast("string"), F.lit(" rows in this category, the first listed: "), F.lit(str(cap)))
-    blanks = [F.lit("").cast(rows.schema[c].dataType).alias(c) for c in others]
-    return examples.withColumn("detail", F.lit("")).unionByName(over.select(*group, *blanks, detail.alias("detail")))
+    ranked = number_within(rows, group, others, "rank")
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("rows_in_category"))
+    return ranked.join(sizes, group).withColumn("example", F.col("rank") <= examples)
 
 
 # --- complexity -----------------------------------------------------------------------

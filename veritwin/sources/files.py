@@ -24,41 +24,50 @@ def base_name(path: str | Column) -> Column:
     return F.upper(F.regexp_replace(name, r"\.[^.]*$", ""))
 
 
-def discover_pairs(s_files: DataFrame, t_files: DataFrame, strategy: str = "filename", prefix_length: int = 8, mapping: DataFrame | None = None) -> DataFrame:
+def discover_pairs(s_files: DataFrame, t_files: DataFrame, strategy: str = "filename", mapping: DataFrame | None = None) -> DataFrame:
     """One row per pair key: both paths, MATCHED, MISSING or EXTRA, and how many files claim it.
 
-    ``filename`` pairs by base name, ``prefix`` by its first characters, ``csv``
-    by a mapping (s_file, t_file). The first path of a key counts.
+    ``filename`` pairs by base name, ``csv`` by a mapping (s_file, t_file). The first path of a
+    key counts; :func:`duplicate_files` lists the others.
     """
-    if strategy == "csv":
-        if mapping is None:
-            raise ValueError("strategy csv needs a mapping")
-        s_key = mapping.select(base_name("s_file").alias("_name"), base_name("s_file").alias("pair_key"))
-        t_key = mapping.select(base_name("t_file").alias("_name"), base_name("s_file").alias("pair_key"))
-        sides = [
-            f.withColumn("_name", base_name("path")).join(k.distinct(), "_name").select("pair_key", "path")
-            for f, k in ((s_files, s_key), (t_files, t_key))
-        ]
-    elif strategy in ("filename", "prefix"):
-        key = base_name("path")
-        if strategy == "prefix":
-            key = F.left(key, F.lit(prefix_length))
-        sides = [f.select(key.alias("pair_key"), "path") for f in (s_files, t_files)]
-    else:
-        raise ValueError(f"unknown pairing strategy {strategy!r}")
     s, t = (
         d.groupBy("pair_key").agg(F.min("path").alias(f"{p}_path"), F.count("*").alias(f"{p}_files"))
-        for d, p in zip(sides, ("s", "t"))
+        for d, p in zip(_keyed(s_files, t_files, strategy, mapping), ("s", "t"))
     )
     both = s.join(t, "pair_key", "full").fillna(0, subset=["s_files", "t_files"])
     status = F.when(F.col("s_files") == 0, "EXTRA").when(F.col("t_files") == 0, "MISSING").otherwise("MATCHED")
     return both.withColumn("status", status)
 
 
-def pending_pairs(pairs: DataFrame, completed: DataFrame, key: str = "pair_key", limit: int | None = None) -> DataFrame:
-    """Pairs that no earlier run has finished; optionally the first ``limit`` by key."""
-    rest = pairs.join(completed.select(key).distinct(), key, "left_anti")
-    return rest if limit is None else rest.orderBy(key).limit(limit)
+def duplicate_files(s_files: DataFrame, t_files: DataFrame, strategy: str = "filename", mapping: DataFrame | None = None) -> DataFrame:
+    """pair_key, side, path, DUPLICATE: every file of a key beyond the first path."""
+    rows = []
+    for files, side in zip(_keyed(s_files, t_files, strategy, mapping), ("S", "T")):
+        first = files.groupBy("pair_key").agg(F.min("path").alias("first"))
+        rows.append(files.join(first, "pair_key").where("path > first").select(
+            "pair_key", F.lit(side).alias("side"), "path", F.lit("DUPLICATE").alias("status")))
+    return rows[0].unionByName(rows[1])
+
+
+def _keyed(s_files: DataFrame, t_files: DataFrame, strategy: str, mapping: DataFrame | None) -> list[DataFrame]:
+    """(pair_key, path) of both sides."""
+    if strategy == "filename":
+        return [f.select(base_name("path").alias("pair_key"), "path") for f in (s_files, t_files)]
+    if strategy != "csv":
+        raise ValueError(f"unknown pairing strategy {strategy!r}")
+    if mapping is None:
+        raise ValueError("strategy csv needs a mapping")
+    s_key = mapping.select(base_name("s_file").alias("_name"), base_name("s_file").alias("pair_key"))
+    t_key = mapping.select(base_name("t_file").alias("_name"), base_name("s_file").alias("pair_key"))
+    return [
+        f.withColumn("_name", base_name("path")).join(k.distinct(), "_name").select("pair_key", "path")
+        for f, k in ((s_files, s_key), (t_files, t_key))
+    ]
+
+
+def pending_pairs(pairs: DataFrame, completed: DataFrame, key: str = "pair_key") -> DataFrame:
+    """Pairs that no earlier run has finished."""
+    return pairs.join(completed.select(key).distinct(), key, "left_anti")
 
 
 def quarantine_parse_errors(df: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
