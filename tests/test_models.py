@@ -13,7 +13,7 @@ from veritwin.sources import files, models
 SOURCE = """<?xml version="1.0"?>
 <Model xmlns:a="attribute" xmlns:c="collection" xmlns:o="object"><o:RootObject Id="o1"><c:Children><o:Model Id="o2"><a:Name>Shop</a:Name>
 <c:Entities>
- <o:Entity Id="e1"><a:Name>Customer</a:Name><a:Code>CUSTOMER</a:Code><a:Comment>Who buys</a:Comment>
+ <o:Entity Id="e1"><a:Name>Customer</a:Name><a:Code>CUSTOMER</a:Code><a:Comment>{\\rtf1\\ansi Who buys}</a:Comment>
   <c:Attributes>
    <o:EntityAttribute Id="a1"><a:Name>Customer Id</a:Name><a:Code>CUST_ID</a:Code><a:DataType>I</a:DataType><a:LogicalAttribute.Mandatory>1</a:LogicalAttribute.Mandatory></o:EntityAttribute>
    <o:EntityAttribute Id="a2"><a:Name>Name</a:Name><a:Code>NAME</a:Code><a:DataType>VA20</a:DataType><a:Length>20</a:Length><c:Domain><o:Domain Ref="d1"/></c:Domain></o:EntityAttribute>
@@ -25,9 +25,9 @@ SOURCE = """<?xml version="1.0"?>
   <c:Identifiers><o:Identifier Id="i2"><a:Name>PK</a:Name><c:Identifier.Attributes><o:EntityAttribute Ref="a3"/></c:Identifier.Attributes></o:Identifier></c:Identifiers>
   <c:PrimaryIdentifier><o:Identifier Ref="i2"/></c:PrimaryIdentifier></o:Entity>
 </c:Entities>
-<c:Relationships><o:Relationship Id="r1"><a:Name>places</a:Name><a:Entity1ToEntity2Role>places</a:Entity1ToEntity2Role>
- <a:Entity1ToEntity2RoleCardinality>0,n</a:Entity1ToEntity2RoleCardinality><a:Entity2ToEntity1RoleCardinality>1,1</a:Entity2ToEntity1RoleCardinality>
- <a:Entity2ToEntity1RoleDependent>1</a:Entity2ToEntity1RoleDependent>
+<c:Relationships><o:Relationship Id="r1"><a:Name>places</a:Name><a:Entity2ToEntity1Role>places</a:Entity2ToEntity1Role>
+ <a:Entity1ToEntity2RoleCardinality>1,1</a:Entity1ToEntity2RoleCardinality><a:Entity2ToEntity1RoleCardinality>0,n</a:Entity2ToEntity1RoleCardinality>
+ <a:Entity2ToEntity1RoleDependent>1</a:Entity2ToEntity1RoleDependent><c:ParentIdentifier><o:Identifier Ref="i1"/></c:ParentIdentifier>
  <c:Object1><o:Entity Ref="e1"/></c:Object1><c:Object2><o:Entity Ref="e2"/></c:Object2></o:Relationship></c:Relationships>
 <c:Domains><o:Domain Id="d1"><a:Name>Label</a:Name><a:Code>LABEL</a:Code><a:DataType>VA20</a:DataType></o:Domain></c:Domains>
 <c:Diagrams><o:Sym><c:Object><o:Entity Ref="e1"/></c:Object></o:Sym></c:Diagrams>
@@ -54,7 +54,7 @@ ORDER = """<Entity id="{E2}" name="Order"><EntityProps><Physical_Name>ORDER</Phy
 <Attribute id="{A3}" name="Order Id"><AttributeProps><Physical_Name>ORDER_ID</Physical_Name><Logical_Data_Type>INTEGER</Logical_Data_Type></AttributeProps></Attribute></Attribute_Groups>
 <Key_Group_Groups><Key_Group id="{K2}" name="XPK"><Key_GroupProps><Key_Group_Type>PK</Key_Group_Type></Key_GroupProps><Key_Group_Member_Groups><Key_Group_Member id="{M2}"><Key_Group_MemberProps>
 <Attribute_Ref>{A3}</Attribute_Ref><Key_Group_Member_Order>1</Key_Group_Member_Order></Key_Group_MemberProps></Key_Group_Member></Key_Group_Member_Groups></Key_Group></Key_Group_Groups></Entity>"""
-CLEAN = dict(type1="INTEGER", null1="1", extra="", order=ORDER, reltype="2")
+CLEAN = dict(type1="INTEGER", null1="1", extra="", order=ORDER, reltype="7")
 
 
 _NEW = '<Attribute id="{{A9}}" name="New"><AttributeProps><Physical_Name>NEW</Physical_Name>{more}</AttributeProps></Attribute>'
@@ -67,13 +67,14 @@ CASES = {
     "CLEAN": ({}, []),
     "FLAG": (dict(null1="0"), [("MANDATORY", "WARNING")]),
     "TYPE": (dict(type1="BLOB"), [("DATA_TYPE", "WARNING")]),
-    "DEPENDENCY": (dict(reltype="7"), [("DEPENDENCY", "WARNING")]),
+    "DEPENDENCY": (dict(reltype="2"), [("DEPENDENCY", "WARNING")]),
     "KEY": (dict(order=ORDER.replace("PK</Key_Group_Type>", "AK</Key_Group_Type>")), [("ALTERNATE_IDENTIFIER", "WARNING"), ("PRIMARY_IDENTIFIER", "CRITICAL")]),
     "EXTRA": (dict(extra=PLAIN), [("ATTRIBUTE_EXTRA", "WARNING")]),
     "MIGRATED": (dict(extra=MIGRATED), []),
     "HIDDEN": (dict(extra=HIDDEN), []),
     "DELETED": (dict(order=""), [("ENTITY_MISSING", "CRITICAL")]),
     "EMPTY": (None, [("PARSE_ERROR", "CRITICAL")]),
+    "CUT": ("cut", [("PARSE_ERROR", "CRITICAL")]),
 }
 
 
@@ -83,7 +84,11 @@ def fleet(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("fleet")
     for name, (changes, _) in CASES.items():
         (folder / f"{name}.ldm").write_text(SOURCE)
-        body = '<Export><Model id="m1" name="Shop"></Model></Export>' if changes is None else TARGET.format(**{**CLEAN, **changes})
+        if changes == "cut":  # a file that ends in the middle
+            whole = TARGET.format(**CLEAN)
+            body = whole[: whole.index("<Relationship_Groups>") + 40]
+        else:
+            body = '<Export><Model id="m1" name="Shop"></Model></Export>' if changes is None else TARGET.format(**{**CLEAN, **changes})
         (folder / f"{name}.xml").write_text(body.replace("{{", "{").replace("}}", "}"))
     s = models.comparable(models.shred_semantic(spark, f"{folder}/*.ldm"))
     t = models.comparable(models.shred_target(spark, f"{folder}/*.xml"))
@@ -102,7 +107,10 @@ def test_pointers_are_not_objects(fleet):
     assert t["entities"].where("code = 'CUSTOMER'").first().note == "line one\nline two"
     assert t["domains"].count() == 1
     rel = t["relationships"].first()
-    assert (rel.end1.entity, rel.end1.cardinality, rel.end2.entity, rel.end2.cardinality) == ("CUSTOMER", "0,n", "ORDER", "1,1")
+    assert (rel.end1.entity, rel.end1.cardinality, rel.end2.entity, rel.end2.cardinality) == ("CUSTOMER", "1,1", "ORDER", "0,n")
+    # The Dependent flag is ignored: the child's key shares no member with the parent's.
+    own = s["relationships"].first()
+    assert (own.end1.cardinality, own.end2.cardinality, own.end1.dependent, own.end2.dependent) == ("1,1", "0,n", False, False)
 
 
 @pytest.mark.parametrize("case", list(CASES))
@@ -118,6 +126,9 @@ def test_status_and_score(fleet):
     assert rows["FLAG"].status == "WARN" and rows["DELETED"].status == "FAIL" and not rows["DELETED"].promote
     assert (rows["EMPTY"].status, rows["EMPTY"].fidelity_score, rows["EMPTY"].needs_review) == ("ERROR", 0.0, True)
     assert len(fleet[2]["EMPTY"]) == 1
+    assert rows["CUT"].status == "ERROR" and not rows["CUT"].promote and len(fleet[2]["CUT"]) == 1
+    # The lost entity and its attribute count in the denominator.
+    assert rows["DELETED"].attributes_all_s == 3
 
 
 def test_conceptual_leaves_migrated_keys_out(fleet):
@@ -200,3 +211,33 @@ def test_findings_export(spark, tmp_path):
         files.write_findings(rows, str(tmp_path / fmt), fmt)
     back = spark.read.option("header", "true").option("escape", '"').csv(str(tmp_path / "csv"))
     assert back.first().message == 'say "hi", there' and spark.read.json(str(tmp_path / "json")).count() == 1
+
+
+KEYED = SOURCE.replace('<c:Identifier.Attributes><o:EntityAttribute Ref="a3"/></c:Identifier.Attributes>',
+                       '<c:Identifier.Attributes><o:EntityAttribute Ref="a4"/><o:EntityAttribute Ref="a3"/></c:Identifier.Attributes>').replace(
+    '<a:DataType>I</a:DataType></o:EntityAttribute></c:Attributes>', """<a:DataType>I</a:DataType></o:EntityAttribute>
+    <o:EntityAttribute Id="a4"><c:DataItem><o:DataItem Ref="x1"/></c:DataItem></o:EntityAttribute></c:Attributes>""").replace(
+    "<c:Diagrams>", """<c:DataItems><o:DataItem Id="x1"><a:Name>Customer Id</a:Name><a:Code>CUST_ID</a:Code><a:DataType>VA9</a:DataType><a:Length>9</a:Length></o:DataItem></c:DataItems>
+<c:ExternalObjects><o:Shortcut Id="s1"><a:Name>Term</a:Name><a:Code>TERM</a:Code><a:TargetClassID>EBE946CF-7218-4FAC-B85E-4AB922930494</a:TargetClassID></o:Shortcut></c:ExternalObjects>
+<c:TermObjects><o:Shortcut Id="s2"><a:Name>Link</a:Name></o:Shortcut></c:TermObjects>
+<c:TargetModels><o:TargetModel Id="t1"><a:Name>Words</a:Name><a:TargetModelURL>x.glm</a:TargetModelURL></o:TargetModel>
+<o:TargetModel Id="t2"><a:Name>Ext</a:Name><a:TargetModelURL>y.xem</a:TargetModelURL></o:TargetModel></c:TargetModels><c:Diagrams>""")
+
+
+def test_identifying_ends_items_and_references(spark, tmp_path):
+    """The child's key takes its parent's member from a data item; only the list of external objects counts."""
+    (tmp_path / "k.ldm").write_text(KEYED)
+    got = models.comparable(models.shred_semantic(spark, str(tmp_path / "k.ldm")))
+    rel = got["relationships"].first()
+    assert (rel.end1.dependent, rel.end2.dependent) == (False, True)
+    item = got["attributes"].where("id = 'a4'").first()
+    assert (item.name, item.code, item.data_type, item.length) == ("Customer Id", "CUST_ID", "VA9", "9")
+    assert [(x.name, x.type, x.target_model) for x in got["shortcuts"].collect()] == [("Term", "Term", "Words")]
+    assert got["entities"].where("code = 'CUSTOMER'").first().definition == "Who buys"
+
+
+@pytest.mark.parametrize("code, many", [("", "0,n"), ("-3", "0,n"), ("-1", "0,1"), ("1", "1,1"), ("5", "1,n"), ("one or more", "1,n")])
+def test_children_per_parent(spark, code, many):
+    from veritwin.functions.cardinality import children_per_parent
+
+    assert spark.createDataFrame([(code,)], "c string").select(children_per_parent("c").alias("v")).first().v == many

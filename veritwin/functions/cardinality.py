@@ -104,6 +104,14 @@ def resolve_enum(c: str | Column, codes: dict[str, str]) -> Column:
     )
 
 
+def children_per_parent(c: str | Column) -> Column:
+    """The target's code for children per parent: a known code, a number of children, a spelling; blank is 0,n."""
+    raw = trim_ws(c)
+    number = F.when(raw.rlike("^[0-9]+$"), F.when(raw.rlike("^0*1?$"), "1,1").otherwise("1,n"))
+    spelled = normalize_cardinality(raw, F.lit(False), F.lit(True))
+    return F.coalesce(lookup(CARDINALITY_CODES, raw), number, F.nullif(spelled, F.lit("")), F.lit("0,n"))
+
+
 def canonical_ends(rel: DataFrame, *ends: str) -> DataFrame:
     """Relationship rows with canonical cardinalities, folded once per row.
 

@@ -38,7 +38,11 @@ def compare_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier)
     keys = m.name_code_keys(tier.match_key, tier.plurals, tier.case_insensitive)
     every = s["entities"].select("pair_id", F.lit("S").alias("side")).unionByName(
         t["entities"].select("pair_id", F.lit("T").alias("side")))
-    models = every.select("pair_id").distinct().withColumn("side", F.lit("S")).withColumn("parse_error", F.lit(None).cast("string"))
+    # A document that cannot be read makes its pair an ERROR, also where nothing of it was read.
+    models = every.select("pair_id", "side", F.lit(None).cast("string").alias("parse_error")).distinct()
+    for side, label in ((s, "S"), (t, "T")):
+        if "documents" in side:
+            models = models.unionByName(side["documents"].select("pair_id", F.lit(label).alias("side"), "parse_error"))
     guarded = cut(sem.guard_pairs(models, every))
     good = guarded.where("error is null").select("pair_id")
 
@@ -67,6 +71,8 @@ def compare_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier)
             sem.compare_attributes(a_pairs, tier, object_name=F.col("entity").cast("string")),
             sem.attribute_presence(a_s, a_t, tier, object_name=F.col("entity").cast("string"))]
         records.append(_records(inner, "attributes"))
+        # The score counts all attributes of the source, those of missing entities as well.
+        records.append(usable(s["attributes"]).groupBy("pair_id").agg(F.count("*").alias("attributes_all_s")))
     if "identifiers" in s:
         own_keys = usable(s["identifiers"])
         records.append(own_keys.groupBy("pair_id").agg(F.count("*").alias("identifiers_s")))
@@ -106,11 +112,11 @@ def compare_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier)
     for f in findings[1:]:
         rows = rows.unionByName(f)
     rows = cut(with_remedy(apply_severity(rows, tier)))
-    counters = scoring.join_counts(every, [*records, scoring.severity_counts(rows)])
+    counters = scoring.join_counts(models, [*records, scoring.severity_counts(rows)])
     counters = counters.join(guarded.select("pair_id", F.col("error").isNotNull().alias("_error")), SCOPE, "left")
     objects = F.lit(0)
     kinds = [k for k in ("entities", "attributes", "relationships", "inheritances") if f"{k}_s" in counters.columns]
-    for k in [*kinds, "identifiers"]:
+    for k in ["attributes_all" if k == "attributes" else k for k in kinds] + ["identifiers"]:
         if f"{k}_s" in counters.columns:
             objects = objects + F.col(f"{k}_s")
     scored = scoring.fidelity_score(counters, tier, objects, F.col("_error")).drop("_error")

@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from ..functions import cardinality as card
 from ..functions import types as ty
-from ..functions.text import first_nonblank, text, trim_ws
 from ..functions.records import join_notes
-from ..operators.shaping import drop_hidden_duplicates, is_migrated_key, resolve_refs, subtype_trees
+from ..functions.richtext import plain
+from ..functions.text import first_nonblank, text, trim_ws
+from ..operators.shaping import derive_identifying, drop_hidden_duplicates, inherit_scalar, is_migrated_key, resolve_refs, subtype_trees
+from ..plans.semantic import resolve_owner_model
+from .documents import document_status
 
 # Element names of the source document.
 _REF = "struct<`_Ref`: string>"
@@ -35,12 +38,16 @@ SOURCE = {
     "relationship": (
         "o:Relationship",
         f"`_Id` string, {_DOC}, `c:Object1` struct<`o:Entity`: {_REF}>, `c:Object2` struct<`o:Entity`: {_REF}>, "
+        f"`c:ParentIdentifier` struct<`o:Identifier`: {_REF}>, "
         + ", ".join(f"`a:{a}{f}` string" for a in ("Entity1ToEntity2Role", "Entity2ToEntity1Role") for f in ("", "Cardinality", "Mandatory", "Dependent"))),
     "inheritance": ("o:Inheritance", f"`_Id` string, {_DOC}, `a:Complete` string, `a:MutuallyExclusive` string, `c:ParentEntity` struct<`o:Entity`: {_REF}>"),
     "link": ("o:InheritanceLink", f"`_Id` string, `c:Object1` struct<`o:Inheritance`: {_REF}>, `c:Object2` struct<`o:Entity`: {_REF}>"),
     "domain": ("o:Domain", f"`_Id` string, {_DOC}, `a:DataType` string, `a:Length` string, `a:Precision` string"),
     "rule": ("o:BusinessRule", f"`_Id` string, {_DOC}, `a:BusinessRule.Type` string, `a:ServerExpression` string, `a:ClientExpression` string"),
-    "shortcut": ("o:Shortcut", f"`_Id` string, {_DOC}, `a:TargetStereotype` string, `a:TargetPackagePath` string, `a:TargetClassID` string"),
+    "shortcut": (
+        "c:ExternalObjects",
+        f"`o:Shortcut` array<struct<`_Id`: string, `_Ref`: string, {_DOC_IN}, `a:TargetStereotype`: string, `a:TargetPackagePath`: string, `a:TargetClassID`: string>>"),
+    "attached": ("o:TargetModel", f"`_Id` string, `a:Name` string, `a:Code` string, `a:TargetModelURL` string, `c:SessionShortcuts` struct<`o:Shortcut`: array<{_REF}>>"),
     "item": ("o:DataItem", f"`_Id` string, {_DOC}, `a:DataType` string, `a:Length` string, `a:Precision` string"),
     "table": (
         "o:Table",
@@ -53,6 +60,13 @@ SOURCE = {
         f"`c:Joins` struct<`o:ReferenceJoin`: array<struct<`c:Object1`: struct<`o:Column`: {_REF}>, `c:Object2`: struct<`o:Column`: {_REF}>>>>"),
 }
 
+# Classes that an external reference can point at; others are objects.
+REFERENCE_CLASSES = {
+    "186C8AC3-D3DC-11D3-881C-00508B03C75C": "Model",
+    "CD2F5C71-2CA9-4B74-9BBA-50786D1D88EF": "Category",
+    "EBE946CF-7218-4FAC-B85E-4AB922930494": "Term",
+}
+
 # Element names of the target document. A value may sit in an
 # attribute, a child, or a child of the Props element.
 _ATTR_PROPS = (
@@ -86,13 +100,17 @@ TARGET = {
 }
 
 
-def read_definitions(spark: SparkSession, paths: str | list[str], row_tag: str, schema: str, id_col: str = "_Id") -> DataFrame:
-    """Definition elements of one kind, with the file they came from and their order in it."""
+def read_definitions(spark: SparkSession, paths: str | list[str], row_tag: str, schema: str, id_col: str | None = "_Id") -> DataFrame:
+    """Definition elements of one kind, with the file they came from and their order in it.
+
+    Elements that cannot be parsed are left out here; ``document_status`` says which files hold some.
+    """
     rows = (
         spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
         .schema(f"{schema}, `_corrupt` string").load(paths)
     )
-    return rows.where(F.col(id_col).isNotNull() & F.col("_corrupt").isNull()).drop("_corrupt").withColumn(
+    named = F.lit(True) if id_col is None else F.col(id_col).isNotNull()
+    return rows.where(named & F.col("_corrupt").isNull()).drop("_corrupt").withColumn(
         "source_file", F.input_file_name()).withColumn("ord", F.monotonically_increasing_id())
 
 
@@ -105,10 +123,10 @@ def _doc(prefix: str = "") -> list[Column]:
         return _c(f"{prefix}{tag}")
 
     code = F.coalesce(F.nullif(trim_ws(of("a:Code")), F.lit("")), trim_ws(of("a:Name")))
-    definition = first_nonblank(of("a:Comment"), of("a:Description"), of("a:Annotation"))
+    comment, description, annotation = (plain(of(f"a:{t}")) for t in ("Comment", "Description", "Annotation"))
     return [
-        trim_ws(of("a:Name")).alias("name"), code.alias("code"), text(definition).alias("definition"),
-        text(of("a:Comment")).alias("comment"), text(of("a:Description")).alias("description"), text(of("a:Annotation")).alias("annotation")]
+        trim_ws(of("a:Name")).alias("name"), code.alias("code"), text(first_nonblank(comment, description, annotation)).alias("definition"),
+        comment.alias("comment"), description.alias("description"), annotation.alias("annotation")]
 
 
 def _flag(c: Column) -> Column:
@@ -144,15 +162,19 @@ def shred_semantic(spark: SparkSession, paths, pair_id: Column | None = None) ->
         F.transform(_c("k|c:Identifier.Attributes|o:EntityAttribute"), lambda x: x["_Ref"]).alias("member_refs"))
     rel = read("relationship").select(pair, "*")
 
-    def end(ref, role):
+    def end(ref, role, many):
         a = f"a:{role}"
+        stated, mandatory = trim_ws(_c(f"{a}Cardinality")), _flag(_c(f"{a}Mandatory"))
+        derived = F.concat(F.when(mandatory, "1").otherwise("0"), F.lit(",n" if many else ",1"))
         return F.struct(
-            text(_c(f"{ref}|o:Entity|_Ref")).alias("entity"), text(_c(a)).alias("role"), text(_c(f"{a}Cardinality")).alias("cardinality"),
-            _flag(_c(f"{a}Mandatory")).alias("mandatory"), _flag(_c(f"{a}Dependent")).alias("dependent"))
+            text(_c(f"{ref}|o:Entity|_Ref")).alias("entity"), text(_c(a)).alias("role"),
+            F.when(stated == "", derived).otherwise(stated).alias("cardinality"), mandatory.alias("mandatory"), F.lit(False).alias("dependent"))
 
+    # Which end depends is not stated: it follows from the keys, see comparable().
     relationships = card.canonical_ends(rel.select(
-        "pair_id", F.col("_Id").alias("id"), "ord", *_doc(), end("c:Object1", "Entity1ToEntity2Role").alias("end1"),
-        end("c:Object2", "Entity2ToEntity1Role").alias("end2"), F.lit("RELATIONSHIP").alias("kind")))
+        "pair_id", F.col("_Id").alias("id"), "ord", *_doc(), end("c:Object1", "Entity1ToEntity2Role", True).alias("end1"),
+        end("c:Object2", "Entity2ToEntity1Role", False).alias("end2"), F.lit("RELATIONSHIP").alias("kind"),
+        trim_ws(_c("c:ParentIdentifier|o:Identifier|_Ref")).alias("parent_key")))
     inh = read("inheritance").select(pair, "*").select(
         "pair_id", F.col("_Id").alias("id"), *_doc(), _flag(_c("a:Complete")).alias("complete"),
         _flag(_c("a:MutuallyExclusive")).alias("mutually_exclusive"), text(_c("c:ParentEntity|o:Entity|_Ref")).alias("parent_ref"))
@@ -165,11 +187,19 @@ def shred_semantic(spark: SparkSession, paths, pair_id: Column | None = None) ->
 
     rules = read("rule").select(pair, "*").select(
         "pair_id", F.col("_Id").alias("id"), *_doc(), text(first_nonblank(_c("a:ServerExpression"), _c("a:ClientExpression"))).alias("expression"))
-    shortcuts = read("shortcut").select(pair, "*").select(
-        "pair_id", F.col("_Id").alias("id"), *_doc(), text(_c("a:TargetStereotype")).alias("type"), text(_c("a:TargetPackagePath")).alias("target_package"))
+    listed = read_definitions(spark, paths, *SOURCE["shortcut"], id_col=None).select(pair, F.explode("`o:Shortcut`").alias("x"))
+    kind = ty.lookup(REFERENCE_CLASSES, F.upper(trim_ws(_c("x|a:TargetClassID"))))
+    shortcuts = listed.where(F.col("x._Id").isNotNull() & F.col("x._Ref").isNull()).select(
+        "pair_id", F.col("x._Id").alias("id"), *_doc("x|"), F.coalesce(kind, F.lit("Object")).alias("type"),
+        text(_c("x|a:TargetPackagePath")).alias("target_package"), text(_c("x|a:TargetStereotype")).alias("target_stereotype"))
+    models = read("attached").select(pair, "*").withColumn("model", text(first_nonblank(_c("a:Name"), _c("a:Code"))))
+    attached = models.select("pair_id", "model", F.lower(trim_ws(_c("a:TargetModelURL"))).endswith(".xem").alias("is_extension"))
+    claims = models.select("pair_id", "model", F.explode(_c("c:SessionShortcuts|o:Shortcut")).alias("x")).groupBy(
+        "pair_id", F.col("x._Ref").alias("id")).agg(F.max("model").alias("target_model"))
     return {
         "entities": entities, "attributes": attributes, "identifiers": identifiers, "relationships": relationships, "inheritances": inh,
-        "inheritance_links": links, "domains": typed("domain"), "business_rules": rules, "shortcuts": shortcuts, "data_items": typed("item")}
+        "inheritance_links": links, "domains": typed("domain"), "business_rules": rules, "shortcuts": shortcuts, "attached": attached, "claims": claims,
+        "data_items": typed("item"), "documents": document_status(spark, paths, pair)}
 
 
 def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> dict[str, DataFrame]:
@@ -217,15 +247,18 @@ def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> d
     r = "RelationshipProps"
     rel = read("relationship")
     nulls_ok = ty.lookup(card.RELATIONSHIP_NULLS, trim_ws(f"{r}.Null_Option_Type"))
-    child_card = card.resolve_enum(f"{r}.Cardinality", card.CARDINALITY_CODES)["value"]
     kind = card.resolve_enum(f"{r}.Type", card.RELATIONSHIP_TYPES)["value"]
+    identifying, many = kind == "IDENTIFYING", kind == "MANY_TO_MANY"
+    # An end's cardinality counts its own entity as seen from the other end.
+    required = identifying | F.coalesce(nulls_ok == "false", F.lit(False))
+    parents = F.concat(F.when(required, "1").otherwise("0"), F.when(many, ",n").otherwise(",1"))
+    children = card.children_per_parent(f"{r}.Cardinality")
     parent_end = F.struct(
-        text(f"{r}.Parent_Entity_Ref").alias("entity"), text(f"{r}.Parent_To_Child_Verb_Phrase").alias("role"), child_card.alias("cardinality"),
-        F.lit(False).alias("mandatory"), F.lit(False).alias("dependent"))
+        text(f"{r}.Parent_Entity_Ref").alias("entity"), text(f"{r}.Child_To_Parent_Verb_Phrase").alias("role"), parents.alias("cardinality"),
+        required.alias("mandatory"), F.lit(False).alias("dependent"))
     child_end = F.struct(
-        text(f"{r}.Child_Entity_Ref").alias("entity"), text(f"{r}.Child_To_Parent_Verb_Phrase").alias("role"),
-        F.when(kind == "MANY_TO_MANY", "0,n").when(nulls_ok == "true", "0,1").otherwise("1,1").alias("cardinality"),
-        (nulls_ok == "false").alias("mandatory"), (kind == "IDENTIFYING").alias("dependent"))
+        text(f"{r}.Child_Entity_Ref").alias("entity"), text(f"{r}.Parent_To_Child_Verb_Phrase").alias("role"), children.alias("cardinality"),
+        children.startswith("1").alias("mandatory"), identifying.alias("dependent"))
     relationships = rel.select(
         "pair_id", F.col("_id").alias("id"), "ord", text(first_nonblank("_name", f"{r}.Name")).alias("name"), F.lit("").alias("code"),
         text(f"{r}.Definition").alias("definition"), parent_end.alias("end1"), child_end.alias("end2"), F.lit("RELATIONSHIP").alias("kind"), kind.alias("type"))
@@ -240,7 +273,7 @@ def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> d
         text(f"{v}.Definition").alias("definition"), text(first_nonblank(f"{v}.Expression", f"{v}.Server_Value")).alias("expression"))
     return {
         "entities": entities, "attributes": rows, "identifiers": identifiers, "relationships": card.canonical_ends(relationships),
-        "domains": domains, "business_rules": rules}
+        "domains": domains, "business_rules": rules, "documents": document_status(spark, paths, pair)}
 
 
 def shred_physical(spark: SparkSession, paths, pair_id: Column | None = None) -> dict[str, DataFrame]:
@@ -375,13 +408,47 @@ def resolve_endpoints(relationships: DataFrame, entities: DataFrame) -> DataFram
     return relationships
 
 
+def from_items(attributes: DataFrame, domains: DataFrame, items: DataFrame) -> DataFrame:
+    """Attributes with what they leave blank from their data item (name, code, type) and their domain (type)."""
+    linked = items.select("pair_id", F.col("id").alias("item_ref"), F.col("name").alias("_name"), F.col("code").alias("_code"))
+    named = attributes.join(linked, ["pair_id", "item_ref"], "left")
+    for c in ("name", "code"):
+        named = named.withColumn(c, F.when(text(c) == "", text(f"_{c}")).otherwise(F.col(c)))
+    return inherit_scalar(
+        named.drop("_name", "_code"), domains.withColumnRenamed("id", "oid"), ["pair_id"], "domain_ref", items.withColumnRenamed("id", "oid"), "item_ref")
+
+
+def with_dependent_end(rel: DataFrame, identifiers: DataFrame) -> DataFrame:
+    """The child's end depends when the child's primary key shares a member with the parent's.
+
+    The parent owns the identifier that the relationship names; ends still name entities by id.
+    """
+    owners = identifiers.select("pair_id", F.col("id").alias("parent_key"), F.col("entity").alias("parent")).where("parent_key <> ''")
+    keys = identifiers.where("is_primary").groupBy("pair_id", "entity").agg(F.min_by("members", "ord").alias("members"))
+    one, two = F.col("end1.entity"), F.col("end2.entity")
+    child = F.when(F.col("parent") == one, two).when(F.col("parent") == two, one)
+    known = derive_identifying(rel.join(owners, ["pair_id", "parent_key"], "left").withColumn("child", child), keys, ["pair_id"])
+    first = F.col("identifying") & (F.col("child") == one) & (F.col("parent") == two)
+    second = F.col("identifying") & (F.col("child") == two) & ~first
+    return known.withColumns({
+        "end1": F.col("end1").withField("dependent", F.coalesce(first, F.lit(False))),
+        "end2": F.col("end2").withField("dependent", F.coalesce(second, F.lit(False)))}).drop("parent", "child", "identifying", "parent_key")
+
+
 def comparable(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Shredded relations with their references resolved, ready for the comparison."""
     dim = side["domains"].select("pair_id", F.col("id").alias("oid"), F.col("name").alias("code"))
-    attributes = resolve_refs(side["attributes"], ["pair_id"], "domain_ref", dim, "domain", "")
+    attributes = side["attributes"]
+    if "data_items" in side:
+        attributes = from_items(attributes, side["domains"], side["data_items"])
+    attributes = resolve_refs(attributes, ["pair_id"], "domain_ref", dim, "domain", "")
     if "hidden" in attributes.columns:
         attributes = drop_hidden_duplicates(attributes)
-    rel = resolve_endpoints(side["relationships"], side["entities"])
+    identifiers = resolve_members(side["identifiers"], attributes, ["pair_id", "entity"])
+    rel = side["relationships"]
+    if "parent_key" in rel.columns:
+        rel = with_dependent_end(rel, identifiers)
+    rel = resolve_endpoints(rel, side["entities"])
     codes = side["entities"].select("pair_id", F.col("id").alias("oid"), "code")
     if "inheritances" in side:
         trees = resolve_refs(side["inheritances"], ["pair_id"], "parent_ref", codes, "parent")
@@ -392,14 +459,15 @@ def comparable(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
         heads, children = subtype_trees(flat, ["pair_id"])
         trees = heads.select(
             "pair_id", F.col("parent").alias("id"), "parent", F.lit("").alias("name"), F.lit("").alias("code"),
-            F.lit(False).alias("complete"), F.lit(False).alias("mutually_exclusive"))
+            F.lit(False).alias("complete"), F.lit(True).alias("mutually_exclusive"))
         children = children.select("pair_id", F.col("parent").alias("id"), "child")
         rel = rel.where("type <> 'SUBTYPE'")
     out = {
         **side, "attributes": attributes, "relationships": rel, "inheritances": trees, "children": children,
-        "identifiers": resolve_members(side["identifiers"], side["attributes"], ["pair_id", "entity"])}
+        "identifiers": identifiers}
     if "shortcuts" in side:
-        out["shortcuts"] = side["shortcuts"].withColumn("target_model", F.lit(""))
+        owned = resolve_owner_model(side["shortcuts"], side["claims"], side["attached"])
+        out["shortcuts"] = owned.withColumn("target_model", text("target_model"))
     return out
 
 
