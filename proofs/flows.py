@@ -149,14 +149,14 @@ def _fleet_sql() -> str:
             "SELECT pair_id, count(*) FILTER (k <> 'E') AS s, count(*) FILTER (k <> 'M') AS t, count(*) FILTER (k = 'P') AS p FROM (SELECT pair_id, 'P' AS k FROM lp "
             "UNION ALL SELECT pair_id, 'M' FROM ls UNION ALL SELECT pair_id, 'E' FROM lt) u GROUP BY pair_id")
 
-    return f"""WITH ep AS MATERIALIZED (WITH {ents} SELECT * FROM lp), ec AS (WITH {ents} {counts('e')}), ac AS MATERIALIZED (WITH {atts} {counts('a')}),
+    return f"""WITH al AS (SELECT pair_id, count(*) AS attributes_all_s FROM ({plain(ATT_S)}) a GROUP BY pair_id), ep AS MATERIALIZED (WITH {ents} SELECT * FROM lp), ec AS (WITH {ents} {counts('e')}), ac AS MATERIALIZED (WITH {atts} {counts('a')}),
 ef AS (WITH {ents}, {ent_pr} SELECT pair_id, 'FALLBACK_MATCH' AS category FROM pr WHERE basis <> 'code' UNION ALL SELECT pair_id, 'BUSINESS_NAME' FROM pr WHERE {norm('s_name')} <> {norm('t_name')}
   UNION ALL SELECT pair_id, category FROM ({definition_arms('pair_id', "''", "''")}) d UNION ALL SELECT pair_id, 'ENTITY_MISSING' FROM ls UNION ALL SELECT pair_id, 'ENTITY_EXTRA' FROM lt),
 af AS MATERIALIZED (WITH {atts}, {pr} SELECT pair_id, category FROM ({attribute_sql(LOGICAL)}) x UNION ALL SELECT pair_id, 'ATTRIBUTE_MISSING' FROM ls UNION ALL SELECT pair_id, 'ATTRIBUTE_EXTRA' FROM lt),
 sv AS (SELECT pair_id, {policy_sql(LOGICAL)} AS severity FROM (SELECT * FROM ef UNION ALL SELECT * FROM af) f),
 n AS (SELECT pair_id, count(*) FILTER (severity = 'CRITICAL') AS critical, count(*) FILTER (severity = 'WARNING') AS warning, count(*) FILTER (severity = 'INFO') AS info FROM sv GROUP BY pair_id),
 r AS (SELECT ec.pair_id, ec.s AS entities_s, ec.t AS entities_t, ec.p AS entities_matched, ac.s AS attributes_s, ac.t AS attributes_t, ac.p AS attributes_matched, critical, warning, info,
-  least(critical + 0.35 * warning + 0.05 * info, ec.s + ac.s)::DOUBLE AS pen, (ec.s + ac.s)::DOUBLE AS objects FROM ec JOIN ac USING (pair_id) JOIN n USING (pair_id))
+  attributes_all_s, least(critical + 0.35 * warning + 0.05 * info, ec.s + attributes_all_s)::DOUBLE AS pen, (ec.s + attributes_all_s)::DOUBLE AS objects FROM ec JOIN ac USING (pair_id) JOIN n USING (pair_id) JOIN al USING (pair_id))
 SELECT * EXCLUDE (pen, objects), round(100.0::DOUBLE - 100.0::DOUBLE * pen / objects, 2) AS fidelity_score, CASE WHEN critical > 0 THEN 'FAIL' WHEN warning > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM r"""
 
 
@@ -164,7 +164,7 @@ SELECT * EXCLUDE (pen, objects), round(100.0::DOUBLE - 100.0::DOUBLE * pen / obj
 def _compare_models(T):
     """25 models: entities by ladder, attributes by ladder inside matched entities, findings, scores, gate."""
     return fleet(T)["results"].select(
-        "pair_id", "entities_s", "entities_t", "entities_matched", "attributes_s", "attributes_t", "attributes_matched", "critical", "warning", "info",
+        "pair_id", "entities_s", "entities_t", "entities_matched", "attributes_s", "attributes_t", "attributes_matched", "attributes_all_s", "critical", "warning", "info",
         "fidelity_score", "status")
 
 
