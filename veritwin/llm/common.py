@@ -18,6 +18,9 @@ ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122
 #: Words between spaces and \x09-\x0D, after A-Z were lower-cased; bytes.split() cuts at exactly these.
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+#: Rows whose texts are Python objects at a time.
+ROWS_AT_ONCE = 2000
+
 
 def utf8(text: str | None) -> bytes:
     """UTF-8 of a text; a null text is empty."""
@@ -29,13 +32,15 @@ def scan(df: DataFrame, columns: dict[str, Column | str], fn: Callable, schema:
 
     Only ``columns`` reach Python, under the names given here, so other columns of ``df`` are never
     read and can't clash. ``fn`` gets an iterator of lists of columns (Python lists) and yields lists
-    of columns in the order of ``schema``. Spark bounds a batch by rows and bytes.
+    of columns in the order of ``schema``. Spark bounds a batch by rows and bytes; ``fn`` gets at most
+    ``ROWS_AT_ONCE`` rows of it, which bounds the Python objects that live at a time.
     """
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     chosen = df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
 
     def run(batches):
-        for out in fn([c.to_pylist() for c in b.columns] for b in batches):
+        parts = (b.slice(k, ROWS_AT_ONCE) for b in batches for k in range(0, b.num_rows, ROWS_AT_ONCE))
+        for out in fn([c.to_pylist() for c in b.columns] for b in parts):
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, arrow)], schema=arrow)
 
     return chosen.mapInArrow(run, schema)

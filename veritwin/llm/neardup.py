@@ -5,10 +5,12 @@ fraction with which any element visits it. Ranks of one element differ in all sl
 against independent hashes. Work goes rank by rank over all elements of a document and stops as soon as every slot
 holds a value below the next rank, because later ranks can't lower any.
 
-Documents with equal sets form a class, which its smallest doc_id stands for. Of a bucket of equal band
-keys, never all pairs are made: each bucket first compares its members with one of them, drawn by hash; the links found
-join most of a bucket into one component. Only members outside a bucket's largest component are then compared with
-those members that are in other components. No pair that could join two components is left out.
+Documents with equal sets form a class, which its smallest doc_id stands for. The pairs of a bucket of equal band
+keys are never made as rows. Each bucket first compares its members with one of them, drawn by hash; the links found join
+most of a bucket into one component. A bucket that still holds several components sends its members to the group of its
+largest one. There, in blocks of bounded size, every member of another component is compared with all members of the group on full
+sets, and only links come back. Two documents that share a bucket meet in such a group unless they are in one
+component already, so no link that joins two components is left out.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +33,9 @@ PERCENT = 75
 #: Two documents at the limit of 0.75 miss each other with a chance of (1 - 0.75 ** 5) ** 48 = 0.000002.
 BANDS, ROWS = 48, 5
 #: Elements whose permutations are held at a time, and words whose hashes are remembered.
-ELEMENTS, REMEMBERED = 1 << 16, 1 << 19
+ELEMENTS, REMEMBERED = 1 << 16, 1 << 17
+#: Sizes of the two sides of a block in which components are compared.
+GUESTS, ALL = 256, 1024
 #: Buckets of the pre-filter of documents whose sets are needed; at most so many integers are broadcast.
 FILTER = 1 << 20
 
@@ -165,6 +170,68 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return pairs.join(right, "b").join(left, "a").where(common * 100 >= union * percent).select("a", "b")
 
 
+def across(placed: DataFrame, sets: DataFrame, percent: int = PERCENT, guests: int = GUESTS, every: int = ALL) -> DataFrame:
+    """Links (a, b) between different components of ``placed`` (key, rep, component) that share a bucket.
+
+    A bucket's home is its largest component. Its members meet in the home's group, cut into blocks: members of other
+    components (guests) against all. A row of the result joins a guest to one component; further links to it are left out.
+    """
+    weights = placed.groupBy("key", "component").count()
+    homes = weights.groupBy("key").agg(F.max(F.struct("count", "component"))["component"].alias("home"), F.count("*").alias("parts"))
+    met = placed.join(homes.where("parts > 1").drop("parts"), "key").select("home", "rep", "component").distinct()
+    guest = (F.col("component") != F.col("home")).cast("int")
+    sizes = met.groupBy("home").agg(F.ceil(F.sum(guest) / guests).cast("int").alias("rows"), F.ceil(F.count("*") / every).cast("int").alias("columns"))
+    rows, columns = F.col("rows"), F.col("columns")
+    cells = met.join(sizes, "home").select(
+        "home", "rep", "component",
+        # side 0: a guest stands in one row of blocks; side 1: everyone stands in one column of blocks
+        F.explode(F.concat(
+            F.when(guest == 1, F.transform(F.sequence(F.lit(0), columns - 1), lambda c: F.struct(
+                F.lit(0).alias("side"), F.pmod(F.xxhash64("rep"), rows).cast("int").alias("i"), c.alias("j")))).otherwise(F.array()),
+            F.transform(F.sequence(F.lit(0), rows - 1), lambda r: F.struct(
+                F.lit(1).alias("side"), r.alias("i"), F.pmod(F.xxhash64(F.lit(1), "rep"), columns).cast("int").alias("j"))),
+        )).alias("cell"),
+    ).select("home", "cell.i", "cell.j", "cell.side", F.col("rep").alias("node"), "component")
+    kind = met.schema["rep"].dataType.simpleString()
+
+    def compare(t):
+        side, own = t.column("side").to_numpy(), t.column("node").to_pylist()
+        part, lists = t.column("component").to_pylist(), t.column("shingles").combine_chunks()
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        a, b = linked(side, part, ends, flat, percent)
+        return pa.table({"a": pa.array([own[k] for k in a], t.schema.field("node").type), "b": pa.array([own[k] for k in b], t.schema.field("node").type)})
+
+    return cells.join(sets, "node").groupBy("home", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
+
+
+def linked(side: np.ndarray, part: list, ends: np.ndarray, flat: np.ndarray, percent: int) -> tuple[list[int], list[int]]:
+    """Places of guests (side 0) and of those of side 1 whose sets are similar: one link per guest and component.
+
+    ``flat`` holds the sets, set k from ends[k] to ends[k + 1]; the sets of side 1 become one inverted index.
+    """
+    hosts = np.flatnonzero(side == 1)
+    size = np.diff(ends)
+    owner = np.repeat(np.arange(len(size)), size)
+    inside = side[owner] == 1
+    order = np.argsort(flat[ends[0] : ends[-1]][inside], kind="stable")
+    key, who = flat[ends[0] : ends[-1]][inside][order], owner[inside][order]
+    out_a, out_b = [], []
+    for g in np.flatnonzero(side == 0).tolist():
+        own = flat[ends[g] : ends[g + 1]]
+        low, high = np.searchsorted(key, own, "left"), np.searchsorted(key, own, "right")
+        count = high - low
+        at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        common = np.bincount(who[at], minlength=len(size))[hosts]
+        near = hosts[(common > 0) & (100 * common >= percent * (size[hosts] + size[g] - common))]
+        seen = {part[g]}
+        for h in near.tolist():
+            if part[h] not in seen:
+                seen.add(part[h])
+                out_a.append(g)
+                out_b.append(h)
+    return out_a, out_b
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -195,22 +262,12 @@ def near_duplicates(
         return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
     stars = pairs(buckets.where((F.col("rep") != F.col("first")) & close("n", "first_n")), "rep", "first")
-    links = shared_table(verified(stars, sets, percent), "links")
-    found = components(links)
-    # Members outside the largest component of their bucket, against the bucket's members in other components.
-    placed = buckets.select("key", "rep", "n").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    placed = shared_table(placed.withColumn("component", F.coalesce("component", "rep")), "placed")
-    weights = placed.groupBy("key", "component").count()
-    largest = weights.groupBy("key").agg(
-        F.max(F.struct("count", "component"))["component"].alias("top"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    rest = placed.join(largest, "key")
-    minor = rest.where("component <> top").select("key", F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("component").alias("x_part"))
-    across = rest.join(minor, "key").where(
-        (F.col("component") != F.col("x_part")) & ((F.col("component") == F.col("top")) | (F.col("rep") < F.col("x"))) & close("n", "x_n")
-    )
-    more = verified(pairs(across, "rep", "x").join(stars, ["a", "b"], "left_anti"), sets, percent)
-    nodes = components(links.union(more)).select(F.col("node").alias("rep"), "component")
+    found = components(verified(stars, sets, percent))
+    placed = buckets.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "rep"))
+    more = shared_table(across(placed, sets, percent), "links")
+    nodes = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)).select(
+        F.col("node").alias("rep"), "component")
     linked = own.select("doc_id", "n_shingles", "rep").join(nodes, "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
     )
