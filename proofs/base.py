@@ -136,20 +136,32 @@ def q(values) -> str:
     return ", ".join("'" + v + "'" for v in values)
 
 
+def t_bracket(raw: str) -> str:
+    """Name, opening bracket, anything, and the only closing bracket at the end."""
+    return f"({raw} LIKE '_%(%)' AND strpos({raw}, ')') = length({raw}) AND regexp_full_match(split_part({raw}, '(', 1), '[A-Za-z0-9_ ]*[A-Za-z0-9_] *'))"
+
+
+def t_glued(raw: str) -> str:
+    """A name without digits, then one number or two with a comma."""
+    return f"regexp_full_match({raw}, '[A-Za-z_ ]*[A-Za-z_] *[0-9]+( *, *[0-9]+)?')"
+
+
+def t_stem(raw: str) -> str:
+    return f"rtrim({raw}, '0123456789, ')"
+
+
 def t_base(x: str) -> str:
     raw = trim(x)
     return (
-        f"(CASE WHEN regexp_matches({raw}, '{_ty.PARENTHESES}') THEN lower(trim(regexp_extract({raw}, '{_ty.PARENTHESES}', 1))) "
-        f"WHEN regexp_matches({raw}, '{_ty.GLUED}') THEN lower(trim(regexp_extract({raw}, '{_ty.GLUED}', 1))) ELSE lower({raw}) END)"
-    )
+        f"(CASE WHEN {t_bracket(raw)} THEN lower(trim(split_part({raw}, '(', 1))) WHEN {t_glued(raw)} THEN lower(trim({t_stem(raw)})) "
+        f"ELSE lower({raw}) END)")
 
 
 def t_dim(x: str, i: int) -> str:
     raw = trim(x)
     dims = (
-        f"(CASE WHEN regexp_matches({raw}, '{_ty.PARENTHESES}') THEN regexp_extract({raw}, '{_ty.PARENTHESES}', 2) "
-        f"WHEN regexp_matches({raw}, '{_ty.GLUED}') THEN regexp_extract({raw}, '{_ty.GLUED}', 2) ELSE '' END)"
-    )
+        f"(CASE WHEN {t_bracket(raw)} THEN substr({raw}, strpos({raw}, '(') + 1, length({raw}) - strpos({raw}, '(') - 1) "
+        f"WHEN {t_glued(raw)} THEN substr({raw}, length({t_stem(raw)}) + 1) ELSE '' END)")
     parts = f"list_filter(list_transform(string_split({dims}, ','), lambda d: trim(d)), lambda d: d <> '')"
     return f"coalesce({parts}[{i}], '')"
 
@@ -206,9 +218,10 @@ def t_describe(c: str) -> str:
 
 
 def t_physical(x: str) -> str:
-    raw, form = trim(x), _ty.PHYSICAL_FORM
-    base = f"(CASE WHEN regexp_matches({raw}, '{form}') THEN lower(trim(regexp_extract({raw}, '{form}', 1))) ELSE lower({raw}) END)"
-    dims = f"(CASE WHEN regexp_matches({raw}, '{form}') THEN trim(regexp_extract({raw}, '{form}', 2)) ELSE '' END)"
+    raw = trim(x)
+    sized = f"({t_bracket(raw)} AND regexp_matches({raw}, '^[A-Za-z]'))"
+    base = f"(CASE WHEN {sized} THEN lower(trim(split_part({raw}, '(', 1))) ELSE lower({raw}) END)"
+    dims = f"(CASE WHEN {sized} THEN trim(substr({raw}, strpos({raw}, '(') + 1, length({raw}) - strpos({raw}, '(') - 1)) ELSE '' END)"
     canon = f"coalesce({case_map(base, _ty.PHYSICAL)}, upper({base}))"
     return (
         f"(CASE WHEN {txt(x)} = '' THEN '' WHEN {dims} <> '' THEN concat({canon}, '(', {dims}, ')') ELSE {canon} END)")
