@@ -21,7 +21,7 @@ def _fleet_dashboard(T):
 @query("worst_pairs", f"""WITH {results_sql().replace('res AS (', 'res AS MATERIALIZED (')}, r AS (SELECT *, row_number() OVER (ORDER BY fidelity_score, critical DESC, pair_id) AS rn FROM res)
 SELECT pair_id, fidelity_score, critical, status FROM r WHERE rn <= 15""")
 def _worst_pairs(T):
-    return rp.worst_pairs(part_results(T)[0]).select("pair_id", "fidelity_score", "critical", "status")
+    return rp.worst_pairs(part_results(T)[0], 15).select("pair_id", "fidelity_score", "critical", "status")
 
 
 @query("category_analysis", f"""WITH {findings_sql()} SELECT category, count(*) FILTER (severity = 'CRITICAL') AS critical, count(*) FILTER (severity = 'WARNING') AS warning, count(*) FILTER (severity = 'INFO') AS info, count(*) FILTER (severity = 'VERIFIED') AS verified, count(*) AS total, count(DISTINCT pair_id) AS pairs FROM f GROUP BY category""")
@@ -141,7 +141,7 @@ def _complexity_signals(T):
 @query("top_contributors", """WITH c AS (SELECT event_type AS pair_id, user_id::VARCHAR AS who, count(*) AS n FROM events GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY n DESC, who) AS rn FROM c)
 SELECT pair_id, string_agg(concat(who, ' (', n, ')'), ', ' ORDER BY rn) AS contributors FROM r WHERE rn <= 3 GROUP BY pair_id""")
 def _top_contributors(T):
-    return rp.top_contributors(T.events.select(F.col("event_type").alias("pair_id"), F.col("user_id").alias("who")))
+    return rp.top_contributors(T.events.select(F.col("event_type").alias("pair_id"), F.col("user_id").alias("who")), 3)
 
 
 @query("timing_rollup", """WITH s AS (SELECT strftime(ts, '%Y-%m-%d %H') AS run, user_id % 3 + 1 AS size, round(sum(value), 3) AS t FROM events GROUP BY ALL), l AS (SELECT * FROM s WHERE run = (SELECT max(run) FROM s)), r AS (SELECT *, row_number() OVER (ORDER BY size) - 1 AS pos FROM l)

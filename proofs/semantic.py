@@ -545,7 +545,7 @@ def _compare_business_rules(T):
 @query("check_quality", """WITH n AS (SELECT c_custkey, count(o_orderkey) FILTER (o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT') AS s_n,
   count(o_orderkey) FILTER (o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT' AND o_totalprice > 400000) AS t_n, count(o_orderkey) FILTER (o_orderpriority = '1-URGENT') AS urgent FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey)
 SELECT 'm' AS pair_id, 'MODEL_QUALITY' AS category, 'C' || c_custkey AS object_name, '0 relationships' AS t_value FROM n WHERE urgent = 0
-UNION ALL SELECT 'm', 'MODEL_QUALITY', 'C' || c_custkey, '0 attributes' FROM n WHERE t_n = 0 AND s_n > 0 UNION ALL SELECT 'm', 'MODEL_METADATA', '(model)', 'Other Model'""")
+UNION ALL SELECT 'm', 'MODEL_QUALITY', 'C' || c_custkey, '0 attributes' FROM n WHERE t_n = 0 AND s_n > 0 UNION ALL SELECT concat('r', r_regionkey), 'MODEL_METADATA', '(model)', 'Other Model' FROM region WHERE r_regionkey = 2""")
 def _check_quality(T):
     some = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") != "1-URGENT")
     counted = T.customer.join(T.orders, F.col("o_custkey") == F.col("c_custkey"), "left").groupBy("c_custkey").agg(
@@ -553,7 +553,10 @@ def _check_quality(T):
     code = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
     base = counted.select(F.lit("m").alias("pair_id"), F.col("c_custkey").alias("id"), F.lit("").alias("name"), code.alias("code"), "s_n", "t_n")
     ends = T.orders.where("o_orderpriority = '1-URGENT'").select(F.lit("m").alias("pair_id"), F.concat(F.lit("c_"), F.col("o_custkey").cast("string")).alias("entity"))
-    models = T.region.limit(1).select(F.lit("m").alias("pair_id"), F.lit("Model A").alias("s_model"), F.lit("Other Model").alias("t_model"))
+    # One model per region; the names of all but one survive but for their spelling.
+    models = T.region.select(
+        F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("pair_id"), F.col("r_name").alias("s_model"),
+        F.when(F.col("r_regionkey") == 2, F.lit("Other Model")).otherwise(F.lower("r_name")).alias("t_model"))
     rows = sem.check_quality(base.withColumnRenamed("t_n", "n_attributes"), ends, base.withColumnRenamed("s_n", "n_attributes"), models)
     return rows.select("pair_id", "category", "object_name", "t_value")
 

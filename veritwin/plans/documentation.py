@@ -93,9 +93,9 @@ def _four(s: Column, t: Column, same: Column, differs: str, only_t: str) -> Colu
 
 
 def shown_values(rows: DataFrame) -> DataFrame:
-    """Report cells: one line, cut for display only."""
+    """Adds report cells, one line cut for display; the whole texts stay beside them."""
     return rows.withColumn("s_value", truncate("s_text", DISPLAY_LIMIT)).withColumn(
-        "t_value", truncate("t_text", DISPLAY_LIMIT)).drop("s_text", "t_text")
+        "t_value", truncate("t_text", DISPLAY_LIMIT))
 
 
 def summarise_fields(rows: DataFrame, by: Sequence[str] = ("mapping",), statuses: Sequence[str] = STATUSES) -> DataFrame:

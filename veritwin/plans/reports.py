@@ -29,7 +29,7 @@ def fleet_dashboard(results: DataFrame) -> DataFrame:
         F.sum("objects_s").alias("objects_compared"))
 
 
-def worst_pairs(results: DataFrame, n: int = 15) -> DataFrame:
+def worst_pairs(results: DataFrame, n: int) -> DataFrame:
     """Lowest score first, then most critical findings."""
     return results.orderBy(F.asc("fidelity_score"), F.desc("critical"), F.asc("pair_id")).limit(n)
 
@@ -223,7 +223,7 @@ def non_equivalence_register(census: DataFrame) -> DataFrame:
     return census.select("pair_id", F.explode(every).alias("r")).select("pair_id", "r.*")
 
 
-def top_contributors(log: DataFrame, n: int = 3, by: Sequence[str] = ("pair_id",), who: str = "who") -> DataFrame:
+def top_contributors(log: DataFrame, n: int, by: Sequence[str] = ("pair_id",), who: str = "who") -> DataFrame:
     """The ``n`` most frequent names per model as one text; ties by name."""
     by = list(by)
     counts = log.groupBy(*by, F.col(who).cast("string").alias("who")).agg(F.count("*").alias("n"))
