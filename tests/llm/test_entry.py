@@ -2,10 +2,12 @@
 
 import hashlib
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from tests.llm import test_pii, test_secrets
+from tools.verify import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,3 +27,13 @@ def test_digests(spark, name, brute):
         line = ",".join(f"{k}:{a}:{b}" for k, a, b in brute(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
         assert set(line.split(",")) - {""} <= set(r.spans.split(","))
+
+
+@pytest.mark.parametrize("name", [n for n in entry.LLM_ORACLES])
+def test_equals_sql(spark, name):
+    db = duckdb.connect()
+    for t in TABLES:
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df, rel = entry.queries()[name](spark, SF), db.sql(entry.oracle_sql()[name])
+    assert sorted(df.columns) == sorted(rel.columns)
+    assert rows_of(df.columns, df.collect()) == rows_of(rel.columns, rel.fetchall())
