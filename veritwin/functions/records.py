@@ -75,17 +75,17 @@ def parse_options_blob(c: str | Column) -> Column:
     )
     entries = F.transform(
         lines,
-        lambda line: F.struct(
-            trim_ws(F.substring_index(line, "=", 1)).alias("key"),
+        lambda line, i: F.struct(
+            trim_ws(F.substring_index(line, "=", 1)).alias("key"), i.alias("nth"),
             trim_ws(F.substr(line, F.instr(line, "=") + F.lit(1))).alias("value"),
         ),
     )
-    keys = F.transform(entries, lambda e: e["key"])
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(F.size(keys), F.lit(1))), e["key"]),
-    )
-    return F.map_from_entries(last)
+    # Sorted by key and place, the last of a key is the one before another key; the outer transform sorts once.
+    last = F.transform(
+        F.array(F.array_sort(entries)),
+        lambda s: F.filter(s, lambda e, i: F.coalesce(F.get(s, i + 1)["key"] != e["key"], F.lit(True))),
+    )[0]
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
 
 
 def explode_kv_text(df: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:

@@ -17,6 +17,7 @@ mixes them. A word of more than ``LONGEST`` characters is cut there, which bound
 from __future__ import annotations
 
 import re
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -31,11 +32,12 @@ from .tokens import vocabulary_path
 from .vocabulary import head, word_counts
 
 LONGEST = 256
-HEAD = 1 << 20
-#: Texts that are Python objects at a time, and words that a task numbers beyond the broadcast ones.
-AT_ONCE, NUMBERED = 2000, 1 << 19
-#: Word characters other than digits, the superscript ones and fractions included.
-LETTERS = r"(?![\xb2\xb3\xb9\xbc-\xbe])[^\W\d_]"
+HEAD = 1 << 19
+#: Texts that are Python objects at a time, and blank-separated units whose words' numbers a task remembers.
+AT_ONCE, REMEMBERED = 2000, 1 << 18
+#: Word characters other than digits, the superscript ones and fractions included; and all others but the blank.
+LETTERS = r"[^\W\d_\xb2\xb3\xb9\xbc-\xbe]"
+OTHERS = rf"(?:(?!{LETTERS})[^\x20])"
 
 
 class Pieces(NamedTuple):
@@ -69,23 +71,35 @@ def load(path: str | None = None) -> Pieces:
 
 
 def _pattern(mixed: bool) -> str:
-    return r"\x20*[^\x20]+|\x20+" if mixed else rf"\x20*(?:{LETTERS})+|\x20*(?:(?!{LETTERS})[^\x20])+|\x20+"
+    return r"\x20*[^\x20]+|\x20+" if mixed else rf"\x20*{LETTERS}+|\x20*{OTHERS}+|\x20+"
 
 
 class Splitter:
-    """Text -> words; their concatenation is a blank and the text."""
+    """Text -> words; their concatenation is a blank and the text.
+
+    A unit is what one or more blanks lead in, without the first of them; equal units have equal words.
+    """
 
     def __init__(self, mixed: bool, longest: int = LONGEST):
         self.find, self.longest = re.compile(_pattern(mixed)).findall, longest
+        self.loose = re.compile(r"\x20+[^\x20]+|\x20+").findall
 
-    def __call__(self, text: str | None) -> list[str]:
+    def units(self, text: str | None) -> list[str]:
         if not text:
             return []
-        words = self.find(" " + text)
+        if "  " in text or text[0] == " " or text[-1] == " ":
+            return [u[1:] for u in self.loose(" " + text)]
+        return text.split(" ")
+
+    def parts(self, unit: str) -> list[str]:
+        words = self.find(" " + unit)
         if max(map(len, words)) > self.longest:
             words = [w[k : k + self.longest] for w in words for k in range(0, len(w), self.longest)]
         return words
 
+    def __call__(self, text: str | None) -> list[str]:
+        return [w for u in self.units(text) for w in self.parts(u)]
+
 
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
     """piece, id, score: one row per usable piece; of equal texts the best score, then the smallest id."""
@@ -138,21 +152,35 @@ def lattice(words: DataFrame, pieces: Pieces, others: tuple[str, ...] = ()) -> D
 
 
 class Numbers(dict):
-    """Word -> number; words beyond the broadcast ones are numbered as they come."""
-
-    def __init__(self, known: list[str]):
-        super().__init__(zip(known, range(len(known))))
-        self.known, self.more = len(known), []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = self.known + len(self.more)
-        self.more.append(word)
-        return n
-
-    def forget(self) -> None:
-        for w in self.more:
-            del self[w]
-        self.more = []
+    """Unit -> numbers of its words: places in the broadcast list, or beyond it as words come."""
+
+    def __init__(self, known: list[str], splitter: Splitter):
+        super().__init__()
+        self.places, self.splitter, self.known = dict(zip(known, range(len(known)))), splitter, len(known)
+        self.later: dict[str, int] = {}
+        self.more: list[str] = []
+
+    def __missing__(self, unit: str) -> tuple[int, ...]:
+        out = []
+        for word in self.splitter.parts(unit):
+            n = self.places.get(word)
+            if n is None:
+                n = self.later.get(word)
+                if n is None:
+                    n = self.later[word] = self.known + len(self.more)
+                    self.more.append(word)
+            out.append(n)
+        self[unit] = found = tuple(out)
+        return found
+
+    def of(self, text: str | None) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(map(self.__getitem__, self.splitter.units(text))), np.int64)
+
+    def trim(self) -> None:
+        """Forgets what has grown beyond its bound; between batches only, as numbers change."""
+        if len(self) > REMEMBERED or len(self.more) > REMEMBERED:
+            self.clear()
+            self.later, self.more = {}, []
 
 
 def text_key(text: str | None) -> int:
@@ -172,9 +200,11 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     ids of their words. Null ids stay; an empty table gives an empty result; other columns are ignored.
     """
     splitter = Splitter(pieces.mixed, longest)
-    counts = shared_table(word_counts(docs, text, splitter), "words")
-    known = shared_table(lattice(counts.select("word", "n"), pieces, ("n",)), "lattice")
-    frequent = head(known, head_words).select("word", "ids").toArrow()
+    # The lattice follows the sums by word without a shuffle: rows of one word stay in its partition.
+    counts = word_counts(docs, text, splitter.units, splitter.parts)
+    known = shared_table(lattice(counts, pieces, ("n",)), "lattice")
+    often, seldom = head(known, head_words)
+    frequent = often.select("word", "ids").toArrow()
     names = frequent.column("word").combine_chunks()
     lists = frequent.column("ids").combine_chunks()
     context = docs.sparkSession.sparkContext
@@ -185,40 +215,38 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     chosen = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
     def open_words(batches):
-        numbers = Numbers(shared_names.value.to_pylist())
+        numbers = Numbers(shared_names.value.to_pylist(), splitter)
         for b in slices(batches):
-            if len(numbers.more) > NUMBERED:
-                numbers.forget()
+            numbers.trim()
             keys, found = [], []
             for t in b.column("text").to_pylist():
-                rest = {w for w in splitter(t) if numbers[w] >= n_known}
+                at = numbers.of(t)
+                rest = np.unique(at[at >= n_known]).tolist()
                 keys += [text_key(t)] * len(rest)
-                found += rest
+                found += [numbers.more[k - n_known] for k in rest]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.string())], names=["key", "word"])
 
     def skeletons(batches):
-        numbers = Numbers(shared_names.value.to_pylist())
+        numbers = Numbers(shared_names.value.to_pylist(), splitter)
         squeeze = zstandard.ZstdCompressor(level=3)
         for b in slices(batches):
-            if len(numbers.more) > NUMBERED:
-                numbers.forget()
+            numbers.trim()
             keys, lines, rest, n_words = [], [], [], []
             for t in b.column("text").to_pylist():
-                words = splitter(t)
-                at = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+                at = numbers.of(t)
+                n_words.append(len(at))
                 beyond = np.flatnonzero(at >= n_known)
                 own, place = np.unique(at[beyond], return_inverse=True)
                 at[beyond] = n_known + place
                 keys.append(text_key(t))
                 lines.append(squeeze.compress(at.astype("<u4").tobytes()))
                 rest.append([numbers.more[k - n_known] for k in own.tolist()])
-                n_words.append(len(words))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(keys, pa.int64()), pa.array(n_words, pa.int64()), pa.array(lines, pa.binary()), pa.array(rest, pa.list_(pa.string()))],
                 names=["doc_id", "key", "n_words", "line", "rest"])
 
     opened = chosen.select("text").mapInArrow(open_words, "key long, word string")
-    back = opened.join(known.select("word", "ids"), "word").groupBy("key").agg(F.collect_set(F.struct("word", "ids")).alias("found"))
+    back = opened.join(seldom.select("word", "ids"), "word").groupBy("key").agg(F.collect_set(F.struct("word", "ids")).alias("found"))
     lines = chosen.mapInArrow(skeletons, f"doc_id {kind}, key long, n_words long, line binary, rest array<string>")
     table = [t.encode() for t in pieces.texts]
     for value, k in enumerate(pieces.bytes_):

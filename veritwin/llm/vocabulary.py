@@ -16,24 +16,39 @@ HELD = 1 << 20
 HEAD = 1 << 18
 
 
-def word_counts(docs: DataFrame, text: str, split: Callable[[str | None], list], limit: int = HELD) -> DataFrame:
-    """word, n over all texts. Each task adds up first, so a frequent word is one row per task in the shuffle."""
+def word_counts(docs: DataFrame, text: str, split: Callable[[str | None], list], parts: Callable[[str], list[str]] | None = None, limit: int = HELD, raw: bool = False) -> DataFrame:
+    """word, n over all texts. Each task adds up first, so a frequent word is one row per task in the shuffle.
+
+    With ``parts``, what ``split`` gives is counted first and each distinct unit is then cut into words once. With ``raw``,
+    ``split`` gets UTF-8 and gives words in UTF-8.
+    """
 
     def fn(batches):
         held: Counter = Counter()
+
+        def flush():
+            if parts is None:
+                out = held
+            else:
+                out = Counter()
+                for unit, n in held.items():
+                    for w in parts(unit):
+                        out[w] += n
+            return list(out), list(out.values())
+
         for (texts,) in batches:
             for t in texts:
                 held.update(split(t))
-                if len(held) >= limit:
-                    yield list(held), list(held.values())
-                    held.clear()
-        yield list(held), list(held.values())
+            if len(held) >= limit:
+                yield flush()
+                held.clear()
+        yield flush()
 
-    return scan(docs, {"text": text}, fn, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return scan(docs, {"text": F.col(f"`{text}`").cast("binary") if raw else text}, fn, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def head(counts: DataFrame, size: int = HEAD) -> DataFrame:
-    """The most frequent words, at most ``size``: those from the lowest class of counts on that still fits.
+def head(counts: DataFrame, size: int = HEAD) -> tuple[DataFrame, DataFrame]:
+    """The most frequent words, at most ``size``, and the others: cut at the lowest class of counts that still fits.
 
     Classes are eighths of powers of two, so what is collected to choose one has at most 8 x 63 rows.
     """
@@ -45,4 +60,4 @@ def head(counts: DataFrame, size: int = HEAD) -> DataFrame:
         if total > size:
             break
         least = row["level"]
-    return counts.where(level >= least)
+    return counts.where(level >= least), counts.where(level < least)

@@ -433,8 +433,8 @@ def explain_extra_by_prefix(extra: DataFrame, partners: DataFrame, scope: Sequen
     """Why a T-only attribute exists: a partner entity's name begins its own.
 
     ``extra`` (scope…, owner, id, name, code), ``partners`` (scope…, owner,
-    partner). The prefix test is an equi-join: every prefix of the attribute's
-    code and name meets the partner tokens of its owner, which are unique per
+    partner). The prefix test is an equi-join: prefixes of the attribute's code and
+    name, of the lengths that the owner's tokens have, meet these tokens, which are unique per
     (scope, owner, token, tier). Only true hits come out of the join.
     """
     scope = list(scope)
@@ -462,14 +462,12 @@ def explain_extra_by_prefix(extra: DataFrame, partners: DataFrame, scope: Sequen
         .agg(F.min(F.struct((-F.col("_len")).alias("neg"), "partner")).alias("_named"))
     )
 
-    def prefixes(c):
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda n: F.left(c, n))
-
+    # Only prefixes as long as some token of the owner can hit: one probe per such length and text.
+    lengths = probes.select(*scope, "owner", F.length("probe").alias("_n")).distinct()
     shown = extra.select(*scope, "owner", "id", flat("code").alias("_code"), token("name").alias("_name"))
-    asked = shown.select(
-        *scope, "owner", "id",
-        F.explode(F.array_union(prefixes(F.col("_code")), prefixes(F.col("_name")))).alias("probe"),
-    ).where("probe <> ''")
+    asked = shown.join(lengths, [*scope, "owner"]).select(
+        *scope, "owner", "id", "_n", F.explode(F.array_distinct(F.array(F.left("_code", "_n"), F.left("_name", "_n")))).alias("probe"),
+    ).where(F.length("probe") == F.col("_n")).drop("_n")
     best = (
         asked.join(probes, [*scope, "owner", "probe"])
         .groupBy(*scope, "owner", "id")
