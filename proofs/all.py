@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import cells, documentation, expressions, flows, matching, physical, reports, semantic  # noqa: F401
+from . import cells, documentation, expressions, flows, ingest, matching, physical, reports, semantic  # noqa: F401
