@@ -16,11 +16,11 @@ HELD = 1 << 20
 HEAD = 1 << 18
 
 
-def word_counts(docs: DataFrame, text: str, split: Callable[[str | None], list], parts: Callable[[str], list[str]] | None = None, limit: int = HELD, raw: bool = False) -> DataFrame:
+def word_counts(docs: DataFrame, text: str, split: Callable[[str | None], list], parts: Callable[[str], list[str]] | None = None, limit: int = HELD, raw: bool = False, partitions: int | None = None) -> DataFrame:
     """word, n over all texts. Each task adds up first, so a frequent word is one row per task in the shuffle.
 
     With ``parts``, what ``split`` gives is counted first and each distinct unit is then cut into words once. With ``raw``,
-    ``split`` gets UTF-8 and gives words in UTF-8.
+    ``split`` gets UTF-8 and gives words in UTF-8. ``partitions`` is for work that makes many rows of each word in its place.
     """
 
     def fn(batches):
@@ -44,7 +44,8 @@ def word_counts(docs: DataFrame, text: str, split: Callable[[str | None], list],
                 held.clear()
         yield flush()
 
-    return scan(docs, {"text": F.col(f"`{text}`").cast("binary") if raw else text}, fn, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    parts_ = scan(docs, {"text": F.col(f"`{text}`").cast("binary") if raw else text}, fn, "word string, n long")
+    return (parts_ if partitions is None else parts_.repartition(partitions, "word")).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def head(counts: DataFrame, size: int = HEAD) -> tuple[DataFrame, DataFrame]:
