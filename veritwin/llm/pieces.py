@@ -32,9 +32,11 @@ from .tokens import vocabulary_path
 from .vocabulary import head, word_counts
 
 LONGEST = 256
-HEAD = 1 << 19
+#: Partitions of the lattice per shuffle partition.
+SPREAD = 8
+HEAD = 1 << 18
 #: Texts that are Python objects at a time, and blank-separated units whose words' numbers a task remembers.
-AT_ONCE, REMEMBERED = 2000, 1 << 18
+AT_ONCE, REMEMBERED = 2000, 1 << 17
 #: Word characters other than digits, the superscript ones and fractions included; and all others but the blank.
 LETTERS = r"[^\W\d_\xb2\xb3\xb9\xbc-\xbe]"
 OTHERS = rf"(?:(?!{LETTERS})[^\x20])"
@@ -139,13 +141,15 @@ def lattice(words: DataFrame, pieces: Pieces, others: tuple[str, ...] = ()) -> D
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
 
     def step(best: Column, edge: Column) -> Column:
-        # best[k] is the best path over k characters; edges come by end, so an edge either opens a new end or improves the last
-        before = F.get(best, edge["start"] - 1)
-        score = before["score"] + edge["score"]
-        path = F.struct(score.alias("score"), F.concat(before["ids"], edge["ids"]).alias("ids"))
-        return F.when(F.size(best) < edge["end"], F.concat(best, F.array(path))).when(
-            score > F.get(best, F.size(best) - 1)["score"], F.concat(F.slice(best, 1, F.size(best) - 1), F.array(path))
-        ).otherwise(best)
+        # best[k] is the best path over k characters. Edges come by end, so an edge opens a new end or may improve the last
+        # one; most do neither, so the sum of scores is compared before any path is made.
+        def path() -> Column:
+            before = F.get(best, edge["start"] - 1)
+            return F.array(F.struct((before["score"] + edge["score"]).alias("score"), F.concat(before["ids"], edge["ids"]).alias("ids")))
+
+        better = F.get(best, edge["start"] - 1)["score"] + edge["score"] > F.get(best, F.size(best) - 1)["score"]
+        return F.when(F.size(best) < edge["end"], F.concat(best, path())).when(
+            better, F.concat(F.slice(best, 1, F.size(best) - 1), path())).otherwise(best)
 
     folded = F.aggregate("edges", start, step, lambda best: F.element_at(best, -1)["ids"])
     return grouped.select("word", *others, folded.alias("ids"))
@@ -201,7 +205,9 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     """
     splitter = Splitter(pieces.mixed, longest)
     # The lattice follows the sums by word without a shuffle: rows of one word stay in its partition.
-    counts = word_counts(docs, text, splitter.units, splitter.parts)
+    # A word makes some 20 edges, so there are more and smaller partitions than for words alone.
+    partitions = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = word_counts(docs, text, splitter.units, splitter.parts, partitions=partitions)
     known = shared_table(lattice(counts, pieces, ("n",)), "lattice")
     often, seldom = head(known, head_words)
     frequent = often.select("word", "ids").toArrow()
