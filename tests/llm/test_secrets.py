@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import signal
 import time
 
 from veritwin.llm import secrets as S
@@ -60,6 +61,30 @@ def test_entropy_adds_and_allow_list_holds():
     assert base == every == [("assign", 0, 8 + len(key))]
 
 
+def test_long_runs_of_separators_are_read_once():
+    scanner, plain = S.Scanner(), re.compile(r"(?:[A-Za-z]*|[0-9]{1,4})(?:[+/_=-]+(?:[A-Za-z]*|[0-9]{1,4}))*")
+    words = re.compile(next(p for p in S.ALLOW if "+/_=-" in p and "example" not in p))
+    r = random.Random(7)
+    for _ in range(20_000):
+        text = "".join(r.choice(["a", "Zz", "1", "123", "-", "=", "/"]) for _ in range(r.randrange(0, 12)))
+        assert bool(words.fullmatch(text)) == bool(plain.fullmatch(text)), text
+
+    def late(*_):
+        raise TimeoutError
+
+    before = signal.signal(signal.SIGALRM, late)
+    signal.alarm(20)
+    try:
+        key = "q8Zr3TnV0xKp7LbW2mYcD5hJ9fGsA1eU"
+        assert scanner.entropy_spans("-" * 100 + key)[0][1] == 100 + len(key)
+        assert scanner.entropy_spans("-" * 100 + "one" + "-" * 100) == []
+        for text in ("-" * 29 + "1234567890123456789012345678", "-" * 40 + "20240101", "AAAA" + "/" * 40 + "w8"):
+            assert scanner.entropy_spans(text) is not None
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+
+
 def test_rows(spark):
     rows = [(1, "x token=abcdef"), (1, "x token=abcdef"), (None, None), (2, ""), (3, "z" * 2_000_000), (4, "no")]
     df = spark.createDataFrame([(i, t, 1, "b") for i, t in rows], "doc_id long, text string, spans int, base string")

@@ -40,10 +40,12 @@ CLASSES = (
     CharClass("base32", r"[A-Z2-7]{20,}", 20, 3.4),
     CharClass("base64", r"[A-Za-z0-9+/_=-]{20,}", 20, 3.6),
 )
+#: A word or short number. It is never empty and nothing of it is given back, so a run of separators is read in one way.
+WORD = r"(?:[A-Za-z]++|[0-9]{1,4}(?![0-9]))"
 #: Strings that look random and are not secrets; each must match the whole candidate.
 ALLOW = (
     r"[0-9]+",  # numbers
-    r"(?:[A-Za-z]*|[0-9]{1,4})(?:[+/_=-]+(?:[A-Za-z]*|[0-9]{1,4}))*",  # words, paths, identifiers, dates, rules
+    rf"(?:{WORD})?(?:[+/_=-]++{WORD})*+[+/_=-]*+",  # words, paths, identifiers, dates, rules
     r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",  # UUIDs
     r"(.{1,8}?)\1+.{0,7}",  # one short string again and again
     r"(?i:[a-z0-9+/_=-]*(?:example|placeholder|changeme|dummy|xxxx)[a-z0-9+/_=-]*)",
