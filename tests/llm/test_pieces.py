@@ -76,6 +76,19 @@ def test_equals_plain_viterbi(spark, table, head_words):
     assert all(back[k if k else None] == (t or "") for k, t in enumerate(ROWS))
 
 
+def test_long_words_equal_viterbi_on_the_uncut_word(spark, table):
+    r = random.Random(4)
+    letters = "".join(r.choice(["the", "ing", "re", "a", "x", "Q", "tion", "é", "界"]) for _ in range(700))
+    words = ["=" * 1003, "-" * 1021, letters, "z" * 1500, " " * 1100 + "b", "\n" * 999]
+    df = spark.createDataFrame([(k, w) for k, w in enumerate([*words, "see " + words[0] + " and " + letters])], "doc_id long, text string")
+    got = {d.doc_id: d for d in P.encode(df, table, head_words=1).collect()}
+    for k, w in enumerate(words):
+        assert got[k].ids == viterbi(" " + w, table), w[:9]
+        assert got[k].round_trip and got[k].n_pieces == len(got[k].ids)
+    mixed = [" see", " " + words[0], " and", " " + letters]
+    assert got[len(words)].ids == [i for w in mixed for i in viterbi(w, table)] and got[len(words)].n_words == 4
+
+
 def test_given_documents(spark, table):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}

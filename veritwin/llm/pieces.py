@@ -11,12 +11,15 @@ Texts themselves travel as word numbers, compressed.
 
 A blank before the text and each blank within it belongs to the word that follows, as in the pieces. Words end where
 no piece can reach over: at blanks, and between letters and other characters if the piece table never
-mixes them. A word of more than ``LONGEST`` characters is cut there, which bounds the lattice of one word.
+mixes them. The lattice of a word of more than ``LONGEST`` characters would be one large row, so such a word is not exploded:
+``fold`` goes over it once with the best scores of the last characters, as many as the longest piece has. Its path is the same.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from itertools import chain
 from typing import NamedTuple
 
@@ -79,7 +82,8 @@ def _pattern(mixed: bool) -> str:
 class Splitter:
     """Text -> words; their concatenation is a blank and the text.
 
-    A unit is what one or more blanks lead in, without the first of them; equal units have equal words.
+    A unit is what one or more blanks lead in, without the first of them; equal units have equal words. No word is cut;
+    those of more than ``longest`` characters are folded instead of exploded.
     """
 
     def __init__(self, mixed: bool, longest: int = LONGEST):
@@ -94,33 +98,80 @@ class Splitter:
         return text.split(" ")
 
     def parts(self, unit: str) -> list[str]:
-        words = self.find(" " + unit)
-        if max(map(len, words)) > self.longest:
-            words = [w[k : k + self.longest] for w in words for k in range(0, len(w), self.longest)]
-        return words
+        return self.find(" " + unit)
 
     def __call__(self, text: str | None) -> list[str]:
         return [w for u in self.units(text) for w in self.parts(u)]
 
 
-def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    """piece, id, score: one row per usable piece; of equal texts the best score, then the smallest id."""
+def best_pieces(pieces: Pieces) -> dict[str, tuple[float, int]]:
+    """Text -> score and id of the usable pieces; of equal texts the best score, then the smallest id."""
     best: dict[str, tuple[float, int]] = {}
     for k, (text, score) in enumerate(zip(pieces.texts, pieces.scores)):
         if pieces.usable[k] and (text not in best or (score, -k) > (best[text][0], -best[text][1])):
             best[text] = (score, k)
-    rows = [(t, k, s) for t, (s, k) in best.items()]
+    return best
+
+
+def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
+    """piece, id, score: one row per usable piece."""
+    rows = [(t, k, s) for t, (s, k) in best_pieces(pieces).items()]
     return spark.createDataFrame(rows, "piece string, id int, score double")
 
 
-def lattice(words: DataFrame, pieces: Pieces, others: tuple[str, ...] = ()) -> DataFrame:
+def fold_word(word: str, best: dict[str, tuple[float, int]], longest: int, unknown: float, bytes_: list[int]) -> np.ndarray:
+    """Ids of the best path of one word, by the lattice's rules; holds a width per character and ``longest`` scores."""
+    widths = np.zeros(len(word) + 1, np.int32)
+    scores = [0.0] * (longest + 1)  # of the paths over the last characters, by their place modulo longest + 1
+    ring = longest + 1
+    for end in range(1, len(word) + 1):
+        top, width = -math.inf, 1
+        for size in range(min(longest, end), 0, -1):
+            found = best.get(word[end - size : end])
+            if found is None and size > 1:
+                continue
+            score = scores[(end - size) % ring] + (unknown if found is None else found[0])
+            if score > top:
+                top, width = score, size
+        scores[end % ring], widths[end] = top, width
+    ids, end = array("i"), len(word)
+    while end:
+        piece = word[end - widths[end] : end]
+        found = best.get(piece)
+        if found is None:
+            ids.extend(bytes_[b] for b in reversed(piece.encode()))
+        else:
+            ids.append(found[1])
+        end -= int(widths[end])
+    return np.frombuffer(ids, np.int32)[::-1]
+
+
+def fold(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """word (distinct, not empty) -> ids of its best path, one word at a time."""
+    longest = max((len(t) for t, u in zip(pieces.texts, pieces.usable) if u), default=1)
+    unknown = min(pieces.scores) - 10.0
+    shared = words.sparkSession.sparkContext.broadcast((best_pieces(pieces), pieces.bytes_))
+
+    def fn(batches):
+        best, bytes_ = shared.value
+        for b in batches:
+            for k in range(b.num_rows):
+                ids = fold_word(b.column("word")[k].as_py(), best, longest, unknown, bytes_)
+                column = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([b.column("word").slice(k, 1), column], names=["word", "ids"])
+
+    return words.select("word").mapInArrow(fn, "word string, ids array<int>")
+
+
+def lattice(words: DataFrame, pieces: Pieces, others: tuple[str, ...] = (), longest_word: int = LONGEST) -> DataFrame:
     """word (distinct, not empty) -> ids of its best path; ``others`` are columns of a word to keep.
 
     If ``words`` is partitioned by word, nothing is shuffled: the piece table, bounded by its file, is broadcast.
+    Words of more than ``longest_word`` characters stay with null ids, for ``fold``.
     """
     longest = max((len(t) for t, u in zip(pieces.texts, pieces.usable) if u), default=1)
     unknown = min(pieces.scores) - 10.0
-    size = F.length("word")
+    size = F.when(F.length("word") <= longest_word, F.length("word")).otherwise(1)
     spans = (
         words.select("word", *others, F.explode(F.sequence(F.lit(1), size)).alias("start"))
         .select("word", *others, "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("start") + 1))).alias("width"))
@@ -152,7 +203,7 @@ def lattice(words: DataFrame, pieces: Pieces, others: tuple[str, ...] = ()) -> D
             better, F.concat(F.slice(best, 1, F.size(best) - 1), path())).otherwise(best)
 
     folded = F.aggregate("edges", start, step, lambda best: F.element_at(best, -1)["ids"])
-    return grouped.select("word", *others, folded.alias("ids"))
+    return grouped.select("word", *others, F.when(F.length("word") <= longest_word, folded).alias("ids"))
 
 
 class Numbers(dict):
@@ -163,6 +214,7 @@ class Numbers(dict):
         self.places, self.splitter, self.known = dict(zip(known, range(len(known)))), splitter, len(known)
         self.later: dict[str, int] = {}
         self.more: list[str] = []
+        self.size = 0
 
     def __missing__(self, unit: str) -> tuple[int, ...]:
         out = []
@@ -174,6 +226,7 @@ class Numbers(dict):
                     n = self.later[word] = self.known + len(self.more)
                     self.more.append(word)
             out.append(n)
+        self.size += len(unit)
         self[unit] = found = tuple(out)
         return found
 
@@ -182,9 +235,9 @@ class Numbers(dict):
 
     def trim(self) -> None:
         """Forgets what has grown beyond its bound; between batches only, as numbers change."""
-        if len(self) > REMEMBERED or len(self.more) > REMEMBERED:
+        if len(self) > REMEMBERED or len(self.more) > REMEMBERED or self.size > 256 * REMEMBERED:
             self.clear()
-            self.later, self.more = {}, []
+            self.later, self.more, self.size = {}, [], 0
 
 
 def text_key(text: str | None) -> int:
@@ -208,8 +261,10 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     # A word makes some 20 edges, so there are more and smaller partitions than for words alone.
     partitions = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = word_counts(docs, text, splitter.units, splitter.parts, partitions=partitions)
-    known = shared_table(lattice(counts, pieces, ("n",)), "lattice")
-    often, seldom = head(known, head_words)
+    known = shared_table(lattice(counts, pieces, ("n",), longest), "lattice")
+    # Long words are never in the head, whose size is bounded by words of at most ``longest`` characters.
+    often, seldom = head(known.where("ids is not null"), head_words)
+    seldom = seldom.select("word", "ids").union(fold(known.where("ids is null"), pieces))
     frequent = often.select("word", "ids").toArrow()
     names = frequent.column("word").combine_chunks()
     lists = frequent.column("ids").combine_chunks()
