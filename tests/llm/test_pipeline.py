@@ -49,6 +49,19 @@ def test_run_equals_the_plain_version(spark):
     assert all(r.round_trip for r in got) and 0.5 * len(docs) < len(got) < len(docs)
 
 
+def test_language_stage_keeps_texts_in_several_languages(spark):
+    r = random.Random(5)
+    words = {"de": ["und", "der", "nicht", "haus", "wasser"], "en": ["the", "and", "house", "with", "water"], "es": ["el", "los", "casa", "agua", "pero"],
+             "fr": ["les", "maison", "dans", "avec", "oui"], "pl": ["jest", "nie", "dom", "woda", "przez"]}
+    text = lambda lang, n: " ".join(r.choice(words[lang]) for _ in range(n))
+    rows = [(n, text(lang, 40), lang) for n, lang in enumerate(sorted(words) * 30)]
+    rows += [(1000 + n, " ".join(text(lang, 40) for lang in sorted(words)), None) for n in range(5)]
+    rows += [(2000, "qqq", None), (2001, "12 34", None), (2002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(d.doc_id for d in C.language_id(spark, docs, SF).collect())
+    assert got == [k for k, _, _ in rows if k not in (2001, 2002)]
+
+
 def test_stages_take_odd_rows_and_keep_columns(spark):
     r = random.Random(3)
     prose = [" ".join(r.choice(["the", "house", "of", "green", "water", "moves", "slowly", "under", "stone", "bridges"]) for _ in range(60)) for _ in range(30)]
