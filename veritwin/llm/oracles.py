@@ -38,4 +38,33 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-ORACLES = {"op3_near_duplicates": OP3, "op5_near_vectors": OP5, "op7_decontaminate": OP7}
+_DRAW = "('0x' || substr(sha256('7:' || doc_id), {}, 8))::UBIGINT"
+
+OP11 = f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+  {_DRAW.format(1)} AS h1, {_DRAW.format(9)} AS h2, {_DRAW.format(25)} AS h4 FROM documents),
+c AS (SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1))::INT AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1))::INT AS b FROM t),
+p AS (SELECT *, array_to_string(u[1 : a], '') AS p, array_to_string(u[a + 1 : b], '') AS m, array_to_string(u[b + 1 :], '') AS s,
+  CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, len(u) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(x) AS restored_sha256 FROM p"""
+
+_NEAREST = """a{n} AS MATERIALIZED (SELECT rid, any_value(x.e) AS e, min(struct_pack(d := d, c := c)) AS best FROM (
+  SELECT rid, v.e, c, list_sum(list_transform(range(1, 65), lambda i: (v.e[i] - k.e[i]) * (v.e[i] - k.e[i])))::BIGINT AS d FROM v, k{n} k) x GROUP BY rid)"""
+_MOVED = """s{n} AS (SELECT best.c AS c, i, sum(e[i])::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{n}, range(1, 65) t(i) GROUP BY ALL),
+k{m} AS MATERIALIZED (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS e FROM s{n} GROUP BY c
+  UNION ALL SELECT c, e FROM k{n} WHERE c NOT IN (SELECT c FROM s{n}))"""
+
+OP13 = f"""WITH u AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+v AS MATERIALIZED (SELECT rid, vec_id, list_transform(e, lambda x: floor(1024 * x)::BIGINT) AS e FROM u),
+k0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1)::INT AS c, e FROM v ORDER BY c LIMIT 8),
+{", ".join(_NEAREST.format(n=n) + ", " + _MOVED.format(n=n, m=n + 1) for n in range(10))},
+{_NEAREST.format(n=10)}
+SELECT vec_id, a.best.c AS cluster, a.best.d AS distance, sum(a.best.d) OVER (PARTITION BY a.best.c)::BIGINT AS cluster_inertia, sum(a.best.d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(k.e, ',')) AS centroid_sha256
+FROM a10 a JOIN v USING (rid) JOIN k10 k ON k.c = a.best.c"""
+
+ORACLES = {
+    "op3_near_duplicates": OP3, "op5_near_vectors": OP5, "op7_decontaminate": OP7, "op11_fill_in_middle": OP11, "op13_table_means": OP13,
+}

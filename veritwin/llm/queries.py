@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hashing, language, licenses, neardup, pieces, pii, secrets, suffix_tree, tokens
+from . import decontaminate, hashing, infill, language, licenses, neardup, orc_ids, pieces, pii, secrets, suffix_tree, table_means, tokens
 from .common import digest, remainder, span_list
 from .oracles import ORACLES  # noqa: F401  (the entry reads it here)
 
@@ -85,3 +85,20 @@ def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), pieces.load())
+
+
+@register
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = infill.restore(infill.transform(table(spark, sf_dir, "documents")))
+    return back.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(F.col("restored")).alias("restored_sha256"))
+
+
+@register
+def op12_orc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orc_ids.positions(orc_ids.stored(table(spark, sf_dir, "documents")))
+
+
+@register
+def op13_table_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_means.cluster(table(spark, sf_dir, "embeddings"))
