@@ -4,5 +4,5 @@ import sys
 
 from pyspark import cloudpickle
 
-# Functions of this package travel by value: executors need no copy of it.
+# Functions of this package travel by value, and broadcast values are plain: executors need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

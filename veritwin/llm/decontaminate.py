@@ -137,7 +137,7 @@ def contamination(
     shard = next(shards, None) or build(iter(()))
     while shard is not None:
         after = next(shards, None)
-        shared = docs.sparkSession.sparkContext.broadcast(shard)
+        shared = docs.sparkSession.sparkContext.broadcast(tuple(shard))  # plain, so that executors need no copy of this package
         state = scan(state, columns, _pass(shared, after is None, offsets), final if after is None else between)
         columns, shard = {c: c for c in ("doc_id", "text", "hits", "items")}, after
     return state
@@ -147,7 +147,7 @@ def _pass(shared, last: bool, offsets: bool):
     """One shard's pass; the last one also sums up."""
 
     def fn(batches):
-        shard = shared.value
+        shard = Shard(*shared.value)
         for ids, texts, *earlier in batches:
             hits, items = earlier or ([[] for _ in ids], [[] for _ in ids])
             n_words = []

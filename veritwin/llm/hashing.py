@@ -127,11 +127,11 @@ def near_vectors(
     for row in picked:
         by_dims.setdefault(len(row["v"]), []).append(row["v"])
     rotations = {d: learn_rotation(unit(np.array(x, np.float64))) for d, x in by_dims.items()}
-    shared = vectors.sparkSession.sparkContext.broadcast(rotations)
+    shared = vectors.sparkSession.sparkContext.broadcast({d: tuple(r) for d, r in rotations.items()})  # plain: executors need no copy of this package
     tables = BITS // PART
 
     def code(batches):
-        known = dict(shared.value)
+        known = {d: Rotation(*r) for d, r in shared.value.items()}
         for b in batches:
             lists = b.column("v").to_pylist()
             codes = [b""] * len(lists)

@@ -8,24 +8,27 @@ the one with the largest mean posterior, which is the score.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import scan
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Runs of letters (general category L): fractions, superscripts and Roman numerals are none.
+WORD = regex.compile(r"\p{L}+")
 UNKNOWN = "und"
 #: Training sample: about so many documents of each language, none longer than this.
 SAMPLE_DOCS, SAMPLE_CHARS = 150, 20_000
 #: Words of a block; blocks of a text are joined by their transfer matrices, which is exact.
 BLOCK = 128
-#: Words whose evidence is remembered, and words scored at a time.
-REMEMBERED, AT_ONCE = 1 << 20, 1 << 20
+#: Bytes of the words whose evidence is remembered, and words scored at a time.
+REMEMBERED, AT_ONCE = 1 << 25, 1 << 17
+#: Bytes of a dictionary entry beside its word and its row of evidence.
+ENTRY_BYTES = 160
 
 
 class Model(NamedTuple):
@@ -52,7 +55,7 @@ class Evidence(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.rows = model, np.zeros((1024, len(model.labels)), np.float32)
+        self.model, self.rows, self.bytes = model, np.zeros((1024, len(model.labels)), np.float32), 0
 
     def __missing__(self, word: str) -> int:
         n = len(self)
@@ -62,6 +65,7 @@ class Evidence(dict):
         ids = [known[f] for f in features(word) if f in known]
         self.rows[n] = self.model.weights[ids].sum(0)
         self[word] = n
+        self.bytes += ENTRY_BYTES + 4 * len(word) + self.rows.itemsize * self.rows.shape[1]
         return n
 
 
@@ -212,7 +216,7 @@ class Tagger:
         self.model, self.evidence = model, Evidence(model)
 
     def word_posteriors(self, texts: list[list[str]]) -> np.ndarray:
-        if len(self.evidence) > REMEMBERED:
+        if self.evidence.bytes > REMEMBERED:
             self.evidence = Evidence(self.model)
         ids = np.fromiter((self.evidence[w] for ws in texts for w in ws), np.int64, sum(map(len, texts)))
         return posteriors(self.evidence.rows[ids], np.array([len(ws) for ws in texts]), self.model.transitions)[0]
@@ -250,10 +254,11 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     labels. Equal means go to the label that sorts first. Repeated rows get a row each; an empty table gives
     an empty result; no other column is read. The model is bounded by its training sample and is broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Broadcast values are pickled by their class's name, so plain tuples travel: executors need no copy of this package.
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def fn(batches):
-        tagger = Tagger(shared.value)
+        tagger = Tagger(Model(*shared.value))
         for ids, texts in batches:
             found = tagger.classify(texts)
             yield ids, [f[0] for f in found], [f[1] for f in found]
