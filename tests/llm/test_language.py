@@ -61,3 +61,9 @@ def test_held_out_accuracy_and_rows(spark):
     assert sorted((str(r.doc_id), r.lang_pred) for r in L.identify(odd, model).collect()) == [("1", "und"), ("1", "und"), ("2", "und"), ("None", "und")]
     assert L.identify(odd.limit(0), model).count() == 0
     assert {r.lang_pred for r in L.identify(docs, L.learn(odd.limit(0))).collect()} == {"und"}
+
+
+def test_only_letters_are_words():
+    assert L.words_of("½ ² 3 Ⅷ ٣ _") == [] and L.words_of("Straße2x ½é") == ["straße", "x", "é"]
+    model = L.train([("aa", "karo miro " * 20), ("bb", "schung keit " * 20)], steps=20)
+    assert L.Tagger(model).classify(["½ ² 3"]) == [("und", 0.0)]

@@ -18,6 +18,7 @@ ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122
 #: Words between spaces and \x09-\x0D, after A-Z were lower-cased; bytes.split() cuts at exactly these.
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows whose texts are Python objects at a time.
 ROWS_AT_ONCE = 2000
 
@@ -47,9 +48,18 @@ def scan(df: DataFrame, columns: dict[str, Column | str], fn: Callable, schema:
 
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the folder of spark.checkpoint.dir and go on from there."""
+    """Write ``df`` as Parquet in the folder of spark.checkpoint.dir and go on from there.
+
+    The shuffle files of the write are freed with it, as nothing reads them again.
+    """
+    conf = df.sparkSession.conf
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = conf.get(FREE_SHUFFLES)
+    conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(FREE_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
