@@ -52,21 +52,21 @@ def mark_primary(identifiers: DataFrame, attributes: DataFrame, pointers: DataFr
     flagged attributes is primary.
     """
     scope = list(scope)
-    flagged = attributes.where("is_primary").groupBy(*scope).agg(
-        F.array_sort(F.collect_set(F.upper("code"))).alias("_flagged"))
-    joined = identifiers.join(pointers, scope, "left").join(flagged, scope, "left")
-    same = F.array_sort(F.array_distinct(F.transform("members", lambda x: F.upper(x)))) == F.col("_flagged")
-    rated = joined.withColumn(
-        "_evidence",
-        F.when(F.col("oid") == F.col("primary_oid"), 1).when((F.size("members") > 0) & same, 2),
-    )
+    flags = attributes.where("is_primary").select(*scope, F.upper("code").alias("_code")).distinct()
+    members = identifiers.select(*scope, "oid", F.explode("members").alias("_m")).select(*scope, "oid", F.upper("_m").alias("_code")).distinct()
+    hits = members.join(flags.withColumn("_hit", F.lit(1)), [*scope, "_code"], "left").groupBy(*scope, "oid").agg(
+        F.count("*").alias("_members"), F.count("_hit").alias("_hits"))
+    joined = identifiers.join(pointers, scope, "left").join(hits, [*scope, "oid"], "left").join(
+        flags.groupBy(*scope).agg(F.count("*").alias("_flagged")), scope, "left")
+    same = (F.col("_hits") == F.col("_members")) & (F.col("_hits") == F.col("_flagged"))
+    rated = joined.withColumn("_evidence", F.when(F.col("oid") == F.col("primary_oid"), 1).when(same, 2))
     best = rated.where("_evidence is not null").groupBy(*scope).agg(
         F.min(F.struct("_evidence", "ord", "oid")).alias("_best"))
     chosen = rated.join(best, scope, "left")
     primary = F.coalesce(F.col("oid") == F.col("_best.oid"), F.lit(False))
     how = F.when(primary & (F.col("_evidence") == 1), "POINTER").when(primary, "FLAGS")
     return chosen.withColumn("is_primary", primary).withColumn("evidence", how).drop(
-        "_flagged", "_evidence", "_best", "primary_oid")
+        "_members", "_hits", "_flagged", "_evidence", "_best", "primary_oid")
 
 
 def derive_identifying(rel: DataFrame, keys: DataFrame, scope: Sequence[str]) -> DataFrame:

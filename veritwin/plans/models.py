@@ -30,8 +30,8 @@ def compare_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier)
     """Findings, object records and results of all pairs.
 
     Each side holds entities and attributes, and optionally identifiers (with
-    members), relationships, inheritances with children, domains, business_rules
-    and shortcuts. Pairs that cannot be compared are routed away
+    members), relationships, inheritances with children, domains, business_rules,
+    shortcuts and areas (subject areas in use). Pairs that cannot be compared are routed away
     first and become ERROR; the only barrier after that is the entity match,
     whose alias all other comparisons read.
     """
@@ -54,7 +54,10 @@ def compare_models(s: dict[str, DataFrame], t: dict[str, DataFrame], tier: Tier)
     pairs = m.attach(found, s_ent, t_ent, SCOPE)
     s_only, t_only = _rest(found, s_ent, t_ent, SCOPE)
     alias = cut(m.alias_of(pairs, SCOPE))
-    findings = [sem.guard_findings(guarded), sem.compare_entities(pairs, s_only, t_only, tier)]
+    areas = None
+    if "areas" in s and "areas" in t:
+        areas = s["areas"].select("pair_id").intersect(t["areas"].select("pair_id"))
+    findings = [sem.guard_findings(guarded), sem.compare_entities(pairs, s_only, t_only, tier, areas)]
     records = [_records(found, "entities")]
 
     if tier.attributes:

@@ -1,40 +1,157 @@
-"""Whether documents can be read at all."""
+"""Documents to elements: every file is read once, all kinds of objects come out of that pass.
+
+A document is one row of the ``binaryFile`` source. It is parsed once; what leaves the task are the fragments of the
+wanted elements, which Spark's own ``from_xml`` turns into columns later. The fragments are written to the shared folder,
+sorted by kind inside each file, so that reading one kind skips the row groups of the others.
+"""
 
 from __future__ import annotations
 
+import re
 import sys
+import uuid
+from collections.abc import Iterator
 from xml.parsers import expat
+from xml.sax.saxutils import quoteattr
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The function travels by value: executors need no copy of this package.
+from ..session import shared_dir
+
+# The functions travel by value: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Bytes given to the parser at a time; finished elements leave the task after each.
+STEP = 1 << 20
+#: Row groups of the copy; small ones, so that one seldom holds two kinds.
+ROW_GROUP = 8 << 20
+
+ELEMENTS = "source_file string, kind string, ord long, scope long, fragment string"
+_DECLARED = re.compile(rb"""^\s*<\?xml[^>]*encoding\s*=\s*["']([A-Za-z0-9._-]+)["']""")
+_CONTROL = bytes(c for c in range(32) if c not in b"\t\n\r")
+
+
+def as_utf8(content: bytes) -> tuple[bytes, str | None]:
+    """The document in UTF-8 without control characters, and the encoding the parser must assume.
+
+    What cannot be decoded is returned as it is: the parser then says what is wrong with it.
+    """
+    declared = _DECLARED.match(content[:400])
+    name = "utf-16" if content[:2] in (b"\xff\xfe", b"\xfe\xff") else declared.group(1).decode().lower() if declared else "utf-8"
+    if name not in ("utf-8", "us-ascii"):
+        try:
+            content = content.decode(name).encode()
+        except (LookupError, UnicodeError):
+            return content, None
+    return content.translate(None, _CONTROL), "utf-8"
+
+
+class Fragments:
+    """The wanted elements of one document, in one pass.
 
-def fault(content: bytes) -> str | None:
-    """Why a document is not well-formed, or None."""
-    parser = expat.ParserCreate()
-    try:
-        parser.Parse(content, True)
-    except expat.ExpatError as error:
-        return str(error)
-    return None
+    ``kinds``: tag -> (kind, attribute that a definition carries). An element with that attribute defines an object; one
+    without it, or with ``Ref``, only points at it. Where the attribute is "", all elements are taken. ``scopes``: kinds that hold others and may be nested; of these only the children in
+    ``heads`` are kept, and every element names the innermost scope around it by its number. Kinds in ``once`` are
+    taken from the first definition of an id.
+    """
+
+    def __init__(self, content: bytes, kinds: dict, scopes=(), heads=(), once=()):
+        self.content, self.encoding = as_utf8(content)
+        self.kinds, self.scopes, self.heads, self.once = kinds, set(scopes), set(heads), set(once)
+        self.parser = expat.ParserCreate(self.encoding)
+        self.parser.StartElementHandler, self.parser.EndElementHandler = self.start, self.end
+        self.parser.EntityDeclHandler = self.refuse
+        self.depth = self.number = 0
+        self.open: list[tuple] = []  # depth, kind, tag, attributes, first byte, number, scope
+        self.around: list[tuple] = []  # depth, number, kept children of the scopes that are open
+        self.head = 0  # first byte of the kept child that is open
+        self.seen: set = set()
+        self.done: list[tuple] = []
+
+    def refuse(self, name, *_) -> None:
+        raise ValueError(f"the document declares an entity: {name}")
+
+    def start(self, tag: str, attributes: dict) -> None:
+        self.depth += 1
+        at = self.parser.CurrentByteIndex
+        if self.around and self.depth == self.around[-1][0] + 1 and tag in self.heads:
+            self.head = at
+        wanted = self.kinds.get(tag)
+        if wanted is None or (wanted[1] and ("Ref" in attributes or wanted[1] not in attributes)):
+            return
+        kind, key = wanted
+        if kind in self.once:
+            known = (kind, attributes[key])
+            if known in self.seen:
+                return
+            self.seen.add(known)
+        self.number += 1
+        self.open.append((self.depth, kind, tag, attributes, at, self.number, self.around[-1][1] if self.around else None))
+        if kind in self.scopes:
+            self.around.append((self.depth, self.number, []))
+
+    def whole(self, tag: str, attributes: dict, first: int, last: int) -> bytes:
+        if last == first:  # <tag/>
+            return f"<{tag}{''.join(f' {k}={quoteattr(v)}' for k, v in attributes.items())}/>".encode()
+        return self.content[first : self.content.index(b">", last) + 1]
 
+    def end(self, tag: str) -> None:
+        at = self.parser.CurrentByteIndex
+        if self.around and self.depth == self.around[-1][0] + 1 and tag in self.heads and at > self.head:
+            self.around[-1][2].append(self.whole(tag, {}, self.head, at))
+        if self.open and self.open[-1][0] == self.depth:
+            _, kind, tag, attributes, first, number, scope = self.open.pop()
+            if kind in self.scopes:
+                _, _, kept = self.around.pop()
+                start = self.whole(tag, attributes, first, first)[:-2] + b">"
+                fragment = start + b"".join(kept) + f"</{tag}>".encode()
+            else:
+                fragment = self.whole(tag, attributes, first, at)
+            self.done.append((kind, number, scope, fragment.decode()))
+        self.depth -= 1
 
-def document_status(spark: SparkSession, paths: str | list[str], pair_id: Column) -> DataFrame:
-    """pair_id, source_file, parse_error (NULL for a good document): one row per file.
+    def rows(self) -> Iterator[list[tuple]]:
+        """Finished elements by steps; the last row is the document itself with its fault, or None."""
+        fault = None
+        try:
+            for at in range(0, len(self.content), STEP):
+                self.parser.Parse(self.content[at : at + STEP], False)
+                if self.done:
+                    yield self.done
+                    self.done = []
+            self.parser.Parse(b"", True)
+        except (expat.ExpatError, ValueError) as error:
+            fault = str(error)
+        yield [*self.done, ("document", 0, None, fault)]
 
-    The element readers skip what they cannot parse; this is where a cut or broken file shows. ``pair_id`` is made from
-    ``source_file``.
+
+def elements(spark: SparkSession, paths: str | list[str], kinds: dict, scopes=(), heads=(), once=()) -> DataFrame:
+    """source_file, kind, ord, scope, fragment of all wanted elements of all documents: one scan, written once.
+
+    ``ord`` is the element's number in its document, ``scope`` the number of the innermost scope around it. A row of kind
+    ``document`` per file has the reason why it is not well-formed, or NULL. Of a broken file, the elements before the
+    fault are there. A file is one row of the source, which ends at 2 GB. The rows lie in the shared folder.
     """
 
-    def check(batches):
+    def scan(batches):
+        names = [f.split()[0] for f in ELEMENTS.split(", ")]
+        types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
         for b in batches:
-            faults = [fault(c) for c in b.column("content").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("source_file"), pa.array(faults, pa.string())], names=["source_file", "parse_error"])
+            for file, content in zip(b.column("source_file"), b.column("content")):
+                for some in Fragments(content.as_py(), kinds, scopes, heads, once).rows():
+                    columns = [[file.as_py()] * len(some), *zip(*some)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("source_file"), "content")
-    return files.mapInArrow(check, "source_file string, parse_error string").select(pair_id.alias("pair_id"), "source_file", "parse_error")
+    path = f"{shared_dir(spark)}/elements-{uuid.uuid4().hex}"
+    files.mapInArrow(scan, ELEMENTS).sortWithinPartitions("kind", "source_file", "ord").write.option(
+        "parquet.block.size", ROW_GROUP).parquet(path)
+    return spark.read.schema(ELEMENTS).parquet(path)
+
+
+def document_status(found: DataFrame, pair_id: Column) -> DataFrame:
+    """pair_id, source_file, parse_error (NULL for a good document): one row per file of :func:`elements`."""
+    return found.where("kind = 'document'").select(pair_id.alias("pair_id"), "source_file", F.col("fragment").alias("parse_error"))

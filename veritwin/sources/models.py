@@ -1,9 +1,9 @@
 """Model documents (XML) -> the relations the comparison reads.
 
-Each kind of object is read by the built-in XML source with an explicit schema
-and its own row tag. An element with ``Id`` defines an object, one with ``Ref``
-only points at it; pointers are dropped. Reading XML is an ingest step: write
-the relations to Parquet once (:func:`ingest`), compare from there.
+One scan of the documents yields the elements of all kinds (:func:`.documents.elements`); each kind is parsed by the
+built-in ``from_xml`` with an explicit schema. An element with ``Id`` defines an object, one with ``Ref`` only points at
+it; pointers are dropped. Reading XML is an ingest step: write the relations to Parquet once (:func:`ingest`), compare
+from there.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from ..functions import types as ty
 from ..functions.records import join_notes
 from ..functions.richtext import plain
 from ..functions.text import first_nonblank, text, trim_ws
-from ..operators.shaping import derive_identifying, drop_hidden_duplicates, inherit_scalar, is_migrated_key, resolve_refs, subtype_trees
+from ..operators.shaping import derive_identifying, drop_hidden_duplicates, inherit_scalar, is_migrated_key, mark_primary, resolve_refs, subtype_trees
 from ..plans.semantic import resolve_owner_model
-from .documents import document_status
+from .documents import document_status, elements
 
 # Element names of the source document.
 _REF = "struct<`_Ref`: string>"
@@ -30,11 +30,18 @@ _ATTRIBUTE = (
     f"`a:PrimaryIdentifier`: string, `c:Domain`: struct<`o:Domain`: {_REF}>, `c:DataItem`: struct<`o:DataItem`: {_REF}>>")
 _IDENTIFIER = (
     f"struct<`_Id`: string, {_DOC_IN}, `c:Identifier.Attributes`: struct<`o:EntityAttribute`: array<{_REF}>>>")
+_ENTITY = (
+    f"`_Id` string, {_DOC}, `c:Attributes` struct<`o:EntityAttribute`: array<{_ATTRIBUTE}>>, "
+    f"`c:Identifiers` struct<`o:Identifier`: array<{_IDENTIFIER}>>, `c:PrimaryIdentifier` struct<`o:Identifier`: {_REF}>")
+_LINKED = f"struct<`o:Entity`: {_REF}, `o:Association`: {_REF}>"
 SOURCE = {
-    "entity": (
-        "o:Entity",
-        f"`_Id` string, {_DOC}, `c:Attributes` struct<`o:EntityAttribute`: array<{_ATTRIBUTE}>>, "
-        f"`c:Identifiers` struct<`o:Identifier`: array<{_IDENTIFIER}>>, `c:PrimaryIdentifier` struct<`o:Identifier`: {_REF}>"),
+    "entity": ("o:Entity", _ENTITY),
+    "association": ("o:Association", _ENTITY),
+    "association_link": (
+        "o:AssociationLink",
+        f"`_Id` string, `_Ref` string, {_DOC}, `a:Cardinality` string, `a:RoleCardinality` string, `a:Role` string, `a:Mandatory` string, "
+        f"`a:Dependent` string, `c:Object1` {_LINKED}, `c:Object2` {_LINKED}"),
+    "package": ("o:Package", "`_Id` string, `a:Name` string, `a:Code` string"),
     "relationship": (
         "o:Relationship",
         f"`_Id` string, {_DOC}, `c:Object1` struct<`o:Entity`: {_REF}>, `c:Object2` struct<`o:Entity`: {_REF}>, "
@@ -87,8 +94,9 @@ _T_KEY = (
 TARGET = {
     "entity": (
         "Entity",
-        "`_id` string, `_name` string, `Name` string, `Physical_Name` string, `Definition` string, "
+        "`_id` string, `_name` string, `Name` string, `Physical_Name` string, `Definition` string, `Is_Associative` string, `Associative_Entity` string, "
         "`EntityProps` struct<`Name`: string, `Physical_Name`: string, `Definition`: string, `Comment`: string, `Type`: string, "
+        "`Is_Associative`: string, `Associative_Entity`: string, "
         "`Note_List_Array`: struct<`Note_List`: array<string>>>, "
         f"`Attribute_Groups` struct<`Attribute`: array<{_T_ATTRIBUTE}>>, `Key_Group_Groups` struct<`Key_Group`: array<{_T_KEY}>>"),
     "relationship": (
@@ -97,21 +105,35 @@ TARGET = {
         + _props(("Name", "Parent_Entity_Ref", "Child_Entity_Ref", "Type", "Cardinality", "Null_Option_Type", "Parent_To_Child_Verb_Phrase", "Child_To_Parent_Verb_Phrase", "Definition"))),
     "domain": ("Domain", "`_id` string, `_name` string, `DomainProps` " + _props(("Name", "Physical_Name", "Logical_Data_Type", "Physical_Data_Type", "Definition", "Built_In_Id"))),
     "rule": ("Validation_Rule", "`_id` string, `_name` string, `Validation_RuleProps` " + _props(("Name", "Definition", "Server_Value", "Expression"))),
+    "area": ("Subject_Area", "`_name` string, `Name` string, `Subject_AreaProps` " + _props(("Name",))),
 }
+_MEMBER = (
+    "`_Entity_Ref` string, `_Object_Ref` string, `_id` string, `_Ref` string, `Entity_Ref` string, `Object_Ref` string, "
+    + ", ".join(f"`{m}Props` {_props(('Entity_Ref', 'Object_Ref'))}" for m in ("Subject_Area_Member", "Subject_Area_Entity", "Member")))
+AREA_MEMBERS = ("Subject_Area_Member", "Entity_Ref", "Member", "Subject_Area_Entity")
+
+
+def source_elements(spark: SparkSession, paths) -> DataFrame:
+    """All elements of source documents that this module reads; packages are scopes."""
+    kinds = {tag: (kind, "" if kind in ("shortcut", "association_link") else "Id") for kind, (tag, _) in SOURCE.items()}
+    return elements(spark, paths, kinds, scopes=("package",), heads=("a:Name", "a:Code"), once=("entity", "association"))
 
 
-def read_definitions(spark: SparkSession, paths: str | list[str], row_tag: str, schema: str, id_col: str | None = "_Id") -> DataFrame:
-    """Definition elements of one kind, with the file they came from and their order in it.
+def target_elements(spark: SparkSession, paths) -> DataFrame:
+    """All elements of target documents that this module reads; subject areas are scopes."""
+    kinds = {tag: (kind, "" if kind == "area" else "id") for kind, (tag, _) in TARGET.items()}
+    kinds.update({tag: ("area_member", "") for tag in AREA_MEMBERS})
+    return elements(spark, paths, kinds, scopes=("area",), heads=("Name", "Subject_AreaProps"))
 
-    Elements that cannot be parsed are left out here; ``document_status`` says which files hold some.
+
+def read_definitions(found: DataFrame, schema: str, *kinds: str) -> DataFrame:
+    """Elements of some kinds as columns, with the file they came from, their order in it and their scope.
+
+    Rows of the other kinds are skipped in the copy; no document is read again.
     """
-    rows = (
-        spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-        .schema(f"{schema}, `_corrupt` string").load(paths)
-    )
-    named = F.lit(True) if id_col is None else F.col(id_col).isNotNull()
-    return rows.where(named & F.col("_corrupt").isNull()).drop("_corrupt").withColumn(
-        "source_file", F.input_file_name()).withColumn("ord", F.monotonically_increasing_id())
+    parsed = found.where(F.col("kind").isin(*kinds)).select(
+        "source_file", "kind", "ord", "scope", F.from_xml("fragment", schema, {"mode": "PERMISSIVE"}).alias("_x"))
+    return parsed.select("source_file", "kind", "ord", "scope", "_x.*")
 
 
 def _c(path: str) -> Column:
@@ -139,27 +161,32 @@ def shred_semantic(spark: SparkSession, paths, pair_id: Column | None = None) ->
 
     pair = (base_name("source_file") if pair_id is None else pair_id).alias("pair_id")
 
+    found = source_elements(spark, paths)
+
     def read(kind):
-        return read_definitions(spark, paths, *SOURCE[kind])
+        return read_definitions(found, SOURCE[kind][1], kind)
 
-    ent = read("entity").select(pair, "*")
+    # An association is an entity that resolves a many-to-many relationship. An entity's area is the package around it.
+    ent = read_definitions(found, _ENTITY, "entity", "association").select(pair, "*")
+    packages = read("package").select("source_file", pair, F.col("ord").alias("scope"), text(first_nonblank(_c("a:Name"), _c("a:Code"))).alias("subject_area"))
     entities = ent.select(
-        "pair_id", F.col("_Id").alias("id"), "ord", *_doc(), F.lit(False).alias("is_associative"),
+        "pair_id", "source_file", "scope", F.col("_Id").alias("id"), "ord", *_doc(), (F.col("kind") == "association").alias("is_associative"),
         F.greatest(F.size(_c("c:Attributes|o:EntityAttribute")), F.lit(0)).alias("n_attributes"),
-        F.greatest(F.size(_c("c:Identifiers|o:Identifier")), F.lit(0)).alias("n_identifiers"), F.lit("").alias("subject_area"))
+        F.greatest(F.size(_c("c:Identifiers|o:Identifier")), F.lit(0)).alias("n_identifiers"))
+    entities = entities.join(packages.drop("pair_id"), ["source_file", "scope"], "left").drop("source_file", "scope").withColumn(
+        "subject_area", text("subject_area"))
     own = ent.select("pair_id", F.col("_Id").alias("entity"), F.posexplode(_c("c:Attributes|o:EntityAttribute")).alias("ord", "a"))
     own = own.where(F.col("a._Id").isNotNull())
     attributes = own.select(
         "pair_id", "entity", "ord", F.col("a._Id").alias("id"), *_doc("a|"), text(_c("a|a:DataType")).alias("data_type"),
         text(_c("a|a:Length")).alias("length"), text(_c("a|a:Precision")).alias("precision"),
         _flag(F.coalesce(_c("a|a:LogicalAttribute.Mandatory"), _c("a|a:Mandatory"))).alias("mandatory"),
-        text(_c("a|c:Domain|o:Domain|_Ref")).alias("domain_ref"), text(_c("a|c:DataItem|o:DataItem|_Ref")).alias("item_ref"),
+        _flag(_c("a|a:PrimaryIdentifier")).alias("is_primary"), text(_c("a|c:Domain|o:Domain|_Ref")).alias("domain_ref"), text(_c("a|c:DataItem|o:DataItem|_Ref")).alias("item_ref"),
         F.lit(False).alias("is_migrated"))
     keys = ent.select("pair_id", F.col("_Id").alias("entity"), _c("c:PrimaryIdentifier|o:Identifier|_Ref").alias("primary_oid"),
                       F.posexplode(_c("c:Identifiers|o:Identifier")).alias("ord", "k")).where(F.col("k._Id").isNotNull())
     identifiers = keys.select(
-        "pair_id", "entity", "ord", F.col("k._Id").alias("id"), *_doc("k|"), (F.col("k._Id") == F.col("primary_oid")).alias("is_primary"),
-        F.transform(_c("k|c:Identifier.Attributes|o:EntityAttribute"), lambda x: x["_Ref"]).alias("member_refs"))
+        "pair_id", "entity", "ord", F.col("k._Id").alias("id"), *_doc("k|"), F.transform(_c("k|c:Identifier.Attributes|o:EntityAttribute"), lambda x: x["_Ref"]).alias("member_refs"))
     rel = read("relationship").select(pair, "*")
 
     def end(ref, role, many):
@@ -171,10 +198,11 @@ def shred_semantic(spark: SparkSession, paths, pair_id: Column | None = None) ->
             F.when(stated == "", derived).otherwise(stated).alias("cardinality"), mandatory.alias("mandatory"), F.lit(False).alias("dependent"))
 
     # Which end depends is not stated: it follows from the keys, see comparable().
-    relationships = card.canonical_ends(rel.select(
+    stated = rel.select(
         "pair_id", F.col("_Id").alias("id"), "ord", *_doc(), end("c:Object1", "Entity1ToEntity2Role", True).alias("end1"),
         end("c:Object2", "Entity2ToEntity1Role", False).alias("end2"), F.lit("RELATIONSHIP").alias("kind"),
-        trim_ws(_c("c:ParentIdentifier|o:Identifier|_Ref")).alias("parent_key")))
+        trim_ws(_c("c:ParentIdentifier|o:Identifier|_Ref")).alias("parent_key"))
+    relationships = card.canonical_ends(stated.unionByName(_association_links(read("association_link").where("`_Ref` is null").select(pair, "*"))))
     inh = read("inheritance").select(pair, "*").select(
         "pair_id", F.col("_Id").alias("id"), *_doc(), _flag(_c("a:Complete")).alias("complete"),
         _flag(_c("a:MutuallyExclusive")).alias("mutually_exclusive"), text(_c("c:ParentEntity|o:Entity|_Ref")).alias("parent_ref"))
@@ -187,7 +215,7 @@ def shred_semantic(spark: SparkSession, paths, pair_id: Column | None = None) ->
 
     rules = read("rule").select(pair, "*").select(
         "pair_id", F.col("_Id").alias("id"), *_doc(), text(first_nonblank(_c("a:ServerExpression"), _c("a:ClientExpression"))).alias("expression"))
-    listed = read_definitions(spark, paths, *SOURCE["shortcut"], id_col=None).select(pair, F.explode("`o:Shortcut`").alias("x"))
+    listed = read("shortcut").select(pair, F.explode("`o:Shortcut`").alias("x"))
     kind = ty.lookup(REFERENCE_CLASSES, F.upper(trim_ws(_c("x|a:TargetClassID"))))
     shortcuts = listed.where(F.col("x._Id").isNotNull() & F.col("x._Ref").isNull()).select(
         "pair_id", F.col("x._Id").alias("id"), *_doc("x|"), F.coalesce(kind, F.lit("Object")).alias("type"),
@@ -199,7 +227,27 @@ def shred_semantic(spark: SparkSession, paths, pair_id: Column | None = None) ->
     return {
         "entities": entities, "attributes": attributes, "identifiers": identifiers, "relationships": relationships, "inheritances": inh,
         "inheritance_links": links, "domains": typed("domain"), "business_rules": rules, "shortcuts": shortcuts, "attached": attached, "claims": claims,
-        "data_items": typed("item"), "documents": document_status(spark, paths, pair)}
+        "data_items": typed("item"), "documents": document_status(found, pair),
+        "areas": packages.where("subject_area <> ''").select("pair_id", "subject_area").distinct(),
+        "pointers": ent.select("pair_id", F.col("_Id").alias("entity"), _c("c:PrimaryIdentifier|o:Identifier|_Ref").alias("primary_oid"))}
+
+
+def _association_links(links: DataFrame) -> DataFrame:
+    """A link between an entity and an association as a relationship; either may stand first."""
+
+    def ref(tag, first, second):
+        return text(first_nonblank(_c(f"c:{first}|o:{tag}|_Ref"), _c(f"c:{second}|o:{tag}|_Ref")))
+
+    many = text(first_nonblank(_c("a:Cardinality"), _c("a:RoleCardinality")))
+    entity = F.struct(
+        ref("Entity", "Object1", "Object2").alias("entity"), text(_c("a:Role")).alias("role"), F.when(many == "", "0,n").otherwise(many).alias("cardinality"),
+        _flag(_c("a:Mandatory")).alias("mandatory"), _flag(_c("a:Dependent")).alias("dependent"))
+    association = F.struct(
+        ref("Association", "Object2", "Object1").alias("entity"), F.lit("").alias("role"), F.lit("1,1").alias("cardinality"),
+        F.lit(False).alias("mandatory"), F.lit(False).alias("dependent"))
+    return links.select(
+        "pair_id", F.col("_Id").alias("id"), "ord", *_doc(), entity.alias("end1"), association.alias("end2"), F.lit("ASSOCIATION").alias("kind"),
+        F.lit("").alias("parent_key"))
 
 
 def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> dict[str, DataFrame]:
@@ -208,18 +256,29 @@ def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> d
 
     pair = (base_name("source_file") if pair_id is None else pair_id).alias("pair_id")
 
+    found = target_elements(spark, paths)
+
     def read(kind):
-        return read_definitions(spark, paths, *TARGET[kind], id_col="_id").select(pair, "*")
+        return read_definitions(found, TARGET[kind][1], kind).select(pair, "*")
 
     ent = read("entity")
+    named = read("area").select("source_file", F.col("ord").alias("scope"), text(first_nonblank("_name", "Name", "Subject_AreaProps.Name")).alias("subject_area"))
+    props = [f"{m}Props.{r}" for m in ("Subject_Area_Member", "Subject_Area_Entity", "Member") for r in ("Entity_Ref", "Object_Ref")]
+    ref = text(first_nonblank("_Entity_Ref", "_Object_Ref", "Entity_Ref", "Object_Ref", *props, "_id", "_Ref"))
+    members = read_definitions(found, _MEMBER, "area_member").where("scope is not null").select(pair, "source_file", "scope", ref.alias("id"))
+    # An entity of several areas counts for the first that names it.
+    placed = members.join(named.where("subject_area <> ''"), ["source_file", "scope"]).groupBy("pair_id", "source_file", "id").agg(
+        F.min_by("subject_area", "scope").alias("subject_area"))
     name = first_nonblank("_name", "Name", "EntityProps.Name")
     entities = ent.select(
-        "pair_id", F.col("_id").alias("id"), "ord", text(name).alias("name"),
+        "pair_id", "source_file", F.col("_id").alias("id"), "ord", text(name).alias("name"),
         text(first_nonblank("Physical_Name", "EntityProps.Physical_Name", name)).alias("code"),
         text(first_nonblank("Definition", "EntityProps.Definition", "EntityProps.Comment")).alias("definition"),
-        join_notes(_c("EntityProps|Note_List_Array|Note_List")).alias("note"), F.lit(False).alias("is_associative"),
+        join_notes(_c("EntityProps|Note_List_Array|Note_List")).alias("note"),
+        _flag(first_nonblank("Is_Associative", "Associative_Entity", "EntityProps.Is_Associative", "EntityProps.Associative_Entity")).alias("is_associative"),
         F.greatest(F.size(_c("Attribute_Groups|Attribute")), F.lit(0)).alias("n_attributes"),
-        F.greatest(F.size(_c("Key_Group_Groups|Key_Group")), F.lit(0)).alias("n_identifiers"), F.lit("").alias("subject_area"))
+        F.greatest(F.size(_c("Key_Group_Groups|Key_Group")), F.lit(0)).alias("n_identifiers"))
+    entities = entities.join(placed.drop("pair_id"), ["source_file", "id"], "left").drop("source_file").withColumn("subject_area", text("subject_area"))
     own = ent.select("pair_id", F.col("_id").alias("entity"), F.posexplode(_c("Attribute_Groups|Attribute")).alias("ord", "a"))
     props = "a.AttributeProps"
     a_name = first_nonblank("a._name", "a.Name", f"{props}.Name")
@@ -273,7 +332,8 @@ def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> d
         text(f"{v}.Definition").alias("definition"), text(first_nonblank(f"{v}.Expression", f"{v}.Server_Value")).alias("expression"))
     return {
         "entities": entities, "attributes": rows, "identifiers": identifiers, "relationships": card.canonical_ends(relationships),
-        "domains": domains, "business_rules": rules, "documents": document_status(spark, paths, pair)}
+        "domains": domains, "business_rules": rules, "documents": document_status(found, pair),
+        "areas": placed.select("pair_id", "subject_area").distinct()}
 
 
 def shred_physical(spark: SparkSession, paths, pair_id: Column | None = None) -> dict[str, DataFrame]:
@@ -281,7 +341,8 @@ def shred_physical(spark: SparkSession, paths, pair_id: Column | None = None) ->
     from .files import base_name
 
     pair = (base_name("source_file") if pair_id is None else pair_id).alias("pair_id")
-    tab = read_definitions(spark, paths, *SOURCE["table"]).select(pair, "*")
+    found = source_elements(spark, paths)
+    tab = read_definitions(found, SOURCE["table"][1], "table").select(pair, "*")
     head = ["pair_id", F.col("_Id").alias("table_id")]
     tables = tab.select(*head, "ord", *_doc(), F.greatest(F.size(_c("c:Columns|o:Column")), F.lit(0)).alias("n_columns"))
     cols = tab.select(*head, F.posexplode(_c("c:Columns|o:Column")).alias("ord", "a")).where(F.col("a._Id").isNotNull())
@@ -296,7 +357,7 @@ def shred_physical(spark: SparkSession, paths, pair_id: Column | None = None) ->
         "pair_id", "table_id", "ord", F.col("x._Id").alias("id"), *_doc("x|"), _flag(_c("x|a:Unique")).alias("is_unique"),
         _c("x|c:LinkedObject").isNotNull().alias("mirror"),
         F.transform(_c("x|c:IndexColumns|o:IndexColumn"), lambda i: i["c:Column"]["o:Column"]["_Ref"]).alias("member_refs"))
-    ref = read_definitions(spark, paths, *SOURCE["reference"]).select(pair, "*")
+    ref = read_definitions(found, SOURCE["reference"][1], "reference").select(pair, "*")
     references = ref.select(
         "pair_id", F.col("_Id").alias("id"), "ord", *_doc(), _c("c:ParentTable|o:Table|_Ref").alias("parent_ref"), _c("c:ChildTable|o:Table|_Ref").alias("child_ref"))
     joins = ref.select("pair_id", F.col("_Id").alias("id"), F.posexplode(_c("c:Joins|o:ReferenceJoin")).alias("n", "j")).select(
@@ -320,7 +381,8 @@ def shred_target_physical(spark: SparkSession, paths, pair_id: Column | None = N
     from .files import base_name
 
     pair = (base_name("source_file") if pair_id is None else pair_id).alias("pair_id")
-    ent = read_definitions(spark, paths, *TARGET["entity"], id_col="_id").select(pair, "*")
+    found = target_elements(spark, paths)
+    ent = read_definitions(found, TARGET["entity"][1], "entity").select(pair, "*")
     name = first_nonblank("_name", "Name", "EntityProps.Name")
     head = ["pair_id", F.col("_id").alias("table_id")]
     tables = ent.select(
@@ -346,7 +408,7 @@ def shred_target_physical(spark: SparkSession, paths, pair_id: Column | None = N
         "pair_id", "table_id", "ord", F.col("k._id").alias("id"), text(first_nonblank("k._name", "k.Key_GroupProps.Name")).alias("name"),
         primary.alias("is_pk"), (primary | alternate | F.lower(trim_ws("k.Key_GroupProps.Is_Unique")).isin("1", "true", "yes", "y")).alias("is_unique"),
         (primary | alternate).alias("_key"), (trim_ws("k.Key_GroupProps.Relationship_Ref") != "").alias("_made"), F.lit(False).alias("mirror"), members.alias("member_refs"))
-    rel = read_definitions(spark, paths, *TARGET["relationship"], id_col="_id").select(pair, "*")
+    rel = read_definitions(found, TARGET["relationship"][1], "relationship").select(pair, "*")
     r = "RelationshipProps"
     references = rel.select(
         "pair_id", F.col("_id").alias("id"), "ord", text(first_nonblank("_name", f"{r}.Name")).alias("name"), F.lit("").alias("code"),
@@ -421,7 +483,8 @@ def from_items(attributes: DataFrame, domains: DataFrame, items: DataFrame) -> D
 def with_dependent_end(rel: DataFrame, identifiers: DataFrame) -> DataFrame:
     """The child's end depends when the child's primary key shares a member with the parent's.
 
-    The parent owns the identifier that the relationship names; ends still name entities by id.
+    The parent owns the identifier that the relationship names; ends still name entities by id. A link of an
+    association keeps what it states.
     """
     owners = identifiers.select("pair_id", F.col("id").alias("parent_key"), F.col("entity").alias("parent")).where("parent_key <> ''")
     keys = identifiers.where("is_primary").groupBy("pair_id", "entity").agg(F.min_by("members", "ord").alias("members"))
@@ -430,9 +493,10 @@ def with_dependent_end(rel: DataFrame, identifiers: DataFrame) -> DataFrame:
     known = derive_identifying(rel.join(owners, ["pair_id", "parent_key"], "left").withColumn("child", child), keys, ["pair_id"])
     first = F.col("identifying") & (F.col("child") == one) & (F.col("parent") == two)
     second = F.col("identifying") & (F.col("child") == two) & ~first
+    link = F.col("kind") == "ASSOCIATION"
     return known.withColumns({
-        "end1": F.col("end1").withField("dependent", F.coalesce(first, F.lit(False))),
-        "end2": F.col("end2").withField("dependent", F.coalesce(second, F.lit(False)))}).drop("parent", "child", "identifying", "parent_key")
+        "end1": F.col("end1").withField("dependent", F.when(link, F.col("end1.dependent")).otherwise(F.coalesce(first, F.lit(False)))),
+        "end2": F.col("end2").withField("dependent", F.when(link, F.col("end2.dependent")).otherwise(F.coalesce(second, F.lit(False))))}).drop("parent", "child", "identifying", "parent_key")
 
 
 def comparable(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -445,7 +509,14 @@ def comparable(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
     if "hidden" in attributes.columns:
         attributes = drop_hidden_duplicates(attributes)
     identifiers = resolve_members(side["identifiers"], attributes, ["pair_id", "entity"])
+    if "pointers" in side:
+        identifiers = mark_primary(identifiers.withColumnRenamed("id", "oid"), attributes, side["pointers"], ["pair_id", "entity"]).withColumnRenamed("oid", "id")
     rel = side["relationships"]
+    if "type" in rel.columns:
+        # A target relationship whose child resolves a many-to-many one is an association.
+        bridge = side["entities"].where("is_associative").select("pair_id", F.col("id").alias("_child"), F.lit(True).alias("_bridge"))
+        rel = rel.withColumn("_child", F.col("end2.entity")).join(bridge, ["pair_id", "_child"], "left").withColumn(
+            "kind", F.when(F.col("_bridge"), "ASSOCIATION").otherwise(F.col("kind"))).drop("_child", "_bridge")
     if "parent_key" in rel.columns:
         rel = with_dependent_end(rel, identifiers)
     rel = resolve_endpoints(rel, side["entities"])
