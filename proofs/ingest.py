@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from veritwin.config import LOGICAL
+from veritwin.plans.models import compare_models
 from veritwin.sources import models as docs
 
 from .base import plain, query
@@ -27,19 +29,26 @@ _TARGET_RELATION = """concat('<Relationship id="r', k, '" name="uses"><Relations
 '</Null_Option_Type><Parent_To_Child_Verb_Phrase>has</Parent_To_Child_Verb_Phrase><Child_To_Parent_Verb_Phrase>of</Child_To_Parent_Verb_Phrase></RelationshipProps></Relationship>')"""
 
 
-def written(T, entity: str, relation: str, head: str, between: str, tail: str) -> str:
-    """A folder with one document per brand; those of brands that end in 5 lack their last characters."""
+def composed(T, parts: dict[str, str], layout: list[str]) -> str:
+    """A folder with one document per brand; those of brands that end in 5 lack their last characters.
+
+    ``parts``: name -> text of one row, or NULL; ``layout``: names of parts, and constant texts between them.
+    """
     path = scratch(T)
-    parts = T.sql(_PARTS)
-    rows = parts.select("doc", F.col("k"), F.expr(entity.replace("{{", "{").replace("}}", "}")).alias("e"), F.when(F.col("k") != F.col("first"), F.expr(relation)).alias("r"))
+    rows = T.sql(_PARTS).select("doc", "k", *[F.expr(x.replace("{{", "{").replace("}}", "}")).alias(n) for n, x in parts.items()])
     texts = rows.groupBy("doc").agg(*[
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", F.col(c).alias("x")))), lambda s: s["x"]), "").alias(c) for c in ("e", "r")])
-    whole = F.concat(F.lit(head), "e", F.lit(between), "r", F.lit(tail))
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", F.col(c).alias("x")))), lambda s: s["x"]), "").alias(c) for c in parts])
+    whole = F.concat(*[F.col(x) if x in parts else F.lit(x) for x in layout])
     cut = F.when(F.col("doc").endswith("5"), F.left(whole, F.length(whole) - 5)).otherwise(whole)
     texts.select("doc", cut.alias("value")).repartition("doc").write.partitionBy("doc").text(path)
     return path
 
 
+def written(T, entity: str, relation: str, head: str, between: str, tail: str) -> str:
+    """Documents of entities and of the relations of all but the first."""
+    return composed(T, {"e": entity, "r": f"CASE WHEN k <> first THEN {relation} END"}, [head, "e", between, "r", tail])
+
+
 def facts(side) -> object:
     """kind, code and three values of every entity, attribute, relationship and document."""
     pair = F.col("pair_id")
@@ -81,3 +90,62 @@ def _ingest_target(T):
     """Ends, cardinality codes, null options, identifying types, broken files."""
     path = written(T, _TARGET, _TARGET_RELATION, '<Export><Model id="m"><Entity_Groups>', "</Entity_Groups><Relationship_Groups>", "</Relationship_Groups></Model></Export>")
     return facts(docs.comparable(docs.shred_target(T.spark, path, pair())))
+
+
+# Entities by k % 3: in the model, in a package, in a package inside that package. Every fourth part is linked to an association.
+_PLACED = """CASE WHEN k % 3 = {n} THEN concat('<o:Entity Id="e', k, '"><a:Name>P', k, '</a:Name><a:Code>P', k, '</a:Code><c:Attributes><o:EntityAttribute Id="a', k,
+'"><a:Code>K</a:Code><a:DataType>I</a:DataType><a:PrimaryIdentifier>', k % 2, '</a:PrimaryIdentifier></o:EntityAttribute></c:Attributes><c:Identifiers><o:Identifier Id="i', k,
+'"><a:Name>PK</a:Name><c:Identifier.Attributes><o:EntityAttribute Ref="a', k, '"/></c:Identifier.Attributes></o:Identifier></c:Identifiers></o:Entity>') END"""
+_ASSOCIATION = """CASE WHEN k % 4 = 0 THEN concat('<o:Association Id="s', k, '"><a:Name>Bridge ', k, '</a:Name><a:Code>S', k, '</a:Code></o:Association>') END"""
+_ENDS = "'<c:Object{one}><o:Entity Ref=\"e', k, '\"/></c:Object{one}><c:Object{two}><o:Association Ref=\"s', k, '\"/></c:Object{two}>'"
+_ASSOCIATION_LINK = f"""CASE WHEN k % 4 = 0 THEN concat('<o:AssociationLink Id="l', k, '"><a:Role>part</a:Role>', CASE WHEN k % 12 = 0 THEN '' ELSE '<a:Cardinality>1,n</a:Cardinality>' END,
+'<a:Dependent>', CASE WHEN k % 16 = 0 THEN '1' ELSE '0' END, '</a:Dependent>', CASE WHEN k % 8 = 0 THEN concat({_ENDS.format(one=1, two=2)}) ELSE concat({_ENDS.format(one=2, two=1)}) END, '</o:AssociationLink>') END"""
+_PACKAGED = {**{f"e{n}": _PLACED.replace("{n}", str(n)) for n in range(3)}, "a": _ASSOCIATION, "l": _ASSOCIATION_LINK}
+_PACKAGED_LAYOUT = [
+    '<?xml version="1.0" encoding="UTF-8"?><Model xmlns:a="attribute" xmlns:c="collection" xmlns:o="object"><o:RootObject Id="r"><c:Children><o:Model Id="m"><c:Entities>', "e0",
+    "</c:Entities><c:Associations>", "a", "</c:Associations><c:AssociationLinks>", "l", '</c:AssociationLinks><c:Packages><o:Package Id="p1"><a:Name>Outer</a:Name><c:Entities>', "e1",
+    '</c:Entities><c:Packages><o:Package Id="p2"><a:Name> </a:Name><a:Code>Inner &amp; deep</a:Code><c:Entities>', "e2",
+    "</c:Entities></o:Package></c:Packages></o:Package></c:Packages></o:Model></c:Children></o:RootObject></Model>"]
+_AREA = "CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN 'Outer' ELSE 'Inner & deep' END"
+
+
+@query("ingest_conceptual", f"""WITH p AS ({plain(_PARTS)})
+SELECT doc AS pair_id, 'ENTITY' AS kind, 'P' || k AS code, {_AREA} AS x, '' AS y, CASE WHEN k % 2 = 1 THEN 'keyed' ELSE '' END AS z FROM p
+UNION ALL SELECT doc, 'ENTITY', 'S' || k, '', 'associative', '' FROM p WHERE k % 4 = 0
+UNION ALL SELECT doc, 'ASSOCIATION', 'l' || k, concat('P', k, CASE WHEN k % 12 = 0 THEN ' 0,n' ELSE ' 1,n' END, ' part', CASE WHEN k % 16 = 0 THEN ' dependent' ELSE '' END), 'S' || k || ' 1,1 ', '' FROM p WHERE k % 4 = 0
+UNION ALL {_STATUS}""")
+def _ingest_conceptual(T):
+    """Packages inside packages, associations and their links with either end first, primary keys known by their attributes."""
+    side = docs.comparable(docs.shred_semantic(T.spark, composed(T, _PACKAGED, _PACKAGED_LAYOUT), pair()))
+    primary = side["identifiers"].where("is_primary").select("pair_id", F.col("entity").alias("id"), F.lit("keyed").alias("z"))
+    blank = F.lit("")
+    entities = side["entities"].join(primary, ["pair_id", "id"], "left").select(
+        "pair_id", F.lit("ENTITY").alias("kind"), "code", F.col("subject_area").alias("x"), F.when(F.col("is_associative"), "associative").otherwise("").alias("y"), F.coalesce("z", blank).alias("z"))
+    ends = [F.concat_ws(" ", f"{e}.entity", f"{e}.cardinality", f"{e}.role", F.when(F.col(f"{e}.dependent"), "dependent")) for e in ("end1", "end2")]
+    links = side["relationships"].select("pair_id", "kind", "id", ends[0].alias("x"), ends[1].alias("y"), blank.alias("z"))
+    status = side["documents"].select(
+        "pair_id", F.lit("DOCUMENT").alias("kind"), blank.alias("code"), F.when(F.col("parse_error").isNull(), "").otherwise("broken").alias("x"), blank.alias("y"), blank.alias("z"))
+    return entities.union(links).union(status)
+
+
+# Areas of the target: every seventh part of the inner one is in the outer one, every fifth of the outer one in both.
+_MEMBER = """concat('<Subject_Area_Member id="m', k, '"><Subject_Area_MemberProps><Entity_Ref>e', k, '</Entity_Ref></Subject_Area_MemberProps></Subject_Area_Member>')"""
+_OUTER, _INNER = "(k % 3 = 1 OR k % 3 = 2 AND k % 7 = 0)", "(k % 3 = 2 AND k % 7 <> 0 OR k % 3 = 1 AND k % 5 = 0)"
+_AREAS = {
+    "e": """concat('<Entity id="e', k, '" name="P', k, '"><EntityProps><Physical_Name>P', k, '</Physical_Name></EntityProps></Entity>')""",
+    "o": f"CASE WHEN {_OUTER} THEN {_MEMBER} END", "i": f"CASE WHEN {_INNER} THEN {_MEMBER} END"}
+_AREAS_LAYOUT = [
+    '<Export><Model id="m"><Entity_Groups>', "e", '</Entity_Groups><Subject_Area id="u1" name="Outer"><Members>', "o",
+    "</Members></Subject_Area><Subject_Area id=\"u2\"><Subject_AreaProps><Name>Inner &amp; deep</Name></Subject_AreaProps><Members>", "i", "</Members></Subject_Area></Model></Export>"]
+
+
+@query("subject_areas", f"""SELECT doc AS pair_id, 'P' || k AS object_name, 'Inner & deep' AS s_value, 'Outer' AS t_value FROM ({plain(_PARTS)}) p
+WHERE k % 3 = 2 AND k % 7 = 0 AND doc NOT LIKE '%5'""")
+def _subject_areas(T):
+    """Areas that differ between packages and subject areas, found by the whole job over documents."""
+    s = docs.comparable(docs.shred_semantic(T.spark, composed(T, {**_PACKAGED, "a": "''", "l": "''"}, _PACKAGED_LAYOUT), pair()))
+    t = docs.comparable(docs.shred_target(T.spark, composed(T, _AREAS, _AREAS_LAYOUT), pair()))
+    names = ("entities", "areas", "documents")
+    tier = LOGICAL.with_(attributes=False)
+    found = compare_models({n: s[n] for n in names}, {n: t[n] for n in names}, tier)["findings"]
+    return found.where("category = 'SUBJECT_AREA'").select("pair_id", "object_name", "s_value", "t_value")
