@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 import sys
-import uuid
 from collections.abc import Iterator
 from xml.parsers import expat
 from xml.sax.saxutils import quoteattr
@@ -19,7 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import stored
 
 # The functions travel by value: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -146,10 +145,8 @@ def elements(spark: SparkSession, paths: str | list[str], kinds: dict, scopes=()
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("source_file"), "content")
-    path = f"{shared_dir(spark)}/elements-{uuid.uuid4().hex}"
-    files.mapInArrow(scan, ELEMENTS).sortWithinPartitions("kind", "source_file", "ord").write.option(
-        "parquet.block.size", ROW_GROUP).parquet(path)
-    return spark.read.schema(ELEMENTS).parquet(path)
+    rows = files.mapInArrow(scan, ELEMENTS).sortWithinPartitions("kind", "source_file", "ord")
+    return stored(rows, "elements", **{"parquet.block.size": str(ROW_GROUP)})
 
 
 def document_status(found: DataFrame, pair_id: Column) -> DataFrame:

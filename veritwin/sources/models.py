@@ -18,6 +18,7 @@ from ..functions.richtext import plain
 from ..functions.text import first_nonblank, text, trim_ws
 from ..operators.shaping import derive_identifying, drop_hidden_duplicates, inherit_scalar, is_migrated_key, mark_primary, resolve_refs, subtype_trees
 from ..plans.semantic import resolve_owner_model
+from ..session import stored
 from .documents import document_status, elements
 
 # Element names of the source document.
@@ -167,7 +168,8 @@ def shred_semantic(spark: SparkSession, paths, pair_id: Column | None = None) ->
         return read_definitions(found, SOURCE[kind][1], kind)
 
     # An association is an entity that resolves a many-to-many relationship. An entity's area is the package around it.
-    ent = read_definitions(found, _ENTITY, "entity", "association").select(pair, "*")
+    # Entities feed several relations, so they are parsed once.
+    ent = stored(read_definitions(found, _ENTITY, "entity", "association").select(pair, "*"), "entities")
     packages = read("package").select("source_file", pair, F.col("ord").alias("scope"), text(first_nonblank(_c("a:Name"), _c("a:Code"))).alias("subject_area"))
     entities = ent.select(
         "pair_id", "source_file", "scope", F.col("_Id").alias("id"), "ord", *_doc(), (F.col("kind") == "association").alias("is_associative"),
@@ -261,7 +263,7 @@ def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> d
     def read(kind):
         return read_definitions(found, TARGET[kind][1], kind).select(pair, "*")
 
-    ent = read("entity")
+    ent = stored(read("entity"), "entities")  # they feed several relations, so they are parsed once
     named = read("area").select("source_file", F.col("ord").alias("scope"), text(first_nonblank("_name", "Name", "Subject_AreaProps.Name")).alias("subject_area"))
     props = [f"{m}Props.{r}" for m in ("Subject_Area_Member", "Subject_Area_Entity", "Member") for r in ("Entity_Ref", "Object_Ref")]
     ref = text(first_nonblank("_Entity_Ref", "_Object_Ref", "Entity_Ref", "Object_Ref", *props, "_id", "_Ref"))
@@ -342,7 +344,7 @@ def shred_physical(spark: SparkSession, paths, pair_id: Column | None = None) ->
 
     pair = (base_name("source_file") if pair_id is None else pair_id).alias("pair_id")
     found = source_elements(spark, paths)
-    tab = read_definitions(found, SOURCE["table"][1], "table").select(pair, "*")
+    tab = stored(read_definitions(found, SOURCE["table"][1], "table").select(pair, "*"), "tables")
     head = ["pair_id", F.col("_Id").alias("table_id")]
     tables = tab.select(*head, "ord", *_doc(), F.greatest(F.size(_c("c:Columns|o:Column")), F.lit(0)).alias("n_columns"))
     cols = tab.select(*head, F.posexplode(_c("c:Columns|o:Column")).alias("ord", "a")).where(F.col("a._Id").isNotNull())
@@ -382,7 +384,7 @@ def shred_target_physical(spark: SparkSession, paths, pair_id: Column | None = N
 
     pair = (base_name("source_file") if pair_id is None else pair_id).alias("pair_id")
     found = target_elements(spark, paths)
-    ent = read_definitions(found, TARGET["entity"][1], "entity").select(pair, "*")
+    ent = stored(read_definitions(found, TARGET["entity"][1], "entity").select(pair, "*"), "entities")
     name = first_nonblank("_name", "Name", "EntityProps.Name")
     head = ["pair_id", F.col("_id").alias("table_id")]
     tables = ent.select(
@@ -511,6 +513,7 @@ def comparable(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
     identifiers = resolve_members(side["identifiers"], attributes, ["pair_id", "entity"])
     if "pointers" in side:
         identifiers = mark_primary(identifiers.withColumnRenamed("id", "oid"), attributes, side["pointers"], ["pair_id", "entity"]).withColumnRenamed("oid", "id")
+    identifiers = stored(identifiers, "identifiers")  # read by the relationships as well
     rel = side["relationships"]
     if "type" in rel.columns:
         # A target relationship whose child resolves a many-to-many one is an association.
