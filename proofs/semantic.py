@@ -11,8 +11,7 @@ from veritwin.plans.findings import apply_severity, with_remedy
 
 from . import fixtures as fx
 from .base import (
-    case_map, key, named_keys, norm, plain, q, query, similarity, squeeze, t_describe, t_dims_match, t_match, trim, truncated,
-    txt, typed, ladder,
+    case_map, key, named_keys, norm, plain, q, query, similarity, squeeze, t_describe, t_dims_match, t_match, trim, txt, typed, ladder,
 )
 from .matching import (
     DOMAIN_S, DOMAIN_T, EDGE_KEYS, MEMB_DIFF, RULE_S, RULE_T, TREE_KEYS, domain_ladder, edge_ladder, edges, members, part_sides,
@@ -60,9 +59,9 @@ def pairs_sql(extra: str = "") -> str:
 
 def definition_arms(cols: str, name: str, member: str, threshold: float = 0.9, src: str = "pr", s="s_definition", t="t_definition") -> str:
     return f"""
-SELECT {cols}, 'DEFINITION_LOSS' AS category, {name} AS object_name, {member} AS member, {truncated(s)} AS s_value, '—' AS t_value FROM {src} WHERE {trim(s)} <> '' AND {trim(t)} = ''
-UNION ALL SELECT {cols}, 'DEFINITION', {name}, {member}, '—', {truncated(t)} FROM {src} WHERE {trim(s)} = '' AND {trim(t)} <> ''
-UNION ALL SELECT {cols}, 'DEFINITION', {name}, {member}, {truncated(s)}, {truncated(t)} FROM {src} WHERE {trim(s)} <> '' AND {trim(t)} <> '' AND sim < {threshold}"""
+SELECT {cols}, 'DEFINITION_LOSS' AS category, {name} AS object_name, {member} AS member, {txt(s)} AS s_value, '—' AS t_value FROM {src} WHERE {trim(s)} <> '' AND {trim(t)} = ''
+UNION ALL SELECT {cols}, 'DEFINITION', {name}, {member}, '—', {txt(t)} FROM {src} WHERE {trim(s)} = '' AND {trim(t)} <> ''
+UNION ALL SELECT {cols}, 'DEFINITION', {name}, {member}, {txt(s)}, {txt(t)} FROM {src} WHERE {trim(s)} <> '' AND {trim(t)} <> '' AND sim < {threshold}"""
 
 
 def attribute_sql(tier=LOGICAL) -> str:
@@ -530,9 +529,9 @@ def _compare_domains(T):
 
 
 @query("compare_business_rules", f"""WITH {rule_ladder()}
-SELECT lp.pair_id, 'BUSINESS_RULE' AS category, s.name AS object_name, {truncated('s.expression')} AS s_value, {truncated('t.expression')} AS t_value FROM lp JOIN s0 s ON s.id = lp.s_id JOIN t0 t ON t.id = lp.t_id
+SELECT lp.pair_id, 'BUSINESS_RULE' AS category, s.name AS object_name, {txt('s.expression')} AS s_value, {txt('t.expression')} AS t_value FROM lp JOIN s0 s ON s.id = lp.s_id JOIN t0 t ON t.id = lp.t_id
   WHERE lower({squeeze('s.expression')}) <> '' AND lower({squeeze('t.expression')}) <> '' AND lower({squeeze('s.expression')}) <> lower({squeeze('t.expression')})
-UNION ALL SELECT pair_id, 'BUSINESS_RULE', name, {truncated('expression')}, '—' FROM ls UNION ALL SELECT pair_id, 'BUSINESS_RULE', name, '—', {truncated('expression')} FROM lt""")
+UNION ALL SELECT pair_id, 'BUSINESS_RULE', name, {txt('expression')}, '—' FROM ls UNION ALL SELECT pair_id, 'BUSINESS_RULE', name, '—', {txt('expression')} FROM lt""")
 def _compare_business_rules(T):
     s, t = T.sql(RULE_S), T.sql(RULE_T)
     found = m.match_ladder(s, t, ["pair_id"], m.rule_keys())

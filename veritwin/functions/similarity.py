@@ -30,14 +30,27 @@ def _ratcliff(a: pd.Series, b: pd.Series) -> pd.Series:
     )
 
 
-def similarity_of_normalized(a: Column, b: Column, method: str = "levenshtein") -> Column:
-    """Similarity of two already normalised texts; only unequal pairs are measured."""
+def distance_within(a: str, b: str, threshold: float) -> Column:
+    """Edit distance of two columns where their similarity may reach ``threshold``, else -1."""
+    longest = F.greatest(F.length(a), F.length(b))
+    # One more than the share of the length, so that rounding cannot cut a text at the threshold.
+    band = F.floor(longest * F.lit(1.0 - threshold)).cast("int") + F.lit(1)
+    return F.call_function("levenshtein", F.col(a), F.col(b), band)
+
+
+def similarity_of_normalized(a: Column, b: Column, method: str = "levenshtein", distance: Column | None = None) -> Column:
+    """Similarity of two already normalised texts; only unequal pairs are measured.
+
+    ``distance``: the edit distance where it is known, -1 where it is not.
+    """
     undecided = (a != "") & (b != "") & (a != b)
     if method == "ratcliff":
         # A Python UDF sees every row even inside when(): hand it NULLs instead of texts.
         measured = _ratcliff(F.when(undecided, a), F.when(undecided, b))
     elif method == "levenshtein":
-        measured = F.lit(1.0) - F.levenshtein(a, b).cast("double") / F.greatest(
+        full = F.levenshtein(a, b)
+        edits = full if distance is None else F.when(distance >= 0, distance).otherwise(full)
+        measured = F.lit(1.0) - edits.cast("double") / F.greatest(
             F.length(a), F.length(b)
         ).cast("double")
     else:

@@ -1,9 +1,9 @@
 """Numbering and carrying values forward inside groups of any size.
 
 A window over a group sends the whole group to one task, which is wrong for a group that holds a third of
-the data. So every group is handled the same way: rows are cut into range blocks by group and order, each block gets a
-plain window, and the summaries of the blocks (one row per group and block) are carried over. The number of blocks
-follows the number of rows, so a block keeps its size as the data grows.
+the data. So groups of more rows than a block are cut into range blocks by order, each block gets a plain window, and the
+summaries of the blocks (one row per group and block) are carried over. The number of blocks follows the number of
+rows, so a block keeps its size as the data grows. Groups that fit a block get a plain window; their numbers are the same.
 """
 
 from __future__ import annotations
@@ -25,6 +25,20 @@ def _same(cols: list[str], a: str, b: str) -> Column:
     return cond
 
 
+def _split(df: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of groups that fit a block, and rows of the others if there are any. The input is evaluated once."""
+    kept = cut(df)
+    if kept.count() <= BLOCK_ROWS:
+        return kept, None
+    # At most one group per BLOCK_ROWS rows.
+    large = cut(kept.groupBy(*group).count().where(F.col("count") > BLOCK_ROWS).select(*group))
+    if large.isEmpty():
+        return kept, None
+    rows, keys = kept.alias("k"), large.alias("l")
+    same = _same(group, "k", "l")
+    return rows.join(keys, same, "left_anti"), rows.join(keys, same, "left_semi")
+
+
 def _blocks(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """Rows with a block number that grows with the order inside each group.
 
@@ -38,7 +52,11 @@ def _blocks(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
 
 def number_within(df: DataFrame, group: list[str], order: list[str], out: str = "rn") -> DataFrame:
     """1, 2, 3 … inside each group. ``order`` must give a total order."""
-    blocks = _blocks(df, group, order)
+    small, large = _split(df, group)
+    numbered = small.withColumn(out, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
+    if large is None:
+        return numbered
+    blocks = _blocks(large, group, order)
     sizes = blocks.groupBy(*group, "_block").count()
     before = W.partitionBy(*group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(
@@ -50,12 +68,18 @@ def number_within(df: DataFrame, group: list[str], order: list[str], out: str =
         .join(starts.alias("s"), _same([*group, "_block"], "b", "s"))
         .select("b.*", "s._start")
     )
-    return joined.withColumn(out, (F.col("_inside") + F.col("_start")).cast("int")).select(*df.columns, out)
+    rest = joined.withColumn(out, (F.col("_inside") + F.col("_start")).cast("int")).select(*df.columns, out)
+    return numbered.unionByName(rest)
 
 
 def fill_forward(df: DataFrame, group: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """The last non-NULL ``value`` at or before each row of its group."""
-    blocks = _blocks(df, group, order)
+    small, large = _split(df, group)
+    so_far = W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    filled = small.withColumn(out, F.last(value, ignorenulls=True).over(so_far))
+    if large is None:
+        return filled
+    blocks = _blocks(large, group, order)
     last = blocks.where(F.col(value).isNotNull()).groupBy(*group, "_block").agg(
         F.max_by(F.col(value), F.struct(*order)).alias("_last")
     )
@@ -73,7 +97,7 @@ def fill_forward(df: DataFrame, group: list[str], order: list[str], value: str,
         .join(carry.alias("c"), _same([*group, "_block"], "b", "c"))
         .select("b.*", "c._carry")
     )
-    return joined.withColumn(out, F.coalesce("_inside", "_carry")).select(*df.columns, out)
+    return filled.unionByName(joined.withColumn(out, F.coalesce("_inside", "_carry")).select(*df.columns, out))
 
 
 def keep_one(df: DataFrame, group: list[str], order: list[str | Column]) -> DataFrame:

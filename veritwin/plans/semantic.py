@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ..config import Tier
 from ..functions import cardinality as card
 from ..functions import types as ty
-from ..functions.similarity import similarity_of_normalized
+from ..functions.similarity import distance_within, similarity_of_normalized
 from ..functions.text import (
     ABSENT, documented_members, is_blank, names_equivalent, normalize_definition, normalize_name,
-    object_label, text, trim_ws, truncate,
+    object_label, text, trim_ws,
 )
 from ..operators import matching as m
 from .findings import check, emit, or_none
@@ -78,13 +78,18 @@ def guard_findings(guarded: DataFrame, warnings: DataFrame | None = None) -> Dat
 
 
 def with_similarity(df: DataFrame, s_text: str, t_text: str, tier: Tier, out: str = "similarity") -> DataFrame:
-    """Normalise both texts, then measure once; the number serves check and message."""
-    return (
-        df.withColumn("_sn", normalize_definition(s_text))
-        .withColumn("_tn", normalize_definition(t_text))
-        .withColumn(out, similarity_of_normalized(F.col("_sn"), F.col("_tn"), tier.similarity_method))
-        .drop("_sn", "_tn")
-    )
+    """Normalise both texts, then measure once; the number serves check and message.
+
+    The edit distance is first sought within the band that the threshold allows, which costs the length times the band;
+    only texts that differ by more, which are reported, are measured in full.
+    """
+    df = df.withColumn("_sn", normalize_definition(s_text)).withColumn("_tn", normalize_definition(t_text))
+    if tier.similarity_method == "levenshtein":
+        df = df.withColumn("_d", distance_within("_sn", "_tn", tier.similarity_threshold))
+        measured = similarity_of_normalized(F.col("_sn"), F.col("_tn"), distance=F.col("_d"))
+    else:
+        measured = similarity_of_normalized(F.col("_sn"), F.col("_tn"), tier.similarity_method)
+    return df.withColumn(out, measured).drop("_sn", "_tn", "_d")
 
 
 def definition_checks(tier: Tier, object_type: str, object_name: Column, member: Column, s="s_definition", t="t_definition") -> list[Column]:
@@ -96,10 +101,10 @@ def definition_checks(tier: Tier, object_type: str, object_name: Column, member:
     new = F.lit(tier.definition_loss) & no_s & ~no_t
     differs = ~lost & ~new & ~(no_s & no_t) & (F.col("similarity") < tier.similarity_threshold)
     return [
-        check(lost, "DEFINITION_LOSS", "definition lost", truncate(s), ABSENT, **at),
-        check(new, "DEFINITION", "definition only in target", ABSENT, truncate(t), **at),
+        check(lost, "DEFINITION_LOSS", "definition lost", text(s), ABSENT, **at),
+        check(new, "DEFINITION", "definition only in target", ABSENT, text(t), **at),
         check(differs, "DEFINITION", F.concat(F.lit("definition differs, similarity "), percent, F.lit("%")),
-              truncate(s), truncate(t), **at),
+              text(s), text(t), **at),
     ]
 
 
@@ -590,10 +595,10 @@ def compare_domains(pairs: DataFrame, s_only: DataFrame, t_only: DataFrame, tier
 def compare_business_rules(pairs: DataFrame, s_only: DataFrame, t_only: DataFrame) -> DataFrame:
     a, b = normalize_definition("s_expression"), normalize_definition("t_expression")
     changed = check(
-        (a != "") & (b != "") & (a != b), "BUSINESS_RULE", "expression differs", truncate("s_expression"),
-        truncate("t_expression"), object_type="BUSINESS_RULE", object_name=F.col("s_name"))
+        (a != "") & (b != "") & (a != b), "BUSINESS_RULE", "expression differs", text("s_expression"),
+        text("t_expression"), object_type="BUSINESS_RULE", object_name=F.col("s_name"))
     own = dict(object_type="BUSINESS_RULE", object_name=_given("name", "code"))
-    shown = truncate(_given("expression", "definition"))
+    shown = _given("expression", "definition")
     return (
         emit(pairs, PAIR, [changed])
         .unionByName(emit(s_only, PAIR, [check(F.lit(True), "BUSINESS_RULE", "rule only in source", shown, ABSENT, **own)]))
