@@ -30,6 +30,7 @@ ROW_GROUP = 8 << 20
 
 ELEMENTS = "source_file string, kind string, ord long, scope long, fragment string"
 _DECLARED = re.compile(rb"""^\s*<\?xml[^>]*encoding\s*=\s*["']([A-Za-z0-9._-]+)["']""")
+_TAG = re.compile(rb"""<[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
 _CONTROL = bytes(c for c in range(32) if c not in b"\t\n\r")
 
 
@@ -92,23 +93,25 @@ class Fragments:
         if kind in self.scopes:
             self.around.append((self.depth, self.number, []))
 
-    def whole(self, tag: str, attributes: dict, first: int, last: int) -> bytes:
-        if last == first:  # <tag/>
-            return f"<{tag}{''.join(f' {k}={quoteattr(v)}' for k, v in attributes.items())}/>".encode()
-        return self.content[first : self.content.index(b">", last) + 1]
+    def whole(self, first: int, last: int) -> bytes:
+        """The element that starts at ``first``; ``last`` is where its end tag starts, if it has one."""
+        stop = _TAG.match(self.content, first).end()
+        if self.content[stop - 2 : stop] != b"/>":
+            stop = self.content.index(b">", last) + 1
+        return self.content[first:stop]
 
     def end(self, tag: str) -> None:
         at = self.parser.CurrentByteIndex
-        if self.around and self.depth == self.around[-1][0] + 1 and tag in self.heads and at > self.head:
-            self.around[-1][2].append(self.whole(tag, {}, self.head, at))
+        if self.around and self.depth == self.around[-1][0] + 1 and tag in self.heads:
+            self.around[-1][2].append(self.whole(self.head, at))
         if self.open and self.open[-1][0] == self.depth:
             _, kind, tag, attributes, first, number, scope = self.open.pop()
             if kind in self.scopes:
                 _, _, kept = self.around.pop()
-                start = self.whole(tag, attributes, first, first)[:-2] + b">"
-                fragment = start + b"".join(kept) + f"</{tag}>".encode()
+                stated = "".join(f" {k}={quoteattr(v)}" for k, v in attributes.items())
+                fragment = f"<{tag}{stated}>".encode() + b"".join(kept) + f"</{tag}>".encode()
             else:
-                fragment = self.whole(tag, attributes, first, at)
+                fragment = self.whole(first, at)
             self.done.append((kind, number, scope, fragment.decode()))
         self.depth -= 1
 
@@ -122,7 +125,7 @@ class Fragments:
                     yield self.done
                     self.done = []
             self.parser.Parse(b"", True)
-        except (expat.ExpatError, ValueError) as error:
+        except (expat.ExpatError, ValueError, LookupError) as error:
             fault = str(error)
         yield [*self.done, ("document", 0, None, fault)]
 
