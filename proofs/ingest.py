@@ -149,3 +149,33 @@ def _subject_areas(T):
     tier = LOGICAL.with_(attributes=False)
     found = compare_models({n: s[n] for n in names}, {n: t[n] for n in names}, tier)["findings"]
     return found.where("category = 'SUBJECT_AREA'").select("pair_id", "object_name", "s_value", "t_value")
+
+
+# Tables, and a reference from every part to the first. The target states the columns of every fourth one, which are not the migrated ones.
+_TABLE = """concat('<o:Table Id="t', k, '"><a:Name>T', k, '</a:Name><a:Code>t', k, '</a:Code><c:Columns><o:Column Id="c', k, '"><a:Code>Id</a:Code><a:DataType>numeric</a:DataType><a:Length>', 5 + k % 4,
+'</a:Length><a:Column.Mandatory>1</a:Column.Mandatory></o:Column><o:Column Id="d', k, '"><a:Code>Fk</a:Code><a:DataType>int</a:DataType></o:Column></c:Columns></o:Table>')"""
+_REFERENCE = """CASE WHEN k <> first THEN concat('<o:Reference Id="f', k, '"><a:Name>F', k, '</a:Name><c:ParentTable><o:Table Ref="t', first, '"/></c:ParentTable><c:ChildTable><o:Table Ref="t', k,
+'"/></c:ChildTable><c:Joins><o:ReferenceJoin Id="j', k, '"><c:Object1><o:Column Ref="c', first, '"/></c:Object1><c:Object2><o:Column Ref="d', k, '"/></c:Object2></o:ReferenceJoin></c:Joins></o:Reference>') END"""
+_T_TABLE = """concat('<Entity id="t', k, '" name="t', k, '"><Attribute_Groups><Attribute id="c', k, '" name="Id"><AttributeProps><Physical_Data_Type>NUMERIC</Physical_Data_Type></AttributeProps></Attribute>', CASE WHEN k = first THEN '' ELSE
+concat('<Attribute id="d', k, '" name="Fk"><AttributeProps><Physical_Data_Type>INT</Physical_Data_Type><Parent_Relationship_Ref>f', k, '</Parent_Relationship_Ref><Parent_Attribute_Ref>c', first, '</Parent_Attribute_Ref></AttributeProps></Attribute>') END, '</Attribute_Groups></Entity>')"""
+_T_REFERENCE = """CASE WHEN k <> first THEN concat('<Relationship id="f', k, '" name="F', k, '"><RelationshipProps><Parent_Entity_Ref>t', first, '</Parent_Entity_Ref><Child_Entity_Ref>t', k, '</Child_Entity_Ref></RelationshipProps>', CASE WHEN k % 4 = 0 THEN
+concat('<RI_Constraints><RI_Constraint Parent_Attribute_Ref="c', first, '"><RI_ConstraintProps><Child_Attribute_Ref>c', k, '</Child_Attribute_Ref></RI_ConstraintProps></RI_Constraint></RI_Constraints>') ELSE '' END, '</Relationship>') END"""
+
+
+def physical_facts(side, label: str):
+    columns = side["columns"].select("pair_id", F.lit(label).alias("side"), F.col("table").alias("x"), F.col("column").alias("y"), F.col("data_type").alias("z"))
+    joins = F.array_join(F.transform("joins", lambda j: F.concat(j["parent_col"], F.lit("="), j["child_col"])), ", ")
+    return columns.union(side["references"].select("pair_id", F.lit(label), "child_table", F.concat(F.lit("-> "), "parent_table"), joins))
+
+
+@query("ingest_physical", f"""WITH p AS ({plain(_PARTS)}), r AS (SELECT * FROM p WHERE k <> first)
+SELECT doc AS pair_id, 'S' AS side, 'T' || k AS x, 'ID' AS y, concat('numeric(', 5 + k % 4, ')') AS z FROM p UNION ALL SELECT doc, 'S', 'T' || k, 'FK', 'int' FROM p
+UNION ALL SELECT doc, 'S', 'T' || k, '-> T' || first, 'ID=FK' FROM r UNION ALL SELECT doc, 'T', 'T' || k, 'ID', 'NUMERIC' FROM p UNION ALL SELECT doc, 'T', 'T' || k, 'FK', 'INT' FROM r
+UNION ALL SELECT doc, 'T', 'T' || k, '-> T' || first, CASE WHEN k % 4 = 0 THEN 'ID=ID' ELSE 'ID=FK' END FROM r""")
+def _ingest_physical(T):
+    """Tables and references of both sides; stated join columns win over migrated ones."""
+    head = '<Model xmlns:a="attribute" xmlns:c="collection" xmlns:o="object"><o:Model Id="m"><c:Tables>'
+    s = composed(T, {"t": _TABLE, "f": _REFERENCE}, [head, "t", "</c:Tables><c:References>", "f", "</c:References></o:Model></Model>"])
+    t = composed(T, {"t": _T_TABLE, "f": _T_REFERENCE}, ['<Export><Model id="m">', "t", "<Relationship_Groups>", "f", "</Relationship_Groups></Model></Export>"])
+    own = docs.comparable_physical(docs.shred_physical(T.spark, s, pair()))
+    return physical_facts(own, "S").union(physical_facts(docs.comparable_physical(docs.shred_target_physical(T.spark, t, pair())), "T"))

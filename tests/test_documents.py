@@ -9,7 +9,7 @@ KINDS = {"o:Entity": ("entity", "Id"), "o:Link": ("link", "Id"), "o:Package": ("
 
 
 def scan(content, **options):
-    given = dict(scopes=("package",), heads=("a:Name",), once=("entity",))
+    given = dict(scopes={"package": ("a:Name",), "list": None}, once=("entity",))
     rows = [r for some in documents.Fragments(content, KINDS, **{**given, **options}).rows() for r in some]
     assert rows[-1][0] == "document"
     return {(kind, number): (scope, text) for kind, number, scope, text in rows[:-1]}, rows[-1][3]
@@ -18,7 +18,7 @@ def scan(content, **options):
 def test_pointers_nesting_and_scopes():
     text = ('<m><o:Entity Id="e1" n="a>b"/><o:Entity Ref="e1"/><o:Package Id="p"><c:Es><o:Entity Id="e2"><o:Link Id="l"/></o:Entity></c:Es>'
             '<a:Name>A &amp; B</a:Name><o:Package Id="q"><a:Name/><o:Entity Id="e3">x</o:Entity></o:Package></o:Package>'
-            '<o:Entity Id="e1"><a:Name>again</a:Name></o:Entity><c:List>y</c:List></m>').encode()
+            '<o:Entity Id="e1"><a:Name>again</a:Name></o:Entity><c:List>y<o:Link Id="z"/></c:List></m>').encode()
     got, fault = scan(text)
     assert fault is None
     assert got == {
@@ -26,8 +26,8 @@ def test_pointers_nesting_and_scopes():
         ("package", 2): (None, '<o:Package Id="p"><a:Name>A &amp; B</a:Name></o:Package>'),
         ("entity", 3): (2, '<o:Entity Id="e2"><o:Link Id="l"/></o:Entity>'), ("link", 4): (2, '<o:Link Id="l"/>'),
         ("package", 5): (2, '<o:Package Id="q"><a:Name/></o:Package>'), ("entity", 6): (5, '<o:Entity Id="e3">x</o:Entity>'),
-        ("list", 7): (None, "<c:List>y</c:List>")}
-    assert len(scan(text, once=())[0]) == 8  # the second definition of e1 as well
+        ("list", 7): (None, '<c:List>y<o:Link Id="z"/></c:List>'), ("link", 8): (7, '<o:Link Id="z"/>')}
+    assert len(scan(text, once=())[0]) == 9  # the second definition of e1 as well
 
 
 @pytest.mark.parametrize("encoding", ["utf-8", "utf-16", "iso-8859-1", "utf-8-sig"])
@@ -49,7 +49,7 @@ def test_faults(content, elements):
 def test_long_documents_leave_in_steps(monkeypatch):
     monkeypatch.setattr(documents, "STEP", 7)
     text = "<m>" + "".join(f'<o:Entity Id="{n}">é{n}</o:Entity>' for n in range(50)) + "</m>"
-    steps = list(documents.Fragments(text.encode(), KINDS).rows())
+    steps = list(documents.Fragments(text.encode(), KINDS, {}).rows())
     assert len(steps) > 20 and [r[3] for some in steps for r in some][:-1] == [f'<o:Entity Id="{n}">é{n}</o:Entity>' for n in range(50)]
 
 

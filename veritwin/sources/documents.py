@@ -53,20 +53,20 @@ class Fragments:
     """The wanted elements of one document, in one pass.
 
     ``kinds``: tag -> (kind, attribute that a definition carries). An element with that attribute defines an object; one
-    without it, or with ``Ref``, only points at it. Where the attribute is "", all elements are taken. ``scopes``: kinds that hold others and may be nested; of these only the children in
-    ``heads`` are kept, and every element names the innermost scope around it by its number. Kinds in ``once`` are
-    taken from the first definition of an id.
+    without it, or with ``Ref``, only points at it. Where the attribute is "", all elements are taken. ``scopes``: kinds that hold others and may be nested; every element names the innermost one
+    around it by its number. Their value lists the children that are kept of them, or is None where all are. Kinds in
+    ``once`` are taken from the first definition of an id.
     """
 
-    def __init__(self, content: bytes, kinds: dict, scopes=(), heads=(), once=()):
+    def __init__(self, content: bytes, kinds: dict, scopes: dict, once=()):
         self.content, self.encoding = as_utf8(content)
-        self.kinds, self.scopes, self.heads, self.once = kinds, set(scopes), set(heads), set(once)
+        self.kinds, self.scopes, self.once = kinds, scopes, set(once)
         self.parser = expat.ParserCreate(self.encoding)
         self.parser.StartElementHandler, self.parser.EndElementHandler = self.start, self.end
         self.parser.EntityDeclHandler = self.refuse
         self.depth = self.number = 0
         self.open: list[tuple] = []  # depth, kind, tag, attributes, first byte, number, scope
-        self.around: list[tuple] = []  # depth, number, kept children of the scopes that are open
+        self.around: list[tuple] = []  # depth, number, names of children to keep, children kept of the scopes that are open
         self.head = 0  # first byte of the kept child that is open
         self.seen: set = set()
         self.done: list[tuple] = []
@@ -77,7 +77,7 @@ class Fragments:
     def start(self, tag: str, attributes: dict) -> None:
         self.depth += 1
         at = self.parser.CurrentByteIndex
-        if self.around and self.depth == self.around[-1][0] + 1 and tag in self.heads:
+        if self.around and self.depth == self.around[-1][0] + 1 and tag in self.around[-1][2]:
             self.head = at
         wanted = self.kinds.get(tag)
         if wanted is None or (wanted[1] and ("Ref" in attributes or wanted[1] not in attributes)):
@@ -91,7 +91,7 @@ class Fragments:
         self.number += 1
         self.open.append((self.depth, kind, tag, attributes, at, self.number, self.around[-1][1] if self.around else None))
         if kind in self.scopes:
-            self.around.append((self.depth, self.number, []))
+            self.around.append((self.depth, self.number, self.scopes[kind] or (), []))
 
     def whole(self, first: int, last: int) -> bytes:
         """The element that starts at ``first``; ``last`` is where its end tag starts, if it has one."""
@@ -102,12 +102,12 @@ class Fragments:
 
     def end(self, tag: str) -> None:
         at = self.parser.CurrentByteIndex
-        if self.around and self.depth == self.around[-1][0] + 1 and tag in self.heads:
-            self.around[-1][2].append(self.whole(self.head, at))
+        if self.around and self.depth == self.around[-1][0] + 1 and tag in self.around[-1][2]:
+            self.around[-1][3].append(self.whole(self.head, at))
         if self.open and self.open[-1][0] == self.depth:
             _, kind, tag, attributes, first, number, scope = self.open.pop()
-            if kind in self.scopes:
-                _, _, kept = self.around.pop()
+            kept = self.around.pop()[3] if kind in self.scopes else []
+            if self.scopes.get(kind) is not None:
                 stated = "".join(f" {k}={quoteattr(v)}" for k, v in attributes.items())
                 fragment = f"<{tag}{stated}>".encode() + b"".join(kept) + f"</{tag}>".encode()
             else:
@@ -130,7 +130,7 @@ class Fragments:
         yield [*self.done, ("document", 0, None, fault)]
 
 
-def elements(spark: SparkSession, paths: str | list[str], kinds: dict, scopes=(), heads=(), once=()) -> DataFrame:
+def elements(spark: SparkSession, paths: str | list[str], kinds: dict, scopes: dict, once=()) -> DataFrame:
     """source_file, kind, ord, scope, fragment of all wanted elements of all documents: one scan, written once.
 
     ``ord`` is the element's number in its document, ``scope`` the number of the innermost scope around it. A row of kind
@@ -143,7 +143,7 @@ def elements(spark: SparkSession, paths: str | list[str], kinds: dict, scopes=()
         types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
         for b in batches:
             for file, content in zip(b.column("source_file"), b.column("content")):
-                for some in Fragments(content.as_py(), kinds, scopes, heads, once).rows():
+                for some in Fragments(content.as_py(), kinds, scopes, once).rows():
                     columns = [[file.as_py()] * len(some), *zip(*some)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 

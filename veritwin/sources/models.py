@@ -16,7 +16,7 @@ from ..functions import types as ty
 from ..functions.records import join_notes
 from ..functions.richtext import plain
 from ..functions.text import first_nonblank, text, trim_ws
-from ..operators.shaping import derive_identifying, drop_hidden_duplicates, inherit_scalar, is_migrated_key, mark_primary, resolve_refs, subtype_trees
+from ..operators.shaping import derive_identifying, drop_hidden_duplicates, inherit_scalar, is_migrated_key, mark_primary, physical_fk_joins, resolve_refs, subtype_trees
 from ..plans.semantic import resolve_owner_model
 from ..session import stored
 from .documents import document_status, elements
@@ -106,6 +106,10 @@ TARGET = {
         + _props(("Name", "Parent_Entity_Ref", "Child_Entity_Ref", "Type", "Cardinality", "Null_Option_Type", "Parent_To_Child_Verb_Phrase", "Child_To_Parent_Verb_Phrase", "Definition"))),
     "domain": ("Domain", "`_id` string, `_name` string, `DomainProps` " + _props(("Name", "Physical_Name", "Logical_Data_Type", "Physical_Data_Type", "Definition", "Built_In_Id"))),
     "rule": ("Validation_Rule", "`_id` string, `_name` string, `Validation_RuleProps` " + _props(("Name", "Definition", "Server_Value", "Expression"))),
+    "constraint": (
+        "RI_Constraint",
+        ", ".join(f"`{p}{e}_Attribute_Ref` string, `{p}{e}_Attribute` string" for p in ("_", "") for e in ("Parent", "Child"))
+        + ", `RI_ConstraintProps` " + _props(("Parent_Attribute_Ref", "Parent_Attribute", "Child_Attribute_Ref", "Child_Attribute"))),
     "area": ("Subject_Area", "`_name` string, `Name` string, `Subject_AreaProps` " + _props(("Name",))),
 }
 _MEMBER = (
@@ -117,14 +121,14 @@ AREA_MEMBERS = ("Subject_Area_Member", "Entity_Ref", "Member", "Subject_Area_Ent
 def source_elements(spark: SparkSession, paths) -> DataFrame:
     """All elements of source documents that this module reads; packages are scopes."""
     kinds = {tag: (kind, "" if kind in ("shortcut", "association_link") else "Id") for kind, (tag, _) in SOURCE.items()}
-    return elements(spark, paths, kinds, scopes=("package",), heads=("a:Name", "a:Code"), once=("entity", "association"))
+    return elements(spark, paths, kinds, scopes={"package": ("a:Name", "a:Code")}, once=("entity", "association"))
 
 
 def target_elements(spark: SparkSession, paths) -> DataFrame:
-    """All elements of target documents that this module reads; subject areas are scopes."""
-    kinds = {tag: (kind, "" if kind == "area" else "id") for kind, (tag, _) in TARGET.items()}
+    """All elements of target documents that this module reads; subject areas and relationships are scopes."""
+    kinds = {tag: (kind, "" if kind in ("area", "constraint") else "id") for kind, (tag, _) in TARGET.items()}
     kinds.update({tag: ("area_member", "") for tag in AREA_MEMBERS})
-    return elements(spark, paths, kinds, scopes=("area",), heads=("Name", "Subject_AreaProps"))
+    return elements(spark, paths, kinds, scopes={"area": ("Name", "Subject_AreaProps"), "relationship": None})
 
 
 def read_definitions(found: DataFrame, schema: str, *kinds: str) -> DataFrame:
@@ -377,8 +381,8 @@ def _sized(dtype: Column, length: Column, precision: Column) -> Column:
 def shred_target_physical(spark: SparkSession, paths, pair_id: Column | None = None) -> dict[str, DataFrame]:
     """Tables, columns, keys, indexes, references and join columns of target documents.
 
-    Join columns are the child's migrated attributes that point back at the
-    relationship. Indexes the tool made for a relationship are left out.
+    Join columns are the constraints that the relationship lists; where it lists none, the child's migrated attributes
+    that point back at it. Indexes the tool made for a relationship are left out.
     """
     from .files import base_name
 
@@ -415,8 +419,17 @@ def shred_target_physical(spark: SparkSession, paths, pair_id: Column | None = N
     references = rel.select(
         "pair_id", F.col("_id").alias("id"), "ord", text(first_nonblank("_name", f"{r}.Name")).alias("name"), F.lit("").alias("code"),
         text(f"{r}.Parent_Entity_Ref").alias("parent_ref"), text(f"{r}.Child_Entity_Ref").alias("child_ref"))
-    joins = columns.where("rel_ref <> ''").select(
+    migrated = columns.where("rel_ref <> ''").select(
         "pair_id", F.col("rel_ref").alias("id"), F.col("ord").alias("n"), "parent_col", F.col("id").alias("child_col"))
+
+    def stated(end):
+        places = [f"{p}{end}_Attribute{r}" for p in ("_", "", "RI_ConstraintProps.") for r in ("_Ref", "")]
+        return text(first_nonblank(*places))
+
+    owners = rel.select("pair_id", "source_file", F.col("ord").alias("scope"), F.col("_id").alias("id"))
+    explicit = read_definitions(found, TARGET["constraint"][1], "constraint").join(owners, ["source_file", "scope"]).select(
+        "pair_id", "id", F.col("ord").alias("n"), stated("Parent").alias("parent_col"), stated("Child").alias("child_col"))
+    joins = physical_fk_joins(explicit, migrated, ["pair_id", "id"])
     return {
         "tables": tables, "columns": columns, "keys": every.where("_key").drop("_key", "_made"),
         "indexes": every.where("not _key and not _made").drop("_key", "_made"), "references": references, "joins": joins}
