@@ -1,5 +1,7 @@
 """One pass over a document: its fragments, scopes and faults."""
 
+import tracemalloc
+
 import pytest
 
 from veritwin.operators.shaping import mark_primary
@@ -70,3 +72,25 @@ def test_primary_by_flags_needs_exactly_the_flagged_members(spark):
     pointers = spark.createDataFrame([("e", "lost"), ("f", "j2"), ("g", None)], "entity string, primary_oid string")
     got = {r.oid: r.evidence for r in mark_primary(keys, attributes, pointers, ["entity"]).where("is_primary").collect()}
     assert got == {"i1": "FLAGS", "j2": "POINTER"}
+
+
+def test_memory_of_a_step_and_not_of_the_document(monkeypatch):
+    monkeypatch.setattr(documents, "STEP", 1 << 12)
+    content = b"<m>" + b'<o:Entity><a:Name>some text</a:Name></o:Entity>' * 80_000 + b'<o:Entity Id="e"><a:Name>last</a:Name></o:Entity></m>'
+    tracemalloc.start()
+    found, fault = scan(memoryview(content))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == {("entity", 1): (None, '<o:Entity Id="e"><a:Name>last</a:Name></o:Entity>')} and fault is None
+    assert peak < len(content) / 10
+
+
+@pytest.mark.parametrize("step", [1, 5, 1 << 20])
+def test_steps_of_any_size_and_other_encodings(monkeypatch, step):
+    monkeypatch.setattr(documents, "STEP", step)
+    body = ('<m><o:Package Id="p"><a:Name>ä&amp;</a:Name><o:Package Id="q"><a:Name/></o:Package><o:Entity Id="e1" n="a>b"/></o:Package>'
+            '<c:List><o:Entity Id="e2">é\x01</o:Entity></c:List></m>')
+    wanted = scan(body.encode())
+    assert wanted[0][("entity", 3)] == (1, '<o:Entity Id="e1" n="a>b"/>') and wanted[1] is None
+    for content in (body.encode("utf-16"), ('<?xml version="1.0" encoding="ISO-8859-1"?>' + body).encode("latin-1")):
+        assert scan(content) == wanted

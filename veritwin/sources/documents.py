@@ -7,6 +7,7 @@ sorted by kind inside each file, so that reading one kind skips the row groups o
 
 from __future__ import annotations
 
+import codecs
 import re
 import sys
 from collections.abc import Iterator
@@ -34,19 +35,37 @@ _TAG = re.compile(rb"""<[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
 _CONTROL = bytes(c for c in range(32) if c not in b"\t\n\r")
 
 
-def as_utf8(content: bytes) -> tuple[bytes, str | None]:
-    """The document in UTF-8 without control characters, and the encoding the parser must assume.
+def _decoded(content: memoryview, name: str) -> Iterator[str]:
+    """The text by steps; an error where the bytes are not of that encoding, or it is none of texts."""
+    if codecs.lookup(name).name in ("utf-16", "utf-32") and bytes(content[:2]) not in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE):
+        name += "-le" if sys.byteorder == "little" else "-be"  # what decoding the whole at once assumes
+    decoder = codecs.getincrementaldecoder(name)()
+    for at in range(0, len(content) + 1, STEP):
+        some = decoder.decode(bytes(content[at : at + STEP]), at + STEP > len(content))
+        if not isinstance(some, str):
+            raise LookupError(name)
+        yield some
 
-    What cannot be decoded is returned as it is: the parser then says what is wrong with it.
+
+def as_utf8(content) -> tuple[Iterator[bytes], str | None]:
+    """The document by steps in UTF-8 without control characters, and the encoding the parser must assume.
+
+    ``content`` is any buffer; no second copy of it is made. What cannot be decoded is returned as it is: the parser then
+    says what is wrong with it.
     """
-    declared = _DECLARED.match(content[:400])
-    name = "utf-16" if content[:2] in (b"\xff\xfe", b"\xfe\xff") else declared.group(1).decode().lower() if declared else "utf-8"
-    if name not in ("utf-8", "us-ascii"):
-        try:
-            content = content.decode(name).encode()
-        except (LookupError, UnicodeError):
-            return content, None
-    return content.translate(None, _CONTROL), "utf-8"
+    view = memoryview(content)
+    head = bytes(view[:400])
+    declared = _DECLARED.match(head)
+    name = "utf-16" if head[:2] in (b"\xff\xfe", b"\xfe\xff") else declared.group(1).decode().lower() if declared else "utf-8"
+    raw = (bytes(view[at : at + STEP]) for at in range(0, len(view), STEP))
+    if name in ("utf-8", "us-ascii"):
+        return (some.translate(None, _CONTROL) for some in raw), "utf-8"
+    try:
+        for _ in _decoded(view, name):
+            pass
+    except (LookupError, ValueError, TypeError):
+        return raw, None
+    return (some.encode().translate(None, _CONTROL) for some in _decoded(view, name)), "utf-8"
 
 
 class Fragments:
@@ -55,11 +74,13 @@ class Fragments:
     ``kinds``: tag -> (kind, attribute that a definition carries). An element with that attribute defines an object; one
     without it, or with ``Ref``, only points at it. Where the attribute is "", all elements are taken. ``scopes``: kinds that hold others and may be nested; every element names the innermost one
     around it by its number. Their value lists the children that are kept of them, or is None where all are. Kinds in
-    ``once`` are taken from the first definition of an id.
+    ``once`` are taken from the first definition of an id. Bytes before the first element that is still open are let go,
+    so the memory needed is that of the largest wanted element.
     """
 
-    def __init__(self, content: bytes, kinds: dict, scopes: dict, once=()):
-        self.content, self.encoding = as_utf8(content)
+    def __init__(self, content, kinds: dict, scopes: dict, once=()):
+        self.steps, self.encoding = as_utf8(content)
+        self.content, self.base = bytearray(), 0  # the bytes that may still be cut from, and the number of the first
         self.kinds, self.scopes, self.once = kinds, scopes, set(once)
         self.parser = expat.ParserCreate(self.encoding)
         self.parser.StartElementHandler, self.parser.EndElementHandler = self.start, self.end
@@ -67,7 +88,7 @@ class Fragments:
         self.depth = self.number = 0
         self.open: list[tuple] = []  # depth, kind, tag, attributes, first byte, number, scope
         self.around: list[tuple] = []  # depth, number, names of children to keep, children kept of the scopes that are open
-        self.head = 0  # first byte of the kept child that is open
+        self.heads: list[int] = []  # first bytes of the kept children that are open
         self.seen: set = set()
         self.done: list[tuple] = []
 
@@ -78,7 +99,7 @@ class Fragments:
         self.depth += 1
         at = self.parser.CurrentByteIndex
         if self.around and self.depth == self.around[-1][0] + 1 and tag in self.around[-1][2]:
-            self.head = at
+            self.heads.append(at)
         wanted = self.kinds.get(tag)
         if wanted is None or (wanted[1] and ("Ref" in attributes or wanted[1] not in attributes)):
             return
@@ -95,15 +116,24 @@ class Fragments:
 
     def whole(self, first: int, last: int) -> bytes:
         """The element that starts at ``first``; ``last`` is where its end tag starts, if it has one."""
+        first, last = first - self.base, last - self.base
         stop = _TAG.match(self.content, first).end()
         if self.content[stop - 2 : stop] != b"/>":
             stop = self.content.index(b">", last) + 1
-        return self.content[first:stop]
+        return bytes(self.content[first:stop])
+
+    def release(self) -> None:
+        """Let go of what no open element starts in; the parser may still be inside the element it saw last."""
+        at = self.parser.CurrentByteIndex
+        cut = [first for _, kind, _, _, first, *_ in self.open if self.scopes.get(kind) is None][:1]
+        least = min([max(at, self.base), *cut, *self.heads[:1]])
+        del self.content[: least - self.base]
+        self.base = least
 
     def end(self, tag: str) -> None:
         at = self.parser.CurrentByteIndex
         if self.around and self.depth == self.around[-1][0] + 1 and tag in self.around[-1][2]:
-            self.around[-1][3].append(self.whole(self.head, at))
+            self.around[-1][3].append(self.whole(self.heads.pop(), at))
         if self.open and self.open[-1][0] == self.depth:
             _, kind, tag, attributes, first, number, scope = self.open.pop()
             kept = self.around.pop()[3] if kind in self.scopes else []
@@ -119,8 +149,10 @@ class Fragments:
         """Finished elements by steps; the last row is the document itself with its fault, or None."""
         fault = None
         try:
-            for at in range(0, len(self.content), STEP):
-                self.parser.Parse(self.content[at : at + STEP], False)
+            for some in self.steps:
+                self.content += some
+                self.parser.Parse(some, False)
+                self.release()
                 if self.done:
                     yield self.done
                     self.done = []
@@ -143,9 +175,10 @@ def elements(spark: SparkSession, paths: str | list[str], kinds: dict, scopes: d
         types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
         for b in batches:
             for file, content in zip(b.column("source_file"), b.column("content")):
-                for some in Fragments(content.as_py(), kinds, scopes, once).rows():
+                for some in Fragments(content.as_buffer(), kinds, scopes, once).rows():
                     columns = [[file.as_py()] * len(some), *zip(*some)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            b = file = content = None  # before the next documents are taken in
 
     files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("source_file"), "content")
     rows = files.mapInArrow(scan, ELEMENTS).sortWithinPartitions("kind", "source_file", "ord")
