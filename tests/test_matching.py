@@ -118,3 +118,27 @@ def test_tiered_claims_are_exclusive(spark):
     t = side(spark, [(7, "Z", "X"), (8, "C", "R")])
     got = {r.s_id: (r.tier, r.t_id) for r in m.match_tiered(s, t, ["pair_id"]).collect()}
     assert got == {1: (2, 7), 2: (None, None), 3: (3, 8)}
+
+
+def test_large_groups_do_not_travel_to_one_task(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", 20)
+    rows = spark.createDataFrame([("a" if i % 3 else "b", i) for i in range(300)], "g string, i int")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = number_within(rows, ["g"], ["i"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {(r.g, r.i): r.rn for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    for g in "ab":
+        assert [rn for (x, _), rn in sorted(got.items()) if x == g] == list(range(1, 1 + sum(x == g for x, _ in got)))
+
+
+def test_later_keys_are_not_computed_for_rows_of_the_first_pass(spark):
+    s, t = (side(spark, [(1, "x", "A"), (2, n, "")]) for n in ("y", "Y"))
+    first, then = F.col("code"), F.when(F.col("code") == "A", F.raise_error(F.lit("matched before"))).otherwise(F.upper("name"))
+    found = m.match_ladder(s, t, ["pair_id"], [("code", first, first), ("name", then, then)])
+    assert {(r.s_id, r.t_id, r.basis) for r in found.pairs.collect()} == {(1, 1, "code"), (2, 2, "name")}
+    assert found.s_only.isEmpty() and found.t_only.isEmpty()
