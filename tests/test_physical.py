@@ -1,5 +1,7 @@
 """Physical comparison, repair and counts: whole results, and inputs that are read once."""
 
+from pyspark.sql import functions as F
+
 from veritwin.config import PHYSICAL
 from veritwin.operators import matching as m
 from veritwin.plans import flow
@@ -46,3 +48,16 @@ def test_references_are_read_once(spark, tmp_path):
     assert [(r["pair_id"], r["message"], r["t_value"]) for r in many] == [("a", "3 references share one signature", "2")]
     assert records.columns == m.match_multiset(s.drop("joins"), t.drop("joins"), ["pair_id", "signature"], ["ord"], ["ord"]).columns
     assert not [f for f in found.inputFiles() if f"{tmp_path}/" in f]
+
+
+def test_totals_and_repeats_are_counted_in_one_scan(spark, tmp_path):
+    s = written(spark, tmp_path / "s", [(*r, 0) for r in S], COLUMN + ", only_s int")
+    t = written(spark, tmp_path / "t", T, COLUMN)
+    tables = spark.createDataFrame([("a", "T1", 0, 2), ("a", "T1", 1, 2), ("b", "T1", 0, 1)], "pair_id string, `table` string, ord int, n_columns int")
+    refs = spark.createDataFrame([("a", "MATCHED")], "pair_id string, status string")
+    records = flow.stored(ph.column_records(s, t), "records")
+    found = ph.physical_counters(ph.compare_tables(tables, tables, PHYSICAL)[0], records, tables, tables, s, t, refs)
+    row = found.where("pair_id = 'a'").first()
+    assert [row[c] for c in ("tables_s", "tables_duplicate_s", "columns_s", "columns_duplicate_s", "columns_t", "columns_matched", "columns_missing", "fks_s")] == [2, 1, 4, 1, 1, 1, 2, 1]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("only_s#") == 1
+    assert found.where(F.col("pair_id") == "b").first()["columns_duplicate_t"] == 1
