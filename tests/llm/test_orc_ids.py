@@ -1,4 +1,5 @@
 import glob
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -46,6 +47,23 @@ def test_words_are_forgotten():
         assert encoder.held < 10_000 and len(encoder.inner) == 4
 
 
+def test_words_are_columns_that_tasks_of_a_worker_share():
+    words = [f"{k * 7919 % 100_003}x{k}" for k in range(20_000)]
+    encoder = O.encoder_of(PATH)
+    assert encoder is O.encoder_of(PATH)
+    encoder.forget()
+    tracemalloc.start()
+    encoder.encode([" ".join(words[k : k + 100]) for k in range(0, len(words), 100)])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(encoder.inner) + len(encoder.outer) == 20_000 and held < 100 * 20_000
+    text = " ".join(words[:300]) + "  " + words[5] + "\u2003" + words[7]
+    assert [i.tolist() for i in encoder.encode([text])] == [plain(text)[:-1]]
+    encoder.held = O.HELD_BYTES + 1
+    assert [i.tolist() for i in encoder.encode([text, "some " + text, "", " x "])] == [plain(t)[:-1] for t in (text, "some " + text, "", " x ")]
+    assert 200 < len(encoder.inner) < 400 and encoder.again.sum() > 200
+
+
 def test_other_vocabularies_are_an_error():
     with pytest.raises(ValueError):
         O.Encoder(public_tokenizers.path("word_bpe_49k.json")).encode(["Some Words of a text"])

@@ -6,12 +6,13 @@ stripe, and a lookup of documents skips files, stripes and groups of rows by the
 further rows, because the writer holds a thousand rows at a time.
 
 A task encodes a text word by word where the encoding can't reach over the border: before a single blank between two
-characters that are no white space. Each distinct word goes to the tokenizers library once per task and while the memory of
+characters that are no white space. Each distinct word goes to the tokenizers library once per worker and while the memory of
 words lasts; the ids are those of the whole text.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
 import zlib
@@ -20,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,14 +34,19 @@ STRIPE_BYTES, ROWS_PER_INDEX, FALSE_POSITIVES = 16 << 20, 1000, 0.01
 #: Ids of a row at most; rows between two looks of the writer at its memory.
 ROW_IDS, ROWS_PER_LOOK = 1 << 14, 100
 #: Characters of texts that are Python objects at a time; bytes that the memory of words may hold; words of a call.
-CHARS_AT_ONCE, HELD_BYTES, WORDS_AT_ONCE = 1 << 22, 64 << 20, 4000
+CHARS_AT_ONCE, HELD_BYTES, WORDS_AT_ONCE = 1 << 23, 48 << 20, 4000
 
 BORDER = re.compile(r"(?<=\S)(?= \S)")
-ODD = re.compile(r"\s\s|\s\Z")
+#: What ``\s`` is in Python; texts with two of them in a row or one at the end.
+SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+ODD = rf"{SPACE}(?:{SPACE}|\z)"
 
 
 class Encoder:
-    """Texts to ids, with a memory of words."""
+    """Texts to ids, with a memory of words.
+
+    Words that follow a blank are columns: each distinct one of some texts is looked up once, whatever their number.
+    """
 
     def __init__(self, path: str):
         import os
@@ -53,74 +60,130 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.inner: dict[str, int] = {}  # words that a blank leads in, without it
+        self.inner = pa.array([], pa.string())  # words that a blank leads in, without it
+        self.inner_at = np.empty(0, np.int64)  # and their numbers
+        self.again = np.empty(0, bool)  # whether they came again
         self.outer: dict[str, int] = {}  # other pieces of texts
         self.flat, self.starts, self.held = [], [], 0
         self.ids, self.at, self.size = np.empty(0, np.int32), np.zeros(1, np.int64), 0
 
-    def pieces(self, text: str) -> tuple[str, list[str]]:
-        """What stands before the first border, and what follows each one, without the blank."""
-        if ODD.search(text):
-            first, *rest = BORDER.split(text)
-            return first, [w[1:] for w in rest]
-        first, *rest = text.split(" ")
-        return first, rest
-
-    def _keep(self, ids: np.ndarray, sizes: np.ndarray) -> int:
-        """Stores the ids of new words, ``sizes`` of them each; the number of the first."""
-        first = self.size
+    def trim(self) -> None:
+        """Forgets words that have not come again, or all if the others are many."""
+        kept = np.flatnonzero(self.again)
+        words, at = self.inner.take(pa.array(kept)), self.inner_at[kept]
+        ids, begin, sizes = self.ids, self.at[at], self.at[at + 1] - self.at[at]
+        self.forget()
+        if 2 * (held := words.nbytes + 40 * len(words)) > HELD_BYTES:
+            return
+        self.inner, self.inner_at, self.again = words, np.arange(len(words)), np.zeros(len(words), bool)
+        self.ids = ids[np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+        self.at, self.size, self.held = np.concatenate([[0], np.cumsum(sizes)]), len(words), held
+
+    def pieces(self, texts: list[str]) -> tuple[np.ndarray, pa.ListArray]:
+        """What stands before the first border, and what follows each one, without the blank; texts in another order, which
+        comes first."""
+        column = pa.array(texts, pa.string())
+        found = pc.match_substring_regex(column, ODD)
+        odd = found.to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(column.filter(pc.invert(found)), " ")
+        if odd.any():
+            cut = (BORDER.split(t) for t, o in zip(texts, odd) if o)
+            lists = pa.concat_arrays([lists, pa.array([[first, *(w[1:] for w in rest)] for first, *rest in cut], lists.type)])
+        return np.argsort(odd, kind="stable"), lists
+
+    def _keep(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Stores the ids of new words, ``sizes`` of them each; the numbers of the words."""
         self.flat.append(ids)
         self.starts.append(sizes)
         self.size += len(sizes)
-        return first
-
-    def learn(self, texts: list[tuple[str, list[str]]]) -> None:
-        outer = [w for w in {first for first, _ in texts} if w not in self.outer]
-        inner = [w for w in set().union(*[rest for _, rest in texts]) if w not in self.inner]
+        return np.arange(self.size - len(sizes), self.size)
+
+    def learn(self, firsts: list[str], words: pa.Array) -> np.ndarray:
+        """``firsts`` begin a text; ``words`` are distinct and follow a blank. The numbers of ``words``."""
+        outer = [w for w in set(firsts) if w not in self.outer]
+        place = pc.index_in(words, value_set=self.inner)
+        new = np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False))
+        unknown = words.take(pa.array(new))
         # Words that end in white space would run into the next one.
-        loose = [w for w in inner if w[-1:].isspace()]
-        inner = [w for w in inner if not w[-1:].isspace()]
-        for words, table, lead in ((outer, self.outer, ""), (loose, self.inner, " ")):
-            for k in range(0, len(words), WORDS_AT_ONCE):
-                some = words[k : k + WORDS_AT_ONCE]
+        ends = pc.utf8_slice_codeunits(unknown, -1, None)
+        blank = pa.array([c for c in ends.unique().to_pylist() if c.isspace()], pa.string())
+        apart = pc.is_in(ends, value_set=blank).to_numpy(zero_copy_only=False)
+        n_apart = int(apart.sum())
+        if n_apart:
+            order = np.argsort(~apart, kind="stable")
+            new, unknown = new[order], unknown.take(pa.array(order))
+        size = pc.binary_length(unknown).to_numpy()[n_apart:] + 1
+        inner = unknown.to_pylist()
+        loose, inner = inner[:n_apart], inner[n_apart:]
+        numbers = []
+        for own, lead in ((outer, ""), (loose, " ")):
+            for k in range(0, len(own), WORDS_AT_ONCE):
+                some = own[k : k + WORDS_AT_ONCE]
                 found = [e.ids for e in self.model.encode_batch_fast([lead + w for w in some], add_special_tokens=False)]
                 n = self._keep(np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found]))
-                table.update(zip(some, range(n, n + len(some))))
+                if lead:
+                    numbers.append(n)
+                else:
+                    self.outer.update(zip(some, n.tolist()))
         for k in range(0, len(inner), WORDS_AT_ONCE):
             some = inner[k : k + WORDS_AT_ONCE]
             line = " " + " ".join(some)
             ids = np.array(self.model.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.int32)
             # Words are told apart by the bytes of their tokens.
-            ends = np.cumsum([len(w.encode()) + 1 for w in some])
+            ends = np.cumsum(size[k : k + WORDS_AT_ONCE])
             reached = np.cumsum(self.bytes_of[ids])
             if reached[-1] != ends[-1]:
                 raise ValueError("the vocabulary is not a byte-level one")
             until = np.searchsorted(reached, ends) + 1
-            n = self._keep(ids, np.diff(until, prepend=0))
-            self.inner.update(zip(some, range(n, n + len(some))))
-        self.held += sum(len(w) + 160 for ws in (outer, loose, inner) for w in ws)
+            numbers.append(self._keep(ids, np.diff(until, prepend=0)))
+        out = np.empty(len(words), np.int64)
+        old = place.is_valid().to_numpy(zero_copy_only=False)
+        seen = place.drop_null().to_numpy()
+        out[old] = self.inner_at[seen]
+        self.again[seen] = True
+        if numbers:
+            out[new] = np.concatenate(numbers)
+            self.inner = pa.concat_arrays([self.inner, unknown])
+            self.inner_at = np.concatenate([self.inner_at, out[new]])
+            self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        self.held += sum(len(w) + 160 for w in outer) + unknown.nbytes + 40 * len(unknown)
         if self.flat:
             sizes = np.concatenate(self.starts)
             self.ids = np.concatenate([self.ids, *self.flat])
             self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
             self.flat, self.starts = [], []
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.held > HELD_BYTES:
-            self.forget()
-        cut = [self.pieces(t) for t in texts]
-        self.learn(cut)
-        out = []
-        for first, rest in cut:
-            k = np.empty(len(rest) + 1, np.int64)
-            k[0] = self.outer[first]
-            k[1:] = np.fromiter(map(self.inner.__getitem__, rest), np.int64, len(rest))
-            sizes = self.at[k + 1] - self.at[k]
-            where = np.repeat(self.at[k] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-            out.append(self.ids[where])
+            self.trim()
+        order, lists = self.pieces(texts)
+        offsets, values = lists.offsets.to_numpy(), lists.values
+        firsts = values.take(pa.array(offsets[:-1])).to_pylist()
+        follows = np.ones(len(values), bool)
+        follows[offsets[:-1]] = False
+        words = values.filter(pa.array(follows)).dictionary_encode()
+        learnt = self.learn(firsts, words.dictionary)
+        outer = np.array([self.outer[w] for w in firsts], np.int64)
+        place = words.indices.to_numpy()
+        begin, size = np.empty(len(values), np.int64), np.empty(len(values), np.int64)
+        for column, at in ((begin, self.at[:-1]), (size, np.diff(self.at))):
+            column[offsets[:-1]] = at[outer]
+            column[follows] = at[learnt][place]
+        out = [None] * len(texts)
+        for t, a, b in zip(order.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+            sizes = size[a:b]
+            where = np.repeat(begin[a:b] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            out[t] = self.ids[where]
         return out
 
 
+@functools.cache
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this process: tasks that follow each other in a worker load the vocabulary once and share the memory of words."""
+    return Encoder(path)
+
+
 def portions(text: str, size: int) -> Iterator[str]:
     """Parts of a text of about ``size`` characters, cut at borders only."""
     at = 0
@@ -184,15 +247,16 @@ def write(
     )
 
     def run(batches):
-        encoder, start = Encoder(vocabulary), 0
+        encoder, start = encoder_of(vocabulary), 0
         for b in batches:
             done = 0
             for ids in encoded(encoder, (t.as_py() for t in b.column("text"))):
                 document, columns = rows_of(ids, start, row_ids)
-                own = b.slice(done, len(ids)).take(pa.array(document))
+                own = b.select(["part", "doc_id"]).slice(done, len(ids)).take(pa.array(document))
                 columns |= {"part": own.column("part"), "doc_id": own.column("doc_id")}
                 yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
                 start, done = start + sum(map(len, ids)), done + len(ids)
+        pa.default_memory_pool().release_unused()
 
     rows = dealt.mapInArrow(run, f"part int, first long, total long, rows int, at long, doc_id {kind}, ids array<int>")
     options = {
