@@ -49,14 +49,14 @@ def test_words_are_forgotten():
 
 def test_words_are_columns_that_tasks_of_a_worker_share():
     words = [f"{k * 7919 % 100_003}x{k}" for k in range(20_000)]
-    encoder = O.encoder_of(PATH)
-    assert encoder is O.encoder_of(PATH)
-    encoder.forget()
+    held = {}
+    encoder = O.encoder_of(PATH, held)
+    assert encoder is O.encoder_of(PATH, held)
     tracemalloc.start()
     encoder.encode([" ".join(words[k : k + 100]) for k in range(0, len(words), 100)])
-    held = tracemalloc.get_traced_memory()[0]
+    size = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
-    assert len(encoder.inner) + len(encoder.outer) == 20_000 and held < 100 * 20_000
+    assert len(encoder.inner) + len(encoder.outer) == 20_000 and size < 100 * 20_000
     text = " ".join(words[:300]) + "  " + words[5] + "\u2003" + words[7]
     assert [i.tolist() for i in encoder.encode([text])] == [plain(text)[:-1]]
     encoder.held = O.HELD_BYTES + 1

@@ -12,7 +12,6 @@ words lasts; the ids are those of the whole text.
 
 from __future__ import annotations
 
-import functools
 import re
 import uuid
 import zlib
@@ -178,10 +177,12 @@ class Encoder:
         return out
 
 
-@functools.cache
-def encoder_of(path: str) -> Encoder:
-    """The encoder of this process: tasks that follow each other in a worker load the vocabulary once and share the memory of words."""
-    return Encoder(path)
+def encoder_of(path: str, held: dict) -> Encoder:
+    """The encoder in ``held``. A broadcast dict is one object of a Python worker, so tasks that follow each other there load the
+    vocabulary once and share the memory of words."""
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
 
 
 def portions(text: str, size: int) -> Iterator[str]:
@@ -246,8 +247,10 @@ def write(
         .repartitionByRange(*keys).sortWithinPartitions(*keys).select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
 
+    shared = docs.sparkSession.sparkContext.broadcast({})
+
     def run(batches):
-        encoder, start = encoder_of(vocabulary), 0
+        encoder, start = encoder_of(vocabulary, shared.value), 0
         for b in batches:
             done = 0
             for ids in encoded(encoder, (t.as_py() for t in b.column("text"))):
