@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from veritwin.operators import matching as m
 from veritwin.operators import ordered
 from veritwin.operators.ordered import fill_forward, keep_one, number_within
+from veritwin.session import cut
 
 ROWS = "pair_id string, id int, ord int, name string, code string"
 
@@ -64,6 +65,22 @@ def test_ladder_does_not_depend_on_partitions(spark):
     assert results[0] == results[1]
 
 
+def test_ladder_over_sort_merge_joins_on_the_scope(spark, tmp_path):
+    """The sides come from joins on the scope that are planned as sort-merge joins and run as broadcast joins or not."""
+    rows = spark.range(3000).selectExpr("concat('B', id % 25) AS pair_id", "concat('e', id) AS id", "concat('P', id) AS code", "concat('N', id) AS name", "repeat(sha2(string(id), 256), 4) AS more")
+    rows.write.parquet(str(tmp_path / "rows"))
+    good = cut(spark.range(25).selectExpr("concat('B', id) AS pair_id"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in ("-1", kept):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            s, t = (spark.read.parquet(str(tmp_path / "rows")).join(good, ["pair_id"], "left_semi") for _ in "st")
+            got = m.match_ladder(s, t, ["pair_id"], m.name_code_keys())
+            assert (got.pairs.where("s_id = t_id and basis = 'code'").count(), got.s_only.count(), got.t_only.count()) == (3000, 0, 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_blocks_number_like_a_window(spark, monkeypatch):
     rows = spark.range(5000).select((F.col("id") % 3 % 2).alias("g"), (F.col("id") * 7919 % 5003).alias("o"))
     plain = rows.withColumn("rn", F.row_number().over(W.partitionBy("g").orderBy("o")))

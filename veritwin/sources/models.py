@@ -179,8 +179,9 @@ def shred_semantic(spark: SparkSession, paths, pair_id: Column | None = None) ->
         "pair_id", "source_file", "scope", F.col("_Id").alias("id"), "ord", *_doc(), (F.col("kind") == "association").alias("is_associative"),
         F.greatest(F.size(_c("c:Attributes|o:EntityAttribute")), F.lit(0)).alias("n_attributes"),
         F.greatest(F.size(_c("c:Identifiers|o:Identifier")), F.lit(0)).alias("n_identifiers"))
-    entities = entities.join(packages.drop("pair_id"), ["source_file", "scope"], "left").drop("source_file", "scope").withColumn(
-        "subject_area", text("subject_area"))
+    # Every step of the comparison reads them again, so their texts are cleaned and their areas looked up once.
+    entities = stored(entities.join(packages.drop("pair_id"), ["source_file", "scope"], "left").drop("source_file", "scope").withColumn(
+        "subject_area", text("subject_area")), "placed-entities")
     own = ent.select("pair_id", F.col("_Id").alias("entity"), F.posexplode(_c("c:Attributes|o:EntityAttribute")).alias("ord", "a"))
     own = own.where(F.col("a._Id").isNotNull())
     attributes = own.select(
@@ -273,8 +274,8 @@ def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> d
     ref = text(first_nonblank("_Entity_Ref", "_Object_Ref", "Entity_Ref", "Object_Ref", *props, "_id", "_Ref"))
     members = read_definitions(found, _MEMBER, "area_member").where("scope is not null").select(pair, "source_file", "scope", ref.alias("id"))
     # An entity of several areas counts for the first that names it.
-    placed = members.join(named.where("subject_area <> ''"), ["source_file", "scope"]).groupBy("pair_id", "source_file", "id").agg(
-        F.min_by("subject_area", "scope").alias("subject_area"))
+    placed = stored(members.join(named.where("subject_area <> ''"), ["source_file", "scope"]).groupBy("pair_id", "source_file", "id").agg(
+        F.min_by("subject_area", "scope").alias("subject_area")), "members")
     name = first_nonblank("_name", "Name", "EntityProps.Name")
     entities = ent.select(
         "pair_id", "source_file", F.col("_id").alias("id"), "ord", text(name).alias("name"),
@@ -284,7 +285,8 @@ def shred_target(spark: SparkSession, paths, pair_id: Column | None = None) -> d
         _flag(first_nonblank("Is_Associative", "Associative_Entity", "EntityProps.Is_Associative", "EntityProps.Associative_Entity")).alias("is_associative"),
         F.greatest(F.size(_c("Attribute_Groups|Attribute")), F.lit(0)).alias("n_attributes"),
         F.greatest(F.size(_c("Key_Group_Groups|Key_Group")), F.lit(0)).alias("n_identifiers"))
-    entities = entities.join(placed.drop("pair_id"), ["source_file", "id"], "left").drop("source_file").withColumn("subject_area", text("subject_area"))
+    entities = stored(
+        entities.join(placed.drop("pair_id"), ["source_file", "id"], "left").drop("source_file").withColumn("subject_area", text("subject_area")), "placed-entities")
     own = ent.select("pair_id", F.col("_id").alias("entity"), F.posexplode(_c("Attribute_Groups|Attribute")).alias("ord", "a"))
     props = "a.AttributeProps"
     a_name = first_nonblank("a._name", "a.Name", f"{props}.Name")
@@ -525,6 +527,7 @@ def comparable(side: dict[str, DataFrame]) -> dict[str, DataFrame]:
         attributes = drop_hidden_duplicates(attributes)
     identifiers = resolve_members(side["identifiers"], attributes, ["pair_id", "entity"])
     if "pointers" in side:
+        identifiers = stored(identifiers, "members")  # read several times, with the joins that resolve them
         identifiers = mark_primary(identifiers.withColumnRenamed("id", "oid"), attributes, side["pointers"], ["pair_id", "entity"]).withColumnRenamed("oid", "id")
     identifiers = stored(identifiers, "identifiers")  # read by the relationships as well
     rel = side["relationships"]
