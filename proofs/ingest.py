@@ -32,15 +32,19 @@ _TARGET_RELATION = """concat('<Relationship id="r', k, '" name="uses"><Relations
 def composed(T, parts: dict[str, str], layout: list[str]) -> str:
     """A folder with one document per brand; those of brands that end in 5 lack their last characters.
 
-    ``parts``: name -> text of one row, or NULL; ``layout``: names of parts, and constant texts between them.
+    ``parts``: name -> text of one row, or NULL; ``layout``: names of parts, and constant texts between them. Every text is
+    a line of the document, so none is put together in memory.
     """
     path = scratch(T)
-    rows = T.sql(_PARTS).select("doc", "k", *[F.expr(x.replace("{{", "{").replace("}}", "}")).alias(n) for n, x in parts.items()])
-    texts = rows.groupBy("doc").agg(*[
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", F.col(c).alias("x")))), lambda s: s["x"]), "").alias(c) for c in parts])
-    whole = F.concat(*[F.col(x) if x in parts else F.lit(x) for x in layout])
-    cut = F.when(F.col("doc").endswith("5"), F.left(whole, F.length(whole) - 5)).otherwise(whole)
-    texts.select("doc", cut.alias("value")).repartition("doc").write.partitionBy("doc").text(path)
+    rows = T.sql(_PARTS)
+    order = {x: n for n, x in enumerate(layout)}
+    texts = rows.select("doc", F.explode(F.array(*[
+        F.struct(F.lit(order[n]).alias("n"), "k", F.expr(x.replace("{{", "{").replace("}}", "}")).alias("value")) for n, x in parts.items()])).alias("x"))
+    fixed = [F.struct(F.lit(n).alias("n"), F.lit(None).cast("long").alias("k"), (
+        F.when(F.col("doc").endswith("5"), x[:-5]).otherwise(x) if n == len(layout) - 1 else F.lit(x)).alias("value")) for n, x in enumerate(layout) if x not in parts]
+    between = rows.select("doc").distinct().select("doc", F.explode(F.array(*fixed)).alias("x"))
+    lines = texts.union(between).select("doc", "x.*").where("value is not null")
+    lines.repartition("doc").sortWithinPartitions("doc", "n", "k", "value").select("doc", "value").write.partitionBy("doc").text(path)
     return path
 
 

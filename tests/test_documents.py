@@ -1,6 +1,7 @@
 """One pass over a document: its fragments, scopes and faults."""
 
 import tracemalloc
+from itertools import chain
 
 import pytest
 
@@ -94,3 +95,63 @@ def test_steps_of_any_size_and_other_encodings(monkeypatch, step):
     assert wanted[0][("entity", 3)] == (1, '<o:Entity Id="e1" n="a>b"/>') and wanted[1] is None
     for content in (body.encode("utf-16"), ('<?xml version="1.0" encoding="ISO-8859-1"?>' + body).encode("latin-1")):
         assert scan(content) == wanted
+
+
+def test_documents_are_read_in_pieces(spark, tmp_path, monkeypatch):
+    """Files cut into many parts, whatever their encoding, their last byte or their name."""
+    body = '<m><o:Package Id="p"><a:Name>ä&amp;</a:Name>' + "".join(f'<o:Entity Id="e{n}" n="a>b">é\x01{n}</o:Entity>' for n in range(300)) + "</o:Package></m>"
+    contents = {
+        "a é%41+.xml": body.encode(), "b.xml": b"\xef\xbb\xbf" + body.encode() + b"\r\n", "c.xml": body.encode("utf-16"), "d.xml": body.encode()[:-1], "e.xml": b"\xef\xbb\xbf" + body.encode()[:-1],
+        "f.xml": b"\xef\xbb\xbf", "g.xml": b">", "h.xml": body.encode().replace(b"\xc3\xa9", b"\xc3") + b">", "i.xml.gz": body.encode(), "j.xml": b"\xef\xbb\xbf<m", "k.xml": b"text\n",
+        "l.xml": ('<?xml version="1.0" encoding="ISO-8859-1"?>' + body).encode("latin-1"), "m.xml": b'<?xml version="1.0" encoding="windows-1252"?><m>\x81</m>'}
+    for k, x in contents.items():
+        (tmp_path / "x=1 2").mkdir(exist_ok=True)
+        (tmp_path / "x=1 2" / k).write_bytes(x)
+    monkeypatch.setattr(documents, "STEP", 1 << 10)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = documents.elements(spark, str(tmp_path), KINDS, {"package": ("a:Name",), "list": None}, ("entity",)).collect()
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r.source_file for r in got} == {f"file:{tmp_path}/x=1 2/{k}" for k in contents}
+    for k, x in contents.items():
+        want, fault = scan(x)
+        mine = [r for r in got if r.source_file.endswith(f"/{k}")]
+        assert {(r.kind, r.ord): (r.scope, r.fragment) for r in mine if r.kind != "document"} == want, k
+        assert [r.fragment for r in mine if r.kind == "document"] == [fault], k
+        assert len(mine) == len(want) + 1
+
+
+def test_no_task_holds_a_document(monkeypatch):
+    """What the worker gets and gives is bounded by a step; a second pass over another encoding goes through a file."""
+    monkeypatch.setattr(documents, "STEP", 1 << 14)
+    for head, encoding in ((b"", "utf-8"), (b'<?xml version="1.0" encoding="ISO-8859-1"?>', "latin-1")):
+        tracemalloc.start()
+        parts = ('<o:Entity Id="%d"><a:Name>é some text</a:Name></o:Entity>' % n for n in range(60_000))
+        content = (x.encode(encoding) for p in ("<m>", parts, "</m>") for x in ([p] if isinstance(p, str) else p))
+        n = size = 0
+        for some in documents.Fragments(chain([head], content), KINDS, {}).rows():
+            n, size = n + len(some), size + sum(len(r[3] or "") for r in some)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n == 60_001 and peak < size / 4
+
+
+def test_documents_of_the_queries_are_lines(spark, tmp_path, monkeypatch):
+    """No document is one value: its texts are lines, in the order of the layout and of the keys, whatever repeats or is null."""
+    from proofs import ingest
+    from proofs.base import Tables
+
+    rows = [(3, "n3", "Brand#15"), (1, "n1", "Brand#15"), (1, "n0", "Brand#15"), (2, None, "Brand#15"), (5, "n5", "Brand#1"), (None, "n", "Brand#1"), (4, "n4", None)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string").selectExpr("*", "'t' p_type").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(ingest, "scratch", lambda T: f"{tmp_path}/out")
+    path = ingest.composed(Tables(spark, str(tmp_path)), {"a": "concat('<a>', name, '</a>')", "b": "CASE WHEN k <> first THEN concat('<b>', k, '{{}}</b>') END"}, ["<m>", "a", "<s/>", "b", "</m><end/>"])
+    got = {}
+    for file in sorted((tmp_path / "out").glob("doc=*/*.txt")):
+        assert file.parent.name not in got
+        got[file.parent.name] = file.read_text().splitlines()
+    assert path == f"{tmp_path}/out" and got == {
+        "doc=B15": ["<m>", "<a>n0</a>", "<a>n1</a>", "<a>n3</a>", "<s/>", "<b>2{}</b>", "<b>3{}</b>", "</m><"],
+        "doc=B1": ["<m>", "<a>n</a>", "<a>n5</a>", "<s/>", "</m><end/>"],
+        "doc=__HIVE_DEFAULT_PARTITION__": ["<m>", "<a>n4</a>", "<s/>", "</m><end/>"]}
